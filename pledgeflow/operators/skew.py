@@ -1,0 +1,71 @@
+"""Joins from a large table to a unique-keyed one when few keys hold many rows.
+
+A viral project or a very active backer would send a large share of all
+pledges to one task of a shuffled join. ``spread_join`` cuts such keys into
+``slices`` and repeats the matching lookup rows once per slice, so the result
+is that of the plain join. Without hot keys it *is* the plain join, with the
+large table on the left where adaptive execution may split it.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+#: Upper bound on the keys that are spread, and so on the broadcast key list.
+MAX_HOT_KEYS = 10_000
+#: A key with fewer rows than this fits one task.
+HOT_ROWS = 5_000_000
+SLICES = 256
+
+_SLICE, _HOT = "__slice", "__hot"
+
+
+def hot_keys(
+    rows: DataFrame, key: Sequence[str], min_rows: int = HOT_ROWS, max_keys: int = MAX_HOT_KEYS
+) -> DataFrame:
+    """The keys with at least ``min_rows`` rows, hottest first, ``max_keys`` at most.
+
+    The bound limits only what is spread: a key beyond it holds less than
+    1/``max_keys`` of all rows and joins like any other.
+    """
+    counted = rows.groupBy(*key).agg(F.count(F.lit(1)).alias("__rows"))
+    return (
+        counted.filter(F.col("__rows") >= min_rows)
+        .dropna(subset=list(key))
+        .orderBy(F.col("__rows").desc(), *key)
+        .limit(max_keys)
+        .select(*key)
+    )
+
+
+def spread_join(
+    facts: DataFrame,
+    lookup: DataFrame,
+    on: Sequence[str],
+    how: str = "inner",
+    hot: DataFrame | None = None,
+    spread_by: Sequence[str] = (),
+    slices: int = SLICES,
+) -> DataFrame:
+    """Join ``facts`` to ``lookup``; keys in ``hot`` are spread over ``slices`` tasks.
+
+    ``hot`` comes from ``hot_keys`` on one or more of the ``on`` columns, so its
+    size is bounded and it is safe to broadcast. ``spread_by`` names columns of
+    ``facts`` that tell the rows of one key apart.
+    """
+    on = list(on)
+    if hot is None:
+        return facts.join(lookup, on, how)
+    marked = F.broadcast(hot.withColumn(_HOT, F.lit(True)))
+    cut = F.pmod(F.xxhash64(*(spread_by or facts.columns)), F.lit(slices)).cast("int")
+    left = facts.join(marked, hot.columns, "left").withColumn(
+        _SLICE, F.when(F.col(_HOT), cut).otherwise(F.lit(0))
+    )
+    every_slice = F.sequence(F.lit(0), F.lit(slices - 1))
+    right = lookup.join(marked, hot.columns, "left").withColumn(
+        _SLICE, F.explode(F.when(F.col(_HOT), every_slice).otherwise(F.array(F.lit(0))))
+    )
+    return left.drop(_HOT).join(right.drop(_HOT), [*on, _SLICE], how).drop(_SLICE)
