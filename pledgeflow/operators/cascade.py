@@ -61,6 +61,16 @@ def _colliding_changes(df: DataFrame, column: str, mapping: DataFrame) -> DataFr
     return real.join(taken, "new_value", "left_semi").select("old_value")
 
 
+def _one_value_per_key(mapping: DataFrame) -> DataFrame:
+    """Changes that name one new value; a key with several keeps its old one."""
+    return (
+        mapping.groupBy("old_value")
+        .agg(F.min("new_value").alias("new_value"), F.max("new_value").alias("__other"))
+        .filter(F.col("new_value") == F.col("__other"))
+        .drop("__other")
+    )
+
+
 def _renamed(df: DataFrame, column: str, mapping: DataFrame) -> DataFrame:
     changes = mapping.select(F.col("old_value").alias(column), "new_value", F.lit(True).alias("__hit"))
     value = F.when(F.col("__hit"), F.col("new_value")).otherwise(F.col(column))
@@ -79,6 +89,7 @@ def cascade_key_update(
     if not force:
         blocked = blocked_key_update(tables, table, column, mapping).select("old_value").distinct()
         mapping = mapping.join(blocked, "old_value", "left_anti")
+    mapping = _one_value_per_key(mapping)
     changed = {table: _renamed(tables[table], column, mapping)}
     for child, child_column, action in _update_edges(table, column):
         if action == "cascade":

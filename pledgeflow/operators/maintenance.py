@@ -70,7 +70,7 @@ def assign_ids(df: DataFrame, column: str = "id", start: int = 1) -> DataFrame:
     placed = df.checkpoint().withColumn("__place", F.monotonically_increasing_id())
     part = F.shiftright("__place", _ROW_BITS)
     counts = sorted(placed.groupBy(part.alias("part")).count().collect())
-    firsts = [start, *accumulate((c["count"] for c in counts), initial=start)][1:]
+    firsts = accumulate((c["count"] for c in counts), initial=start)
     offsets = df.sparkSession.createDataFrame(
         [(c["part"], first) for c, first in zip(counts, firsts)], "__part bigint, __first bigint"
     )
