@@ -80,19 +80,22 @@ def audit_all_keys(tables: Mapping[str, DataFrame], names: Sequence[str] = tuple
 def key_conflicts(batch: DataFrame, key: Sequence[str], stored: DataFrame | None = None) -> DataFrame:
     """Keys of the batch that cannot be added: repeated in it, or already stored.
 
-    Returns the key columns, ``copies`` in the batch and ``is_stored``. Both
-    sides are counted per key before they meet, so a key with very many copies
-    travels as one row per map task.
+    Returns the key columns, ``copies`` in the batch and ``is_stored``. The
+    batch is counted per key first, so a key with very many copies travels as
+    one row per map task. The stored table is on the streamed side of its join:
+    a batch small enough to broadcast finds its clashes without shuffling it.
     """
-    offered = batch.select(*key, F.lit(1).alias("__new"), F.lit(0).alias("__old"))
-    if stored is not None:
-        offered = offered.unionByName(
-            stored.select(*key, F.lit(0).alias("__new"), F.lit(1).alias("__old"))
-        )
-    counted = offered.groupBy(*key).agg(
-        F.sum("__new").alias("copies"), (F.max("__old") > 0).alias("is_stored")
+    key = list(key)
+    offered = batch.groupBy(*key).agg(F.count(F.lit(1)).alias("copies"))
+    repeated = offered.filter("copies > 1").withColumn("is_stored", F.lit(False))
+    if stored is None:
+        return repeated
+    taken = stored.select(*key).join(offered, key).withColumn("is_stored", F.lit(True))
+    return (
+        repeated.unionByName(taken)
+        .groupBy(*key)
+        .agg(F.max("copies").alias("copies"), F.max("is_stored").alias("is_stored"))
     )
-    return counted.filter((F.col("copies") > 1) | ((F.col("copies") > 0) & F.col("is_stored")))
 
 
 def conflict_reason(table: str):

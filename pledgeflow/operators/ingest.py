@@ -21,6 +21,7 @@ from pledgeflow.functions.expressions import (
     reason_if,
 )
 from pledgeflow.operators.audit import conflict_reason, key_conflicts
+from pledgeflow.operators.skew import matching
 from pledgeflow.operators.verdicts import accepted
 from pledgeflow.schema import TABLES
 
@@ -66,7 +67,8 @@ def judge_registrations(registrations: DataFrame, tables: Mapping[str, DataFrame
         if name in tables:
             mark = f"__{name}"
             judged = judged.join(
-                tables[name].select("email", F.lit(True).alias(mark)), "email", "left"
+                matching(tables[name], registrations, ["email"]).select("email", F.lit(True).alias(mark)),
+                "email", "left",
             )
             role_reasons.append(
                 reason_if(F.col(mark).isNotNull() & _in_role(*kinds), messages.KEY_STORED.format(table=name))

@@ -22,8 +22,8 @@ from pledgeflow.functions.expressions import (
     rule_ok,
 )
 from pledgeflow.operators.audit import conflict_reason, key_conflicts
-from pledgeflow.operators.skew import spread_join
-from pledgeflow.plans.funding import funded_projects
+from pledgeflow.operators.skew import matching, spread_join
+from pledgeflow.plans.funding import project_totals
 from pledgeflow.schema import TABLES
 
 #: Days after the deadline within which a refund request may be granted.
@@ -113,20 +113,27 @@ def judge_project_rewards(projects: DataFrame, rewards: DataFrame) -> DataFrame:
 
 def judge_refund_decisions(decisions: DataFrame, backs: DataFrame, projects: DataFrame, hot: Hot = None) -> DataFrame:
     """Only requested refunds are decided, and late requests can only be refused."""
+    keys = ["email", "pid"]
     requests = backs.select("email", F.col("id").alias("pid"), F.col("request").alias("__request"))
     deadlines = projects.select(F.col("id").alias("pid"), F.col("deadline").alias("__deadline"))
     hot_ids = _hot(hot, "id")
     if hot_ids is not None:
         hot_ids = hot_ids.withColumnRenamed("id", "pid")
     found = spread_join(
-        decisions.join(requests, ["email", "pid"], "left"), deadlines, ["pid"], "left", hot_ids, ["email"]
+        decisions.join(matching(requests, decisions, keys), keys, "left"),
+        deadlines, ["pid"], "left", hot_ids, ["email"],
     )
     reason = refund_decision_reason(F.col("__request"), F.col("__deadline"), F.col("accepted"))
     return found.select(*decisions.columns, reason.alias("reason"))
 
 
 def judge_request_changes(
-    changes: DataFrame, backs: DataFrame, projects: DataFrame, lock_existing: bool = False, hot: Hot = None
+    changes: DataFrame,
+    backs: DataFrame,
+    projects: DataFrame,
+    lock_existing: bool = False,
+    totals: DataFrame | None = None,
+    hot: Hot = None,
 ) -> DataFrame:
     """A refund may be requested only once the project has succeeded.
 
@@ -134,11 +141,20 @@ def judge_request_changes(
     funded and its deadline must lie before the requested date. A request that
     is already set may be changed unchecked, unless ``lock_existing``. A change
     without a pledge, or one of several for a pledge, cannot be applied.
+
+    ``totals`` may hold stored ``project_totals``, so that frequent small
+    batches need not add up all pledges.
     """
     keys = ["email", "id"]
     ambiguous = changes.groupBy(*keys).agg(F.count(F.lit(1)).alias("__changes")).filter("__changes > 1")
-    current = backs.select(*keys, F.col("request").alias("__request"), F.lit(True).alias("__pledge"))
-    success = funded_projects(projects, backs).select("id", F.col("deadline").alias("__deadline"))
+    current = matching(backs, changes, keys).select(
+        *keys, F.col("request").alias("__request"), F.lit(True).alias("__pledge")
+    )
+    success = (
+        projects.join(project_totals(backs) if totals is None else totals, "id")
+        .filter(F.col("goal") <= F.col("amount"))
+        .select("id", F.col("deadline").alias("__deadline"))
+    )
     found = spread_join(
         changes.join(current, keys, "left").join(ambiguous, keys, "left"),
         success, ["id"], "left", _hot(hot, "id"), ["email"],
@@ -156,13 +172,28 @@ def judge_request_changes(
     return found.select(*changes.columns, first_reason(*reasons).alias("reason"))
 
 
-def _with_key_reason(judged: DataFrame, key: list[str], table: str, stored: DataFrame | None) -> DataFrame:
-    """Add ``__key_reason``; only rows without a reason so far compete for a key."""
-    survivors = judged.filter(F.col("reason").isNull())
-    clashes = key_conflicts(survivors, key, stored).select(
-        *key, conflict_reason(table).alias("__key_reason")
+def _with_key_reason(judged: DataFrame, batch: DataFrame, table: str, stored: DataFrame | None) -> DataFrame:
+    """Add ``__key_reason``; only rows without a reason so far compete for a key.
+
+    Keys are first counted over the plain batch. Copies are rare, so the rules
+    are evaluated a second time for the repeated keys only.
+    """
+    key = list(TABLES[table].key)
+    clashes = key_conflicts(batch, key, stored)
+    repeated = clashes.filter(~F.col("is_stored")).select(*key)
+    contested = (
+        judged.join(repeated, key, "left_semi")
+        .filter(F.col("reason").isNull())
+        .groupBy(*key)
+        .agg(F.count(F.lit(1)).alias("copies"))
+        .filter("copies > 1")
+        .withColumn("is_stored", F.lit(False))
+    )
+    if stored is not None:
+        contested = contested.unionByName(clashes.filter("is_stored"))
+    return judged.join(
+        contested.select(*key, conflict_reason(table).alias("__key_reason")), key, "left"
     )
-    return judged.join(clashes, key, "left")
 
 
 def judge_pledges(
@@ -185,7 +216,7 @@ def judge_pledges(
         *pledges.columns,
         first_reason(_dates_reason(), _minimum_reason(), *null_reasons(spec), *check_reasons(spec)).alias("reason"),
     )
-    keyed = _with_key_reason(rows, list(spec.key), spec.name, stored)
+    keyed = _with_key_reason(rows, pledges, spec.name, stored)
     known = backers.select("email", F.lit(True).alias("__backer"))
     linked = spread_join(keyed, known, ["email"], "left", _hot(hot, "email"), ["id"])
     orphan = reason_if(
@@ -209,7 +240,7 @@ def judge_refunds(
     spec = TABLES["refunds"]
     ruled = judge_refund_decisions(decisions, backs, projects, hot)
     rows = ruled.withColumn("reason", first_reason(F.col("reason"), *null_reasons(spec)))
-    keyed = _with_key_reason(rows, list(spec.key), spec.name, stored)
+    keyed = _with_key_reason(rows, decisions, spec.name, stored)
     staff = employees.select(F.col("id").alias("eid"), F.lit(True).alias("__employee"))
     orphan = reason_if(
         F.col("__employee").isNull(),

@@ -69,3 +69,12 @@ def spread_join(
         _SLICE, F.explode(F.when(F.col(_HOT), every_slice).otherwise(F.array(F.lit(0))))
     )
     return left.drop(_HOT).join(right.drop(_HOT), [*on, _SLICE], how).drop(_SLICE)
+
+
+def matching(table: DataFrame, batch: DataFrame, on: Sequence[str]) -> DataFrame:
+    """Rows of a large table whose key occurs in a batch.
+
+    The table is on the streamed side: while the batch is small enough to
+    broadcast, the table is scanned but not shuffled.
+    """
+    return table.join(batch.select(*on).distinct(), list(on), "left_semi")

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from pledgeflow.functions.expressions import days_between
@@ -66,28 +66,39 @@ def daily_funding(backs: DataFrame) -> DataFrame:
     return backs.groupBy("id", "backing").agg(F.sum("amount").alias("amount"))
 
 
-def _running(backs: DataFrame) -> DataFrame:
-    # The window holds one row per day of a campaign, never single pledges.
-    upto = Window.partitionBy("id").orderBy("backing")
-    return daily_funding(backs).withColumn("running", F.sum("amount").over(upto))
+def _upto_day() -> WindowSpec:
+    # The window sees one row per day of a campaign, never single pledges.
+    return Window.partitionBy("id").orderBy("backing")
 
 
 def funding_curve(projects: DataFrame, backs: DataFrame) -> DataFrame:
     """Per project and day: pledged that day, pledged so far, and the goal."""
-    return _running(backs).join(projects.select("id", "goal"), "id")
+    running = F.sum("amount").over(_upto_day())
+    return (
+        daily_funding(backs)
+        .join(projects.select("id", "goal"), "id")
+        .select("id", "backing", "amount", running.alias("running"), "goal")
+    )
 
 
-def days_to_funding(projects: DataFrame, backs: DataFrame) -> DataFrame:
+def days_to_funding(projects: DataFrame, backs: DataFrame, selective: bool = False) -> DataFrame:
     """``(id, days)`` for each given project: days from creation to the goal.
 
     NULL when the goal is not reached. Several pledges on the day of crossing
-    make no difference, as the answer is that day.
+    make no difference, as the answer is that day. ``selective`` says that
+    ``projects`` is a small part of all, whose pledges should be picked out
+    early; Spark does so before adding them up if it can broadcast the ids.
     """
-    plan = projects.select("id", "created", "goal")
+    daily = daily_funding(backs)
+    if selective:
+        daily = daily.join(projects.select("id"), "id", "left_semi")
+    running = F.sum("amount").over(_upto_day())
     crossed = F.when(F.col("running") >= F.col("goal"), F.col("backing"))
     return (
-        plan.join(_running(backs), "id", "left")
-        .groupBy("id", "created", "goal")
+        projects.select("id", "created", "goal")
+        .join(daily, "id", "left")
+        .withColumn("running", running)
+        .groupBy("id", "created")
         .agg(F.min(crossed).alias("reached"))
         .select("id", days_between(F.col("reached"), F.col("created")).alias("days"))
     )

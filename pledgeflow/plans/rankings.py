@@ -44,9 +44,7 @@ def top_success_rejoin(projects: DataFrame, backs: DataFrame, n: int, today: dat
 
 def _popular(projects: DataFrame, backs: DataFrame, today: date | str, ptype: str) -> DataFrame:
     started = projects_by_type(projects, ptype).filter(F.col("created") < F.lit(today).cast("date"))
-    # Pledges of other types need not be added up at all.
-    pledged = backs.join(started.select("id"), "id", "left_semi")
-    return started.join(days_to_funding(started, pledged), "id")
+    return started.join(days_to_funding(started, backs, selective=True), "id")
 
 
 def find_top_popular(projects: DataFrame, backs: DataFrame, n: int, today: date | str, ptype: str) -> DataFrame:

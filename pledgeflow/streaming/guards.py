@@ -98,7 +98,7 @@ def guard_refunds(
 
 def guard_request_changes(
     stream: DataFrame, sink: str, backs: DataFrame, projects: DataFrame,
-    lock_existing: bool = False, hot: rules.Hot = None, **options,
+    lock_existing: bool = False, totals: DataFrame | None = None, hot: rules.Hot = None, **options,
 ) -> StreamingQuery:
     """Refund requests, seen against the requests set by earlier micro-batches."""
 
@@ -107,7 +107,7 @@ def guard_request_changes(
             F.max_by("new_request", "batch_id").alias("new_request")
         )
         current = maintenance.apply_request_updates(backs, latest)
-        return rules.judge_request_changes(batch, current, projects, lock_existing, hot)
+        return rules.judge_request_changes(batch, current, projects, lock_existing, totals, hot)
 
     return guard(stream, sink, judge, **options)
 
