@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 
 from pledgeflow.functions import messages
 from pledgeflow.functions.expressions import check_violated, row_key
-from pledgeflow.operators.skew import spread_join
+from pledgeflow.operators.joins import spread_join, within
 from pledgeflow.schema import TABLES, ForeignKey, TableSpec
+from pledgeflow.session import shared_folder
 
 RULES = ("not_null", "check")
 
@@ -98,11 +99,34 @@ def key_conflicts(batch: DataFrame, key: Sequence[str], stored: DataFrame | None
     )
 
 
-def conflict_reason(table: str):
-    """Reason column over the output of ``key_conflicts``."""
-    return F.when(F.col("is_stored"), messages.KEY_STORED.format(table=table)).when(
-        F.col("copies") > 1, messages.KEY_REPEATED.format(table=table)
+def with_key_reason(judged: DataFrame, batch: DataFrame, table: str, key: Sequence[str], stored: DataFrame | None = None) -> DataFrame:
+    """Add ``key_reason`` to a judged batch; only rows without a reason compete for a key.
+
+    Runs one job now: it counts the keys of the plain batch and stores the
+    clashes in the checkpoint folder. As a rule there are few. Then they are
+    broadcast, and neither finding the copies that pass the rules nor marking
+    the batch moves its rows; a batch without any is returned as it is.
+    """
+    key = list(key)
+    shared_folder(batch.sparkSession)
+    clashes = key_conflicts(batch, key, stored).checkpoint()
+    if clashes.isEmpty():
+        return judged.withColumn("key_reason", F.lit(None).cast("string"))
+    small = within(clashes)
+    side = F.broadcast if small else lambda df: df
+    repeated = clashes.filter(~F.col("is_stored")).select(*key)
+    contested = (
+        judged.join(side(repeated), key, "left_semi")
+        .filter(F.col("reason").isNull())
+        .groupBy(*key)
+        .agg(F.count(F.lit(1)).alias("copies"))
+        .filter("copies > 1")
+        .select(*key, F.lit(messages.KEY_REPEATED.format(table=table)).alias("key_reason"))
+    )
+    taken = clashes.filter("is_stored").select(
+        *key, F.lit(messages.KEY_STORED.format(table=table)).alias("key_reason")
     )
+    return judged.join(side(contested.unionByName(taken)), key, "left")
 
 
 def audit_collision(batch: DataFrame, stored: DataFrame, table: str, key: Sequence[str]) -> DataFrame:

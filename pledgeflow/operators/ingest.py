@@ -20,8 +20,8 @@ from pledgeflow.functions.expressions import (
     paired_prefix,
     reason_if,
 )
-from pledgeflow.operators.audit import conflict_reason, key_conflicts
-from pledgeflow.operators.skew import matching
+from pledgeflow.operators.audit import with_key_reason
+from pledgeflow.operators.joins import matching
 from pledgeflow.operators.verdicts import accepted
 from pledgeflow.schema import TABLES
 
@@ -38,6 +38,7 @@ def judge_registrations(registrations: DataFrame, tables: Mapping[str, DataFrame
 
     ``tables`` holds the stored ``users``, ``backers`` and ``creators`` whose
     keys are taken. Order: user row, its key, kind, creator row, backer row.
+    The emails are counted when this is called (see ``with_key_reason``).
     """
     tables = tables or {}
     users, backers, creators = TABLES["users"], TABLES["backers"], TABLES["creators"]
@@ -56,11 +57,8 @@ def judge_registrations(registrations: DataFrame, tables: Mapping[str, DataFrame
         first_reason(unknown_kind, *as_creator, *as_backer).alias("__role_reason"),
     )
     # Only rows that could stand by themselves compete for an email.
-    able = rows.filter(F.col("__user_reason").isNull() & F.col("__role_reason").isNull())
-    clashes = key_conflicts(able, ["email"], tables.get("users"))
-    judged = rows.join(
-        clashes.select("email", conflict_reason("users").alias("__key_reason")), "email", "left"
-    )
+    rows = rows.withColumn("reason", F.coalesce("__user_reason", "__role_reason"))
+    judged = with_key_reason(rows, registrations, "users", ["email"], tables.get("users"))
     # A role row stored without its user row would also refuse the email.
     role_reasons = []
     for name, kinds in (("creators", (CREATOR, BOTH)), ("backers", (BACKER, BOTH))):
@@ -76,7 +74,7 @@ def judge_registrations(registrations: DataFrame, tables: Mapping[str, DataFrame
     return judged.select(
         *registrations.columns,
         first_reason(
-            F.col("__user_reason"), F.col("__key_reason"), F.col("__role_reason"), *role_reasons
+            F.col("__user_reason"), F.col("key_reason"), F.col("__role_reason"), *role_reasons
         ).alias("reason"),
     )
 
@@ -114,6 +112,7 @@ def judge_project_loads(loads: DataFrame, tables: Mapping[str, DataFrame]) -> Da
     ``tables`` holds ``creators`` and ``project_types``, and the stored
     ``projects`` if there are any. Rewards are checked inside the row's arrays.
     Order: project row, its key, references, reward rows, at least one reward.
+    The ids are counted when this is called (see ``with_key_reason``).
     """
     spec, rewards = TABLES["projects"], TABLES["rewards"]
     levels = paired_prefix(F.col("names"), F.col("amounts"))
@@ -157,17 +156,12 @@ def judge_project_loads(loads: DataFrame, tables: Mapping[str, DataFrame]) -> Da
             ),
         ),
     )
-    able = linked.filter(
-        F.coalesce("__row_reason", "__parent_reason", "__reward_reason").isNull()
-    )
-    clashes = key_conflicts(able, ["id"], tables.get("projects"))
-    keyed = linked.join(
-        clashes.select("id", conflict_reason("projects").alias("__key_reason")), "id", "left"
-    )
+    ruled = linked.withColumn("reason", F.coalesce("__row_reason", "__parent_reason", "__reward_reason"))
+    keyed = with_key_reason(ruled, loads, "projects", spec.key, tables.get("projects"))
     return keyed.select(
         *loads.columns,
         first_reason(
-            F.col("__row_reason"), F.col("__key_reason"), F.col("__parent_reason"), F.col("__reward_reason")
+            F.col("__row_reason"), F.col("key_reason"), F.col("__parent_reason"), F.col("__reward_reason")
         ).alias("reason"),
     )
 

@@ -1,10 +1,10 @@
-"""Joins from a large table to a unique-keyed one when few keys hold many rows.
+"""Joins of a large table with a small, a batch-sized or a skewed side.
 
 A viral project or a very active backer would send a large share of all
 pledges to one task of a shuffled join. ``spread_join`` cuts such keys into
-``slices`` and repeats the matching lookup rows once per slice, so the result
-is that of the plain join. Without hot keys it *is* the plain join, with the
-large table on the left where adaptive execution may split it.
+slices and repeats the matching lookup rows once per slice, so the result is
+that of the plain join. Without hot keys it *is* the plain join, with the large
+table on the left where adaptive execution may split it.
 """
 
 from __future__ import annotations
@@ -19,6 +19,8 @@ MAX_HOT_KEYS = 10_000
 #: A key with fewer rows than this fits one task.
 HOT_ROWS = 5_000_000
 SLICES = 256
+#: Rows up to which a counted side is broadcast; the sides here are a few short columns.
+MAX_BROADCAST_ROWS = 1_000_000
 
 _SLICE, _HOT = "__slice", "__hot"
 
@@ -78,3 +80,8 @@ def matching(table: DataFrame, batch: DataFrame, on: Sequence[str]) -> DataFrame
     broadcast, the table is scanned but not shuffled.
     """
     return table.join(batch.select(*on).distinct(), list(on), "left_semi")
+
+
+def within(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> bool:
+    """Whether ``df`` has at most ``max_rows`` rows. Counts them now, and no further than that."""
+    return df.limit(max_rows + 1).count() <= max_rows

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pledgeflow.functions import messages
 from pledgeflow.functions.expressions import days_between, reason_if
 from pledgeflow.operators.rules import REFUND_DAYS
-from pledgeflow.operators.skew import spread_join
+from pledgeflow.operators.joins import spread_join
 
 # The states of a refund request.
 PENDING, APPROVE, REJECT = "pending", "approve", "reject"

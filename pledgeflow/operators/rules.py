@@ -21,8 +21,8 @@ from pledgeflow.functions.expressions import (
     reason_if,
     rule_ok,
 )
-from pledgeflow.operators.audit import conflict_reason, key_conflicts
-from pledgeflow.operators.skew import matching, spread_join
+from pledgeflow.operators.audit import with_key_reason
+from pledgeflow.operators.joins import matching, spread_join
 from pledgeflow.plans.funding import project_totals
 from pledgeflow.schema import TABLES
 
@@ -172,30 +172,6 @@ def judge_request_changes(
     return found.select(*changes.columns, first_reason(*reasons).alias("reason"))
 
 
-def _with_key_reason(judged: DataFrame, batch: DataFrame, table: str, stored: DataFrame | None) -> DataFrame:
-    """Add ``__key_reason``; only rows without a reason so far compete for a key.
-
-    Keys are first counted over the plain batch. Copies are rare, so the rules
-    are evaluated a second time for the repeated keys only.
-    """
-    key = list(TABLES[table].key)
-    clashes = key_conflicts(batch, key, stored)
-    repeated = clashes.filter(~F.col("is_stored")).select(*key)
-    contested = (
-        judged.join(repeated, key, "left_semi")
-        .filter(F.col("reason").isNull())
-        .groupBy(*key)
-        .agg(F.count(F.lit(1)).alias("copies"))
-        .filter("copies > 1")
-        .withColumn("is_stored", F.lit(False))
-    )
-    if stored is not None:
-        contested = contested.unionByName(clashes.filter("is_stored"))
-    return judged.join(
-        contested.select(*key, conflict_reason(table).alias("__key_reason")), key, "left"
-    )
-
-
 def judge_pledges(
     pledges: DataFrame,
     projects: DataFrame,
@@ -208,7 +184,8 @@ def judge_pledges(
 
     Order: project dates, tier minimum, required columns and checks, key,
     references. ``stored`` are the pledges already accepted; of several new
-    pledges for one key none is accepted, since none comes first.
+    pledges for one key none is accepted, since none comes first. The keys are
+    counted when this is called (see ``with_key_reason``).
     """
     spec = TABLES["backs"]
     found = _with_tier_minimum(_with_project_dates(pledges, projects, hot), rewards, hot)
@@ -216,7 +193,7 @@ def judge_pledges(
         *pledges.columns,
         first_reason(_dates_reason(), _minimum_reason(), *null_reasons(spec), *check_reasons(spec)).alias("reason"),
     )
-    keyed = _with_key_reason(rows, pledges, spec.name, stored)
+    keyed = with_key_reason(rows, pledges, spec.name, spec.key, stored)
     known = backers.select("email", F.lit(True).alias("__backer"))
     linked = spread_join(keyed, known, ["email"], "left", _hot(hot, "email"), ["id"])
     orphan = reason_if(
@@ -224,7 +201,7 @@ def judge_pledges(
         messages.PARENT_MISSING.format(table=spec.name, label=spec.foreign_keys[0].label),
     )
     return linked.select(
-        *pledges.columns, first_reason(F.col("reason"), F.col("__key_reason"), orphan).alias("reason")
+        *pledges.columns, first_reason(F.col("reason"), F.col("key_reason"), orphan).alias("reason")
     )
 
 
@@ -240,12 +217,12 @@ def judge_refunds(
     spec = TABLES["refunds"]
     ruled = judge_refund_decisions(decisions, backs, projects, hot)
     rows = ruled.withColumn("reason", first_reason(F.col("reason"), *null_reasons(spec)))
-    keyed = _with_key_reason(rows, decisions, spec.name, stored)
+    keyed = with_key_reason(rows, decisions, spec.name, spec.key, stored)
     staff = employees.select(F.col("id").alias("eid"), F.lit(True).alias("__employee"))
     orphan = reason_if(
         F.col("__employee").isNull(),
         messages.PARENT_MISSING.format(table=spec.name, label=spec.foreign_keys[0].label),
     )
     return keyed.join(staff, "eid", "left").select(
-        *decisions.columns, first_reason(F.col("reason"), F.col("__key_reason"), orphan).alias("reason")
+        *decisions.columns, first_reason(F.col("reason"), F.col("key_reason"), orphan).alias("reason")
     )

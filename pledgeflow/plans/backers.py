@@ -7,7 +7,7 @@ from datetime import date
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pledgeflow.operators.skew import spread_join
+from pledgeflow.operators.joins import spread_join, within
 from pledgeflow.plans.funding import project_totals
 
 #: Defaults of the superbacker rules.
@@ -23,44 +23,49 @@ def verified_users(users: DataFrame, verifies: DataFrame, given_date: date | str
     return users.join(dated.select("email").distinct(), "email", "left_semi")
 
 
-def _recently(column: str, today: Column, within: int) -> Column:
-    """``today - column <= within``; a date in the future counts as recent.
+def _recently(column: str, today: Column, days: int) -> Column:
+    """``today - column <= days``; a date in the future counts as recent.
 
     Written with the column alone on one side, so that the scan can use it.
     """
-    return F.col(column) >= F.date_sub(today, within)
+    return F.col(column) >= F.date_sub(today, days)
 
 
-def _backing_profile(tables, today: date | str, within: int, hot_ids: DataFrame | None) -> DataFrame:
-    """Per user: pledges to projects that succeeded recently, counted and added up."""
+def _backing_profile(tables, today: date | str, recent_days: int, hot_ids: DataFrame | None) -> DataFrame:
+    """Per user: pledges to projects that succeeded recently, counted and added up.
+
+    Counts the projects that ended recently when called. While they are few,
+    they are broadcast and only their pledges leave the scan; otherwise totals
+    are built first and the pledges are shuffled once.
+    """
     day = F.lit(today).cast("date")
-    ended = tables["projects"].filter((F.col("deadline") < day) & _recently("deadline", day, within))
-    # Keep the pledges of those projects first: the totals, and the pledges per
-    # user, both come from this small part of the pledges.
-    pledges = spread_join(
-        tables["backs"].select("email", "id", "amount"),
-        ended.select("id", "ptype", "goal"),
-        ["id"], "inner", hot_ids, ["email"],
+    ended = (
+        tables["projects"]
+        .filter((F.col("deadline") < day) & _recently("deadline", day, recent_days))
+        .select("id", "ptype", "goal")
     )
+    pledges = tables["backs"].select("email", "id", "amount")
+    few = within(ended)
+    asked_for = pledges.join(F.broadcast(ended.select("id")), "id", "left_semi") if few else pledges
     won = (
-        pledges.groupBy("id", "goal").agg(F.sum("amount").alias("total"))
-        .filter(F.col("goal") <= F.col("total"))
-        .select("id")
+        ended.join(project_totals(asked_for), "id")
+        .filter(F.col("goal") <= F.col("amount"))
+        .select("id", "ptype")
     )
-    return (
-        spread_join(pledges, won, ["id"], "left_semi", hot_ids, ["email"])
-        .groupBy("email")
-        .agg(
-            F.count("id").alias("n_projects"),
-            F.countDistinct("ptype").alias("n_types"),
-            F.sum("amount").alias("amount"),
-        )
+    if few:
+        hits = pledges.join(F.broadcast(won), "id")
+    else:
+        hits = spread_join(pledges, won, ["id"], "inner", hot_ids, ["email"])
+    return hits.groupBy("email").agg(
+        F.count("id").alias("n_projects"),
+        F.countDistinct("ptype").alias("n_types"),
+        F.sum("amount").alias("amount"),
     )
 
 
-def _recent_requesters(backs: DataFrame, today: date | str, within: int) -> DataFrame:
+def _recent_requesters(backs: DataFrame, today: date | str, recent_days: int) -> DataFrame:
     day = F.lit(today).cast("date")
-    recent = F.col("request").isNotNull() & _recently("request", day, within)
+    recent = F.col("request").isNotNull() & _recently("request", day, recent_days)
     return backs.filter(recent).select("email").distinct()
 
 

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pledgeflow.functions.expressions import money_array, text_array
-from pledgeflow.operators.skew import hot_keys
+from pledgeflow.operators.joins import hot_keys
 
 # Column types of the driver's files.
 SOURCE_SCHEMAS = {

@@ -16,8 +16,9 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from pledgeflow.operators import ingest, maintenance, rules, verdicts
-from pledgeflow.session import working_folder
+from pledgeflow.operators.joins import within
 from pledgeflow.schema import TABLES
+from pledgeflow.session import working_folder
 
 Judge = Callable[[DataFrame, DataFrame], DataFrame]
 
@@ -60,7 +61,14 @@ def guard(stream: DataFrame, sink: str, judge: Judge, checkpoint: str | None = N
 
     def store(batch: DataFrame, batch_id: int) -> None:
         before = _accepted_before(batch.sparkSession, sink, columns, batch_id)
-        verdicts.write_judged(judge(batch, before), f"{sink}/batch_id={batch_id}")
+        held = batch.persist()
+        try:
+            # Spark does not know the size of a micro-batch. Counted and marked, a
+            # small one is carried to the stored tables instead of shuffling them.
+            marked = F.broadcast(held) if within(held) else held
+            verdicts.write_judged(judge(marked, before), f"{sink}/batch_id={batch_id}")
+        finally:
+            held.unpersist()
 
     return (
         stream.writeStream.foreachBatch(store)

@@ -1,6 +1,6 @@
 import pytest
 
-from pledgeflow.operators.skew import hot_keys
+from pledgeflow.operators.joins import hot_keys
 from pledgeflow.plans import backers
 from tests.data import backer, bag, creator, people, rows, table
 

@@ -4,7 +4,7 @@ import pytest
 
 from pledgeflow.functions import messages as m
 from pledgeflow.operators import rules
-from pledgeflow.operators.skew import hot_keys
+from pledgeflow.operators.joins import hot_keys
 from pledgeflow.operators.verdicts import apply_policy
 from tests.data import PLEDGES, backer, bag, creator, five_projects, rows, table
 
