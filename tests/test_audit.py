@@ -1,0 +1,75 @@
+from pledgeflow.operators import audit
+from pledgeflow.operators.joins import hot_keys
+from pledgeflow.schema import TABLES
+from tests.data import bag, five_projects, rows, table
+
+
+def test_not_null_and_check_in_one_scan(spark):
+    users = table(spark, "users", [
+        ("ok", "n", "1", "2"), ("nullCard", "n", "1", None), ("same", "n", "1", "1"), ("noName", None, "1", "1"), (None, "n", None, "2"),
+    ])
+    got = bag(audit.audit_rows(users, TABLES["users"]), "row_key", "rule", "detail")
+    assert got == sorted([
+        ("same", "check", "cc1 <> cc2"), ("noName", "not_null", "name"), ("noName", "check", "cc1 <> cc2"),
+        ("NULL", "not_null", "email"), ("NULL", "not_null", "cc1"),
+    ])
+    assert audit.audit_rows(table(spark, "creators"), TABLES["creators"], ["check"]) is None
+
+
+def test_every_table_is_audited(spark):
+    tables = {name: table(spark, name, [tuple([None] * len(spec.schema))]) for name, spec in TABLES.items()}
+    found = audit.audit_all_rows(tables, ["not_null"])
+    assert found.count() == sum(len(spec.required) for spec in TABLES.values())
+    assert audit.audit_all_rows(tables, ["check"]).count() == 0  # NULL passes a check
+    assert audit.audit_foreign_keys(tables).count() == 0  # and a reference
+
+
+def test_unique_and_domain(spark):
+    backs = table(spark, "backs", [("a", "x", 1, None, None, 1)] * 3 + [("a", "x", 2, None, None, 1)])
+    assert bag(audit.audit_unique(backs, "backs", ["email", "id"]), "row_key", "detail") == [("a|1", "3 rows")]
+    updates = table(spark, "updates", [("2024-01-01 00:00:07.5", 1, "m")] * 2)
+    assert bag(audit.audit_unique(updates, "updates", ["time", "id"]), "row_key") == [("2024-01-01 00:00:07.500000|1",)]
+    status = spark.createDataFrame([("a", "pending"), ("b", "gone"), ("c", None)], "email string, status string")
+    assert bag(audit.audit_domain(status, "refund", ["email"], "status", ["pending", "approve", "reject"])) == [
+        ("refund", "domain", "b", "status: gone")
+    ]
+
+
+def test_collisions(spark):
+    key = ("email", "id")
+    stored = table(spark, "backs", [("a", "x", 1, None, None, 1), ("z", "x", 9, None, None, 1)])
+    batch = table(spark, "backs", [(e, "x", i, None, None, 1) for e, i in (("a", 1), ("b", 1), ("b", 1), ("c", 1), ("a", 1))])
+    assert bag(audit.audit_collision(batch, stored, "backs", key), "row_key", "detail") == [
+        ("a|1", "already stored"), ("b|1", "repeated in batch"),
+    ]
+
+
+def test_references(spark):
+    tables = five_projects(spark)
+    tables["verifies"] = table(spark, "verifies", [("nobody", 1, "2022-01-01"), ("backer1@gmail.com", 99, "2022-01-01")])
+    tables["updates"] = table(spark, "updates", [("2024-01-01 00:00:00", 1, "m"), ("2024-01-01 00:00:00", 77, "m")])
+    tables["backs"] = table(spark, "backs", [
+        ("backer1@gmail.com", "gold", 1, "2022-01-01", None, 1), ("backer1@gmail.com", "tin", 2, "2022-01-01", None, 1),
+        ("ghost", "gold", 3, "2022-01-01", None, 1), (None, None, 4, "2022-01-01", None, 1),
+    ])
+    tables["refunds"] = table(spark, "refunds", [("backer1@gmail.com", 1, 1, "2022-01-01", True), ("backer1@gmail.com", 5, 9, "2022-01-01", True)])
+    single = bag(audit.audit_foreign_keys(tables, composite=False), "table_name", "row_key", "detail")
+    assert single == sorted([
+        ("verifies", "nobody", "(email) -> users(email)"), ("verifies", "backer1@gmail.com", "(id) -> employees(id)"),
+        ("updates", "2024-01-01 00:00:00.000000|77", "(id) -> projects(id)"), ("backs", "ghost|3", "(email) -> backers(email)"),
+        ("refunds", "backer1@gmail.com|5", "(eid) -> employees(id)"),
+    ])
+    composite = bag(audit.audit_foreign_keys(tables, composite=True), "table_name", "row_key", "detail")
+    assert composite == [
+        ("backs", "backer1@gmail.com|2", "(name, id) -> rewards(name, id)"),
+        ("refunds", "backer1@gmail.com|5", "(email, pid) -> backs(email, id)"),
+    ]
+    hot = {"id": hot_keys(tables["backs"], ["id"], 1), "email": hot_keys(tables["backs"], ["email"], 1)}
+    assert bag(audit.audit_foreign_keys(tables, hot=hot)) == bag(audit.audit_foreign_keys(tables))
+
+
+def test_cast_quarantine(spark):
+    df = spark.createDataFrame([("2022-01-01",), ("hello",), ("",), (None,)], "raw string")
+    assert [(str(v), bad) for _, v, bad in rows(audit.cast_quarantine(df, "raw"))] == [
+        ("2022-01-01", False), ("None", True), ("None", True), ("None", False),
+    ]

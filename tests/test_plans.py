@@ -1,0 +1,120 @@
+"""Plan shapes that must hold whatever the size of the data."""
+
+import re
+
+import pytest
+
+from conformance.queries import QUERIES
+from pledgeflow.operators import audit, refunds, rules
+from pledgeflow.plans import backers, funding, rankings
+from pledgeflow.schema import TABLES
+from pledgeflow.sources.files import read_tables, write_table
+from tests.data import PLEDGES, five_projects, table
+
+FOLDER = "/root/testdata/sf0.001"
+
+
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.fixture(scope="module")
+def stored(spark, tmp_path_factory):
+    """The tables as Parquet, with broadcasts left to explicit hints, as for large tables."""
+    root = str(tmp_path_factory.mktemp("tables"))
+    tables = {name: table(spark, name) for name in TABLES}
+    tables.update(five_projects(spark))
+    tables["backs"] = table(spark, "backs", PLEDGES)
+    for name, df in tables.items():
+        write_table(df, root, name)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield read_tables(spark, root)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+@pytest.mark.parametrize("name", [n for n in sorted(QUERIES) if not n.startswith("stream_")])
+def test_no_python_and_no_cross_join(spark, name):
+    text = plan(QUERIES[name](spark, FOLDER))
+    for operator in ("Python", "Pandas", "CartesianProduct", "NestedLoop"):
+        assert operator not in text
+    if not name.endswith("_summary"):
+        assert "SinglePartition" not in text
+
+
+def _read_columns(text, *columns):
+    """The column lists of the scans of the table that has these columns."""
+    scans = re.findall(r"FileScan parquet \[([^\]]*)\]", text)
+    lists = [[c.split("#")[0] for c in s.split(",")] for s in scans]
+    return [c for c in lists if set(columns) <= set(c)]
+
+
+def test_successful_projects_prunes_and_pushes(stored):
+    text = plan(funding.successful_projects(stored["projects"], stored["backs"], "2022-01-15"))
+    assert "LessThan(deadline,2022-01-15)" in text
+    assert _read_columns(text, "amount") == [["id", "amount"]]
+    # Pledges are added up before they are shuffled.
+    assert text.index("hashpartitioning(id") < text.rindex("partial_sum(amount")
+
+
+def test_top_reports_sort_with_a_limit(stored):
+    args = (stored["projects"], stored["backs"], 5, "2022-12-31", "type1")
+    for job in (rankings.find_top_success, rankings.find_top_popular):
+        text = plan(job(*args))
+        assert "TakeOrderedAndProject" in text and "EqualTo(ptype,type1)" in text
+
+
+def test_days_to_funding_adds_up_days_before_the_window(stored):
+    text = plan(funding.days_to_funding(stored["projects"], stored["backs"]))
+    assert _read_columns(text, "amount") == [["id", "backing", "amount"]]
+    assert text.count("hashpartitioning(") == 3  # days, then pledges and projects per id
+
+
+def test_superbackers_shuffles_no_single_pledge(stored):
+    text = plan(backers.find_superbackers(stored, "2022-10-25"))
+    assert "GreaterThanOrEqual(deadline,2022-09-25)" in text
+    assert "GreaterThanOrEqual(request,2022-09-25)" in text
+    for exchange in re.findall(r"Exchange hashpartitioning.*\n[^\n]*", text):
+        assert "Filter" not in exchange and "Join" not in exchange or "HashAggregate" in exchange or "email" in exchange
+
+
+def test_clean_batch_is_not_moved_for_its_keys(stored):
+    judged = rules.judge_pledges(stored["backs"], stored["projects"], stored["rewards"], stored["backers"])
+    text = plan(judged)
+    assert "hashpartitioning(email" in text  # the backer lookup
+    assert not re.search(r"hashpartitioning\(email#\d+, id#", text)
+
+
+def test_late_requests_push_their_filter(stored):
+    text = plan(refunds.late_requests(stored["backs"], stored["projects"]))
+    assert "IsNotNull(request)" in text
+    assert _read_columns(text, "request") == [["email", "id", "request"]]
+
+
+def test_audit_reads_key_and_rule_columns_only(stored):
+    text = plan(audit.audit_rows(stored["backs"], TABLES["backs"], ["check"]))
+    assert _read_columns(text, "amount") == [["email", "id", "amount"]] and "Exchange" not in text
+
+
+def test_skewed_lookup_is_split_by_adaptive_execution(spark, stored):
+    """Without hot keys the pledge side of a lookup is a plain shuffle, which Spark may split."""
+    big = spark.range(60000).selectExpr(
+        "concat('b', id) AS email", "'gold' AS name", "if(id % 3 > 0, 1, id) AS id", "DATE '2021-10-07' AS backing",
+        "CAST(NULL AS DATE) AS request", "CAST(700 AS DECIMAL(18,4)) AS amount",
+    )
+    settings = {
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+    }
+    try:
+        for key, value in settings.items():
+            spark.conf.set(key, value)
+        judged = rules.judge_pledge_dates(big.repartition(8), stored["projects"])
+        judged.write.format("noop").mode("overwrite").save()
+        judged.collect()
+        assert "skew=true" in plan(judged)
+    finally:
+        for key in settings:
+            spark.conf.unset(key)
