@@ -16,13 +16,12 @@ from pyspark.sql import functions as F
 
 #: Upper bound on the keys that are spread, and so on the broadcast key list.
 MAX_HOT_KEYS = 10_000
-#: A key with fewer rows than this fits one task.
+#: Rows of one key that fit one task; a key with more gets a slice for each so many.
 HOT_ROWS = 5_000_000
-SLICES = 256
 #: Rows up to which a counted side is broadcast; the sides here are a few short columns.
 MAX_BROADCAST_ROWS = 1_000_000
 
-_SLICE, _HOT = "__slice", "__hot"
+_SLICE, _SLICES = "__slice", "__slices"
 
 
 def hot_keys(
@@ -30,8 +29,9 @@ def hot_keys(
 ) -> DataFrame:
     """The keys with at least ``min_rows`` rows, hottest first, ``max_keys`` at most.
 
-    The bound limits only what is spread: a key beyond it holds less than
-    1/``max_keys`` of all rows and joins like any other.
+    Comes with the number of slices each key is to be cut into. The bound limits
+    only what is spread: a key beyond it holds less than 1/``max_keys`` of all
+    rows and joins like any other.
     """
     counted = rows.groupBy(*key).agg(F.count(F.lit(1)).alias("__rows"))
     return (
@@ -39,7 +39,7 @@ def hot_keys(
         .dropna(subset=list(key))
         .orderBy(F.col("__rows").desc(), *key)
         .limit(max_keys)
-        .select(*key)
+        .select(*key, F.ceil(F.col("__rows") / min_rows).cast("int").alias(_SLICES))
     )
 
 
@@ -50,9 +50,8 @@ def spread_join(
     how: str = "inner",
     hot: DataFrame | None = None,
     spread_by: Sequence[str] = (),
-    slices: int = SLICES,
 ) -> DataFrame:
-    """Join ``facts`` to ``lookup``; keys in ``hot`` are spread over ``slices`` tasks.
+    """Join ``facts`` to ``lookup``; the keys in ``hot`` are spread over their slices.
 
     ``hot`` comes from ``hot_keys`` on one or more of the ``on`` columns, so its
     size is bounded and it is safe to broadcast. ``spread_by`` names columns of
@@ -61,16 +60,16 @@ def spread_join(
     on = list(on)
     if hot is None:
         return facts.join(lookup, on, how)
-    marked = F.broadcast(hot.withColumn(_HOT, F.lit(True)))
-    cut = F.pmod(F.xxhash64(*(spread_by or facts.columns)), F.lit(slices)).cast("int")
-    left = facts.join(marked, hot.columns, "left").withColumn(
-        _SLICE, F.when(F.col(_HOT), cut).otherwise(F.lit(0))
+    marked, key = F.broadcast(hot), [c for c in hot.columns if c != _SLICES]
+    slices = F.coalesce(F.col(_SLICES), F.lit(1))
+    cut = F.pmod(F.xxhash64(*(spread_by or facts.columns)), slices).cast("int")
+    left = facts.join(marked, key, "left").withColumn(_SLICE, cut).drop(_SLICES)
+    right = (
+        lookup.join(marked, key, "left")
+        .withColumn(_SLICE, F.explode(F.sequence(F.lit(0), slices - 1)))
+        .drop(_SLICES)
     )
-    every_slice = F.sequence(F.lit(0), F.lit(slices - 1))
-    right = lookup.join(marked, hot.columns, "left").withColumn(
-        _SLICE, F.explode(F.when(F.col(_HOT), every_slice).otherwise(F.array(F.lit(0))))
-    )
-    return left.drop(_HOT).join(right.drop(_HOT), [*on, _SLICE], how).drop(_SLICE)
+    return left.join(right, [*on, _SLICE], how).drop(_SLICE)
 
 
 def matching(table: DataFrame, batch: DataFrame, on: Sequence[str]) -> DataFrame:
