@@ -27,6 +27,13 @@ def connect(folder: str) -> duckdb.DuckDBPyConnection:
     return db
 
 
+# Names the two engines give to one type.
+SAME_TYPE = {
+    "bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "date": "DATE", "boolean": "BOOLEAN",
+    "timestamp_ntz": "TIMESTAMP",
+}
+
+
 def _bag(columns, rows) -> tuple[list[str], Counter]:
     order = sorted(range(len(columns)), key=lambda i: columns[i])
     return [columns[i] for i in order], Counter(tuple(r[i] for i in order) for r in rows)
@@ -40,6 +47,10 @@ def difference(spark, db, folder: str, name: str, sql: str) -> tuple[int, str |
     want_columns, want = _bag([d[0] for d in answer.description], answer.fetchall())
     if got_columns != want_columns:
         return got.total(), f"columns {got_columns} / {want_columns}"
+    types = {c: SAME_TYPE.get(t, t.upper()) for c, t in df.dtypes}
+    other = {d[0]: str(d[1]) for d in answer.description}
+    if types != other:
+        return got.total(), f"types {sorted(set(types.items()) ^ set(other.items()))}"
     if got != want:
         return got.total(), (
             f"rows {got.total()} / {want.total()}; only here {list((got - want).items())[:3]}; "

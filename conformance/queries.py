@@ -429,7 +429,7 @@ def projects_by_type(t):
 @query
 def sql_successful_projects(t):
     sql_functions.register(t.spark, t)
-    return _money(t.spark.sql("SELECT * FROM successful_projects(:day)", args={"day": EARLY}), "amount")
+    return _money(t.spark.sql("SELECT * FROM successful_projects(:day)", args={"day": EARLY}), "amount", "goal")
 
 
 @query
