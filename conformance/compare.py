@@ -10,6 +10,7 @@ import time
 from collections import Counter
 
 import duckdb
+from pyspark.sql import DataFrame
 
 from conformance.oracle import oracle_sql
 from conformance.queries import QUERIES
@@ -39,9 +40,8 @@ def _bag(columns, rows) -> tuple[list[str], Counter]:
     return [columns[i] for i in order], Counter(tuple(r[i] for i in order) for r in rows)
 
 
-def difference(spark, db, folder: str, name: str, sql: str) -> tuple[int, str | None]:
+def difference(df: DataFrame, db: duckdb.DuckDBPyConnection, sql: str) -> tuple[int, str | None]:
     """Row count of the Spark result, and a text if the SQL result differs."""
-    df = QUERIES[name](spark, folder)
     got_columns, got = _bag(df.columns, df.collect())
     answer = db.execute(sql)
     want_columns, want = _bag([d[0] for d in answer.description], answer.fetchall())
@@ -68,10 +68,8 @@ def main() -> None:
     for name in only or QUERIES:
         started = time.time()
         try:
-            if name in oracle:
-                rows, problem = difference(spark, db, folder, name, oracle[name])
-            else:
-                rows, problem = QUERIES[name](spark, folder).count(), None
+            df = QUERIES[name](spark, folder)
+            rows, problem = difference(df, db, oracle[name]) if name in oracle else (df.count(), None)
         except Exception as error:  # report and go on with the next query
             rows, problem = -1, str(error)[:300]
         bad += problem is not None

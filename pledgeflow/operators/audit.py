@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from pledgeflow.functions import messages
 from pledgeflow.functions.expressions import check_violated, row_key
-from pledgeflow.operators.joins import spread_join, within
+from pledgeflow.operators.joins import MAX_BROADCAST_ROWS, count_up_to, spread_join
 from pledgeflow.schema import TABLES, ForeignKey, TableSpec
 from pledgeflow.session import shared_folder
 
@@ -110,10 +110,10 @@ def with_key_reason(judged: DataFrame, batch: DataFrame, table: str, key: Sequen
     key = list(key)
     shared_folder(batch.sparkSession)
     clashes = key_conflicts(batch, key, stored).checkpoint()
-    if clashes.isEmpty():
+    found = count_up_to(clashes)
+    if found == 0:
         return judged.withColumn("key_reason", F.lit(None).cast("string"))
-    small = within(clashes)
-    side = F.broadcast if small else lambda df: df
+    side = F.broadcast if found <= MAX_BROADCAST_ROWS else lambda df: df
     repeated = clashes.filter(~F.col("is_stored")).select(*key)
     contested = (
         judged.join(side(repeated), key, "left_semi")

@@ -81,6 +81,11 @@ def matching(table: DataFrame, batch: DataFrame, on: Sequence[str]) -> DataFrame
     return table.join(batch.select(*on).distinct(), list(on), "left_semi")
 
 
+def count_up_to(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> int:
+    """Number of rows, counted now and not beyond ``max_rows + 1``."""
+    return df.limit(max_rows + 1).count()
+
+
 def within(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> bool:
-    """Whether ``df`` has at most ``max_rows`` rows. Counts them now, and no further than that."""
-    return df.limit(max_rows + 1).count() <= max_rows
+    """Whether ``df`` has at most ``max_rows`` rows, counted now."""
+    return count_up_to(df, max_rows) <= max_rows

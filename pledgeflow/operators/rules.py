@@ -146,23 +146,22 @@ def judge_request_changes(
     batches need not add up all pledges.
     """
     keys = ["email", "id"]
-    ambiguous = changes.groupBy(*keys).agg(F.count(F.lit(1)).alias("__changes")).filter("__changes > 1")
-    current = matching(backs, changes, keys).select(
-        *keys, F.col("request").alias("__request"), F.lit(True).alias("__pledge")
-    )
+    # Pledges on the streamed side: few changes find them without a shuffle of all.
+    wanted = changes.groupBy(*keys).agg(F.count(F.lit(1)).alias("__changes"))
+    current = backs.select(*keys, F.col("request").alias("__request")).join(wanted, keys)
     success = (
         projects.join(project_totals(backs) if totals is None else totals, "id")
         .filter(F.col("goal") <= F.col("amount"))
         .select("id", F.col("deadline").alias("__deadline"))
     )
     found = spread_join(
-        changes.join(current, keys, "left").join(ambiguous, keys, "left"),
+        changes.join(current, keys, "left"),
         success, ["id"], "left", _hot(hot, "id"), ["email"],
     )
     opens = F.col("__request").isNull() & F.col("new_request").isNotNull()
     reasons = [
-        reason_if(F.col("__pledge").isNull(), messages.NO_SUCH_PLEDGE),
-        reason_if(F.col("__changes").isNotNull(), messages.CHANGE_AMBIGUOUS),
+        reason_if(F.col("__changes").isNull(), messages.NO_SUCH_PLEDGE),
+        reason_if(F.col("__changes") > 1, messages.CHANGE_AMBIGUOUS),
         reason_if(
             opens & ~rule_ok(F.col("__deadline") < F.col("new_request")), messages.PROJECT_NOT_SUCCESSFUL
         ),

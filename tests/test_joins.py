@@ -10,7 +10,7 @@ KEYS = st.one_of(st.none(), st.integers(0, 4))
 
 
 @pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
-@settings(max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@settings(max_examples=4, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(facts=st.lists(st.tuples(KEYS, st.integers(0, 99)), max_size=25), lookup=st.sets(st.integers(0, 6)), least=st.integers(1, 5))
 def test_spread_join_is_the_plain_join(spark, how, facts, lookup, least):
     left = spark.createDataFrame(facts, "k bigint, v bigint")

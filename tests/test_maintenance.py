@@ -40,7 +40,7 @@ def test_delete_users(spark):
     assert {name: df.count() for name, df in left.items()} == {"backers": 5, "creators": 4, "users": 9}
 
 
-@settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@settings(max_examples=4, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(size=st.integers(0, 300), parts=st.integers(1, 12), start=st.integers(-5, 1000))
 def test_ids_are_dense(spark, size, parts, start):
     df = spark.range(size).repartition(parts).withColumn("id2", F.col("id") * 2).drop("id")
