@@ -104,33 +104,29 @@ VIEWS = {
 
 def _successful(day: str) -> str:
     return f"""
-        SELECT p.id, p.email AS c_email, p.ptype AS c_ptype, p.created AS c_date, p.name AS pname,
-               p.deadline, p.goal, CAST(sum(b.amount) AS DECIMAL(18,2)) AS amount
-        FROM projects p JOIN backs b ON p.id = b.id
-        WHERE p.goal <= (SELECT sum(b1.amount) FROM backs b1 WHERE b1.id = p.id) AND p.deadline < DATE '{day}'
-        GROUP BY p.id, p.email, p.ptype, p.created, p.name, p.deadline, p.goal"""
+        SELECT p.id, email AS c_email, ptype AS c_ptype, created AS c_date, name AS pname, deadline, goal, amount
+        FROM projects p JOIN totals t ON t.id = p.id AND t.amount >= p.goal WHERE deadline < DATE '{day}'"""
 
 
 def _verified(day: str) -> str:
-    return f"""
-        SELECT * FROM users u
-        WHERE EXISTS (SELECT 1 FROM verifies v WHERE v.email = u.email AND v.verified <= DATE '{day}')"""
+    return f"SELECT * FROM users WHERE email IN (SELECT email FROM verifies WHERE verified <= DATE '{day}')"
+
+
+VIEWS["profile"] = f"""
+    SELECT b.email, count(*) AS n_projects, count(DISTINCT s.c_ptype) AS n_types, sum(b.amount) AS pledged
+    FROM backs b JOIN ({_successful(EARLY)}) s ON s.id = b.id AND s.deadline >= DATE '{EARLY}' - 30
+    GROUP BY b.email"""
+VIEWS["asked"] = f"SELECT DISTINCT email FROM backs WHERE request >= DATE '{EARLY}' - 30"
+
+# Conditions on a verified user's profile.
+_BROAD = "f.n_projects >= 5 AND f.n_types >= 3"
+_LARGE = "f.pledged >= 1500 AND f.email NOT IN (SELECT email FROM asked)"
 
 
 def _superbackers(rule: str) -> str:
-    having, extra = {
-        "breadth": ("count(p.id) >= 5 AND count(DISTINCT p.c_ptype) >= 3", ""),
-        "amount": (
-            "sum(b.amount) >= 1500",
-            f"""AND NOT EXISTS (SELECT 1 FROM backs b1 WHERE b1.email = b.email AND b1.request IS NOT NULL
-                                AND DATE '{EARLY}' - b1.request <= 30)""",
-        ),
-    }[rule]
     return f"""
-        SELECT u.email AS email, u.name AS name
-        FROM ({_verified(EARLY)}) u, ({_successful(EARLY)}) p, backs b
-        WHERE u.email = b.email AND b.id = p.id AND DATE '{EARLY}' - p.deadline <= 30 {extra}
-        GROUP BY u.email, u.name HAVING {having}"""
+        SELECT u.email, u.name FROM ({_verified(EARLY)}) u JOIN profile f ON f.email = u.email
+        WHERE {rule} ORDER BY u.email, u.name"""
 
 
 _TOP_SUCCESS = f"""
@@ -460,16 +456,12 @@ _QUERIES = {
     "project_totals": "SELECT * FROM totals",
     "reward_counts": "SELECT id, count(name) AS levels FROM rewards GROUP BY id",
     "successful_projects": _successful(EARLY),
-    "successful_projects_rows": f"""
-        SELECT * FROM projects p WHERE p.deadline < DATE '{EARLY}'
-        AND p.goal <= (SELECT sum(amount) FROM backs b WHERE b.id = p.id)""",
+    "successful_projects_rows": f"SELECT * FROM projects WHERE id IN (SELECT id FROM ({_successful(EARLY)}))",
     "verified_users": _verified(EARLY),
     "days_to_funding": "SELECT * FROM days",
-    "superbackers_breadth": _superbackers("breadth"),
-    "superbackers_amount": _superbackers("amount"),
-    "find_superbackers": f"""
-        SELECT email, name FROM ({_superbackers("breadth")} UNION {_superbackers("amount")})
-        ORDER BY email, name""",
+    "superbackers_breadth": _superbackers(_BROAD),
+    "superbackers_amount": _superbackers(_LARGE),
+    "find_superbackers": _superbackers(f"({_BROAD}) OR ({_LARGE})"),
     "find_top_success": _TOP_SUCCESS,
     "top_success_rejoin": _TOP_SUCCESS,
     "find_top_popular": _popular(),

@@ -38,10 +38,12 @@ def shared_folder(spark: SparkSession) -> str:
     Only a local session may go without: it gets a temporary folder, because
     driver and executors are one process there.
     """
+    context = spark.sparkContext
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
+        if context.getCheckpointDir() is None:
+            context.setCheckpointDir(folder)
         return folder.rstrip("/")
-    context = spark.sparkContext
     if not context.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     known = context.getCheckpointDir()

@@ -64,3 +64,12 @@ def test_verified_on_the_day_counts(spark, world):
     got = backers.verified_users(world["users"], world["verifies"], "2022-01-01")
     assert bag(got, "email") == [(backer(n),) for n in range(1, 5)]
     assert rows(backers.verified_users(world["users"], world["verifies"], "2021-12-31")) == []
+
+
+def test_many_ended_projects_take_the_shuffled_way(spark, world, monkeypatch):
+    tables = {**world, "backs": _pledges(spark, STEPS)}
+    monkeypatch.setattr(backers, "within", lambda df: False)
+    hot = hot_keys(tables["backs"], ["id"], min_rows=2)
+    for keys in (None, hot):
+        found = backers.find_superbackers(tables, TODAY, hot_ids=keys)
+        assert rows(found, "email") == [(backer(1),), (backer(2),)]

@@ -3,7 +3,7 @@ from decimal import Decimal
 import pytest
 
 from pledgeflow.functions import messages as m
-from pledgeflow.operators import rules
+from pledgeflow.operators import audit, rules
 from pledgeflow.operators.joins import hot_keys
 from pledgeflow.operators.verdicts import apply_policy
 from tests.data import PLEDGES, backer, bag, creator, five_projects, rows, table
@@ -161,6 +161,12 @@ def test_first_broken_pledge_rule_is_the_reason(spark, world, offered):
     ], key=lambda r: repr((r[0], r[1], Decimal(r[2]).quantize(Decimal("1.0000")), r[3])))
 
 
+def test_many_key_clashes_are_joined_without_broadcast(spark, world, offered, monkeypatch):
+    expected = bag(_judge(spark, world, offered))
+    monkeypatch.setattr(audit, "MAX_BROADCAST_ROWS", 0)
+    assert bag(_judge(spark, world, offered)) == expected
+
+
 def test_hot_keys_do_not_change_the_verdicts(spark, world, offered):
     hot = {"id": hot_keys(offered, ["id"], min_rows=1), "email": hot_keys(offered, ["email"], min_rows=2)}
     assert bag(_judge(spark, world, offered, hot)) == bag(_judge(spark, world, offered))
