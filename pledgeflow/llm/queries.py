@@ -56,7 +56,8 @@ def op9_pii(spark: SparkSession, folder: str) -> DataFrame:
     found = pii.find_pii(table(spark, folder, "documents").select("doc_id", "text"))
     base = F.filter("spans", lambda s: s["base"])
     counts = [
-        F.size(F.filter("spans", lambda s, k=kind: s["base"] & (s["kind"] == k))).cast("long").alias(f"n_{kind}")
+        F.size(F.filter(F.transform(base, lambda s: s["kind"]), lambda found: found == kind)).cast("long")
+        .alias(f"n_{kind}")
         for kind in pii.KINDS[:4]
     ]
     return found.select(
