@@ -13,7 +13,7 @@ from pyspark.sql.types import StructType
 from pledgeflow.session import working_folder
 
 #: A-Z lower-cased, all other bytes as they are.
-_LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
+LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 #: The same, and every byte below 0x80 that is no digit or letter becomes a space.
 _ALNUM = bytes(b if b >= 128 or 48 <= b <= 57 or 97 <= b <= 122 else b + 32 if 65 <= b <= 90 else 32 for b in range(256))
 
@@ -29,7 +29,7 @@ def encoded(text: str | None) -> bytes:
 
 def words(text: str | None) -> list[bytes]:
     """Lower-cased (A-Z) words between ASCII white space."""
-    return encoded(text).translate(_LOWER).split()
+    return encoded(text).translate(LOWER).split()
 
 
 def alnum_words(text: str | None) -> list[bytes]:

@@ -7,7 +7,7 @@ cuts it at the window boundaries. Nothing is sorted or shuffled, and only the
 last window has padding.
 
 Ids are looked up per piece of text between white space; the tokenizer sees a
-piece only when a task's dictionary does not have it. That gives the same ids,
+piece only when the worker's dictionary does not have it. That gives the same ids,
 since this kind of tokenizer drops white space and never joins across it (tests
 compare with whole texts).
 
@@ -19,7 +19,10 @@ The result has the columns listed at ``pack``; others of the input are dropped.
 
 from __future__ import annotations
 
+import os
+import re
 from collections.abc import Callable, Iterator
+from functools import lru_cache
 from itertools import accumulate
 
 import numpy as np
@@ -30,40 +33,71 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import BinaryType, IntegerType, LongType, StructField, StructType
 
-from pledgeflow.llm.common import as_batch, encoded, stored
+from pledgeflow.llm.common import LOWER, as_batch, encoded, stored
 
 LENGTH, END_ID = 4096, 2
-#: Pieces of text that a task keeps the ids of; then it starts afresh.
-CACHE_PIECES = 1_000_000
+#: Pieces of text that a Python worker keeps the ids of, 250 bytes each; then it starts afresh.
+CACHE_PIECES = 800_000
+_STOP = re.compile(rb"(?<=[A-Za-z])([.,])(?=\s|$)")
+#: Letters that stay one letter when lower-cased.
+_LETTERS = re.compile("[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f]+")
 #: Ids of a document that leave a task in one batch, about.
 BATCH_IDS = 4_000_000
 
 
 class PieceIds:
-    """Ids of a text as little-endian unsigned 16- or 32-bit numbers, piece by piece."""
+    """Ids of a text as little-endian unsigned 16- or 32-bit numbers, piece by piece.
 
-    def __init__(self, path: str, keep: int = CACHE_PIECES):
-        import os
+    For a tokenizer that lower-cases, drops white space, splits letters from signs and marks
+    the last id of every word. A comma or full stop after a letter and before white space is a
+    piece of its own, so that words are known with and without it. Words of letters alone that are
+    new go to the tokenizer in one text and are told apart by the marks; other pieces go one by one.
+    """
 
+    def __init__(self, path: str, keep: int = CACHE_PIECES):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.type = np.dtype("<u2") if self.tokenizer.get_vocab_size() <= 1 << 16 else np.dtype("<u4")
+        vocabulary = self.tokenizer.get_vocab()
+        size = 1 + max(vocabulary.values())
+        self.type = np.dtype("<u2") if size <= 1 << 16 else np.dtype("<u4")
+        self.ends = np.zeros(size, bool)
+        self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
+        self.special = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.keep, self.known = keep, {}
 
     def __call__(self, text: str | None) -> bytes:
-        pieces = encoded(text).split()
+        raw = encoded(text)
+        pieces = _STOP.sub(rb" \1", raw if any(s in raw for s in self.special) else raw.translate(LOWER)).split()
         known = self.known
         if new := [p for p in set(pieces) if p not in known]:
             if len(known) + len(new) > self.keep:
                 known.clear()
                 new = list(set(pieces))
-            made = self.tokenizer.encode_batch_fast([p.decode("utf-8", "replace") for p in new], add_special_tokens=False)
-            for piece, one in zip(new, made):
-                known[piece] = np.array(one.ids, self.type).tobytes()
+            self._learn({p: p.decode("utf-8", "replace") for p in new})
         return b"".join(map(known.__getitem__, pieces))
 
+    def _learn(self, new: dict[bytes, str]) -> None:
+        plain = [p for p, text in new.items() if _LETTERS.fullmatch(text)]
+        ids = self.tokenizer.encode(" ".join(map(new.__getitem__, plain)), add_special_tokens=False).ids
+        made = np.array(ids, self.type)
+        cuts = (np.flatnonzero(self.ends[made]) + 1).tolist()
+        if len(cuts) == len(plain):
+            size, data = self.type.itemsize, made.tobytes()
+            for piece, a, b in zip(plain, [0, *cuts], cuts):
+                self.known[piece] = data[a * size : b * size]
+        other = [p for p in new if p not in self.known]
+        texts = list(map(new.__getitem__, other))
+        for piece, one in zip(other, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)):
+            self.known[piece] = np.array(one.ids, self.type).tobytes()
+
+
+@lru_cache(maxsize=2)
+def _piece_ids(path: str) -> PieceIds:
+    """One dictionary per Python worker, kept between its tasks."""
+    return PieceIds(path)
+
 
 def tokenized(docs: DataFrame, path: str, id: str = "doc_id", text: str = "text", end_id: int = END_ID) -> DataFrame:
     """(id, part, first, n_tokens, ids): a document's ids with the end id, and the ids before it in its partition."""
@@ -78,7 +112,7 @@ def tokenized(docs: DataFrame, path: str, id: str = "doc_id", text: str = "text"
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids_of = PieceIds(path)
+        ids_of = _piece_ids(path)
         end = np.array([end_id], ids_of.type).tobytes()
         part, done, target = TaskContext.get().partitionId(), 0, to_arrow_schema(schema)
         for batch in batches:
