@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pledgeflow.llm import decontamination, lines, packing, pii
+from pledgeflow.llm import decontamination, lines, packing, pii, simhash, toxicity
 from pledgeflow.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -26,6 +26,34 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def remainder(divisor: int) -> Column:
+    """crc32 of the id as text, modulo; what decides training and held-out rows."""
+    return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % divisor, F.lit(0))
+
+
+@query
+def op4_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    found = simhash.near_duplicates(docs)
+    return found.select(
+        "doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id"
+    )
+
+
+def toxicity_model(spark: SparkSession, folder: str) -> toxicity.Model:
+    """Learned from the labelled documents that are not held out."""
+    labels = table(spark, folder, "labels").select("doc_id", F.col("toxic").alias("label"))
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return toxicity.train(docs.filter(remainder(3) != 1), labels)
+
+
+@query
+def op5_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    scored = toxicity.score(docs, toxicity_model(spark, folder))
+    return scored.select("doc_id", (remainder(3) == 1).alias("held_out"), "score", "predicted")
+
+
 @query
 def op7_packing(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")

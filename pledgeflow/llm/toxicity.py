@@ -15,8 +15,8 @@ As the output is linear in the average, a trained model is one number per n-gram
 row; a task keeps the sums of the words it has met.
 
 Defined cases: a null or empty text, and one of white space only, is padding alone;
-rows without label are not trained on, null labels neither; repeated ids are
-judged one by one; without training rows of both labels every score is the share
+rows without label are not trained on, null labels and null ids neither; repeated rows
+are scored one by one, and an id with both labels is trained on with the larger one; without training rows of both labels every score is the share
 of label 1 (0 without any); an empty table gives an empty result; columns named
 like the added ones are replaced.
 """
@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, IntegerType, StructField, StructType
 
-from pledgeflow.llm.common import Rows, with_columns, words
+from pledgeflow.llm.common import Rows, stored, with_columns, words
 
 MAX_ROWS, MAX_CHARS = 6_000, 30_000_000
 THRESHOLD = 0.7
@@ -134,31 +134,32 @@ class Scorer:
         return self.model.share(self.model.bias + sums[0] / sums[1])
 
 
-def train(rows: DataFrame, id: str = "doc_id", text: str = "text", label: str = "label") -> Model:
-    """A model from labelled rows (id, text, label 0 or 1). Runs when called.
+def train(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "text", label: str = "label") -> Model:
+    """A model from documents (id, text) and labels (id, label 0 or 1). Runs when called.
 
-    Ties and repeated rows: all rows of a sampled id and label are candidates.
+    Only ids, lengths and hashes are shuffled; the texts of the sample are then picked from one scan.
     """
-    rows = rows.filter(F.col(label).isin(0, 1))
-    counts = {r[0]: r[1] for r in rows.groupBy(label).count().collect()}
+    hashed = F.xxhash64(F.col(id).cast("string"), F.col(text))
+    sizes = docs.select(F.col(id), hashed.alias("__order"), F.length(F.coalesce(text, F.lit(""))).alias("__n"))
+    marks = labels.filter(F.col(label).isin(0, 1)).select(F.col(id), F.col(label).cast("int").alias("__label"))
+    rows = stored(sizes.join(marks, id).select("__order", "__n", "__label"), "labelled")
+    counts = {r[0]: r[1] for r in rows.groupBy("__label").count().collect()}
     total = sum(counts.values())
     prior = counts.get(1, 0) / total if total else 0.0
     if len(counts) < 2:
         return fit([], [], prior)
-    order = F.xxhash64(F.col(id).cast("string"), F.xxhash64(text))
-    sized = rows.select(label, order.alias("__order"), F.length(F.coalesce(text, F.lit(""))).alias("__n"))
-    chosen: list[tuple[int, int]] = []
+    chosen: dict[int, int] = {}
     for value in (0, 1):
         held = 0
-        for r in sized.filter(F.col(label) == value).orderBy("__order", "__n").limit(MAX_ROWS // 2).collect():
+        for r in rows.filter(F.col("__label") == value).orderBy("__order", "__n").limit(MAX_ROWS // 2).collect():
             if held + r["__n"] <= MAX_CHARS // 2:
                 held += r["__n"]
-                chosen.append((value, r["__order"]))
-    wanted = rows.sparkSession.createDataFrame(sorted(set(chosen)), f"`{label}` int, __order long")
-    keyed = rows.select(F.col(label).cast("int").alias(label), order.alias("__order"), F.col(text))
-    sample = keyed.join(F.broadcast(wanted), [label, "__order"]).dropDuplicates([label, "__order"]).collect()
-    sample.sort(key=lambda r: r["__order"])
-    return fit([words(r[text]) for r in sample], [r[label] for r in sample], prior)
+                chosen[r["__order"]] = value
+    wanted = docs.sparkSession.createDataFrame(sorted(chosen.items()), "__order long, __label int")
+    found = docs.select(hashed.alias("__order"), F.col(text)).join(F.broadcast(wanted), "__order")
+    sample = {r["__order"]: (words(r[text]), r["__label"]) for r in found.collect()}
+    texts, values = zip(*(sample[k] for k in sorted(sample)))
+    return fit(list(texts), list(values), prior)
 
 
 def score(docs: DataFrame, model: Model, text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
