@@ -3,7 +3,47 @@
 _LOWER = "translate(coalesce({0}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _WORDS = r"regexp_extract_all(" + _LOWER + r", '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
+_RENDERED = "coalesce(string_agg('<|' || role || '|>' || chr(10) || text || chr(10), '' ORDER BY turn, role, text) {0}, '')"
+_RUNS = (
+    "coalesce(string_agg((length(role) + 5) || ':0,' || length(text) || ':' || CAST(role = 'assistant' AS INTEGER)"
+    " || ',1:0', ',' ORDER BY turn, role, text) {0}, '')"
+)
+
+
+def _side(number: int) -> str:
+    return f"FILTER (side = {number} AND turn >= split)"
+
+
 ORACLE: dict[str, str] = {
+    "op1_chat": f"""
+        WITH said AS (SELECT DISTINCT conv_id // 2 AS pair_id, conv_id % 2 AS side, turn, coalesce(role, '') AS role,
+            coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL),
+        turns AS (SELECT pair_id, turn,
+            list([role, text] ORDER BY role, text) FILTER (side = 0) IS NOT DISTINCT FROM
+            list([role, text] ORDER BY role, text) FILTER (side = 1) AS same FROM said GROUP BY ALL),
+        splits AS (SELECT pair_id, min(turn) FILTER (NOT same) AS split, count(*) AS n FROM turns GROUP BY pair_id),
+        before AS (SELECT pair_id, CAST(count(*) AS INTEGER) AS n FROM turns JOIN splits USING (pair_id)
+            WHERE split IS NULL OR turn < split GROUP BY pair_id)
+        SELECT pair_id, coalesce(any_value(before.n), 0) AS prompt_turns,
+            {_RENDERED.format("FILTER (side = 0 AND (split IS NULL OR turn < split))")} AS prompt,
+            {_RENDERED.format(_side(0))} AS chosen, {_RUNS.format(_side(0))} AS chosen_mask,
+            {_RENDERED.format(_side(1))} AS rejected, {_RUNS.format(_side(1))} AS rejected_mask
+        FROM said JOIN splits USING (pair_id) LEFT JOIN before USING (pair_id) GROUP BY pair_id
+    """,
+    "op6_url_filter": r"""
+        WITH parts AS (SELECT page_id,
+            translate(regexp_extract(coalesce(url, ''), '://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                'abcdefghijklmnopqrstuvwxyz') AS host,
+            regexp_extract(coalesce(url, ''), '://[^/?#]*([^?#]*)', 1) AS path FROM pages),
+        ruled AS (SELECT *, CASE
+            WHEN ends_with('.' || host, '.example.org') AND starts_with(path, '/en/1') THEN 'example.org/en/1'
+            WHEN ends_with('.' || host, '.example.org') AND starts_with(path, '/es/') THEN 'example.org/es/'
+            WHEN ends_with('.' || host, '.com') AND starts_with(path, '/fr/') THEN 'com/fr/'
+            WHEN ends_with('.' || host, '.com') AND starts_with(path, '/de/') THEN 'com/de/'
+            WHEN ends_with('.' || host, '.org') AND starts_with(path, '/') THEN 'org/' END AS rule FROM parts)
+        SELECT *, CASE WHEN rule IN ('example.org/en/1', 'example.org/es/', 'com/de/') THEN 'block' ELSE 'allow' END
+            AS verdict FROM ruled
+    """,
     "op8_decontamination": f"""
         WITH docs AS (SELECT row_number() OVER () AS rid, doc_id, {_WORDS.format("text")} AS ws FROM documents),
         items AS (SELECT DISTINCT CAST(item_id AS VARCHAR) AS item, {_WORDS.format("text")} AS ws FROM benchmark),

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pledgeflow.llm import decontamination, lines, packing, pii, simhash, toxicity
+from pledgeflow.llm import chat, decontamination, lines, packing, pii, simhash, toxicity, urls
 from pledgeflow.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -26,6 +26,19 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+@query
+def op1_chat(spark: SparkSession, folder: str) -> DataFrame:
+    """Conversations 2n and 2n + 1 as chosen and rejected of pair n."""
+    turns = table(spark, folder, "conversations").withColumn("pair_id", F.expr("conv_id div 2"))
+    odd = F.col("conv_id") % 2 != 0
+    pairs = chat.format_pairs(turns.filter(~odd), turns.filter(odd))
+    runs = {
+        c: F.array_join(F.transform(c, lambda m: F.concat_ws(":", m["length"], m["loss"].cast("int"))), ",")
+        for c in ("chosen_mask", "rejected_mask")
+    }
+    return pairs.withColumns(runs)
+
+
 def remainder(divisor: int) -> Column:
     """crc32 of the id as text, modulo; what decides training and held-out rows."""
     return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % divisor, F.lit(0))
@@ -54,6 +67,22 @@ def op5_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return scored.select("doc_id", (remainder(3) == 1).alias("held_out"), "score", "predicted")
 
 
+#: The rules of the query: verdict, host and path.
+URL_RULES = (
+    ("allow", "org/"),
+    ("block", "example.org/es/"),
+    ("block", "example.org/en/1"),
+    ("allow", "com/fr/"),
+    ("block", "com/de/"),
+)
+
+
+@query
+def op6_url_filter(spark: SparkSession, folder: str) -> DataFrame:
+    pages = table(spark, folder, "pages").select("page_id", "url")
+    return urls.judge_urls(pages, URL_RULES).select("page_id", "host", "path", "rule", "verdict")
+
+
 @query
 def op7_packing(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
