@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pledgeflow.llm import chat, decontamination, lines, packing, pii, simhash, toxicity, urls
+from pledgeflow.llm import chat, decontamination, lines, minhash, packing, pii, simhash, toxicity, urls
 from pledgeflow.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -44,6 +44,20 @@ def remainder(divisor: int) -> Column:
     return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % divisor, F.lit(0))
 
 
+@query
+def op3_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    pairs = minhash.edited_pairs(table(spark, folder, "documents").select("doc_id", "text"))
+    return pairs.select(
+        "doc_id",
+        "n_chars",
+        F.sha2("edited", 256).alias("edited_sha256"),
+        minhash.as_text(F.col("fingerprint")).alias("fingerprint"),
+        minhash.as_text(F.col("edited_fingerprint")).alias("edited_fingerprint"),
+        "near_edited",
+        "near_next",
+    )
+
+
 @query
 def op4_simhash(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
