@@ -24,7 +24,7 @@ like the added ones are replaced.
 from __future__ import annotations
 
 import math
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 from dataclasses import dataclass
 from zlib import crc32
 
@@ -36,7 +36,7 @@ from pyspark.sql.types import DoubleType, IntegerType, StructField, StructType
 
 from pledgeflow.llm.common import Rows, stored, with_columns, words
 
-MAX_ROWS, MAX_CHARS = 6_000, 30_000_000
+MAX_ROWS, MAX_CHARS = 4_000, 20_000_000
 THRESHOLD = 0.7
 #: Rows of the embedding table, its width, lengths of n-grams.
 BUCKETS, WIDTH, NGRAMS = 1 << 17, 8, (3, 4, 5)
@@ -54,15 +54,14 @@ def word_rows(word: bytes) -> list[int]:
     return [1 + crc32(g.encode()) % (BUCKETS - 1) for g in grams]
 
 
-def _bag(found: list[bytes], known: dict[bytes, list[int]]) -> tuple[np.ndarray, np.ndarray]:
+def _bag(found: list[bytes], known: dict[bytes, bytes]) -> tuple[np.ndarray, np.ndarray]:
     """Rows of a text and their shares in its average."""
-    rows: list[int] = [0] * PADDING
-    for word in found:
-        if (own := known.get(word)) is None:
-            own = known[word] = word_rows(word)
-        rows += own
-    at, counts = np.unique(np.array(rows, np.int64), return_counts=True)
-    return at, (counts / len(rows)).astype(np.float32)
+    for word in set(found):
+        if word not in known:
+            known[word] = np.array(word_rows(word), np.uint32).tobytes()
+    rows = np.frombuffer(b"".join(map(known.__getitem__, found)), np.uint32)
+    at, counts = np.unique(np.concatenate((np.zeros(PADDING, np.uint32), rows)), return_counts=True)
+    return at, (counts / (len(rows) + PADDING)).astype(np.float32)
 
 
 @dataclass
@@ -76,14 +75,14 @@ class Model:
         return 1 / (1 + math.exp(-max(-500.0, min(500.0, odds))))
 
 
-def fit(texts: list[list[bytes]], labels: list[int], prior: float, seed: int = 7) -> Model:
+def fit(texts: Iterable[str | None], labels: list[int], prior: float, seed: int = 7) -> Model:
     """Train both layers; ``prior`` is the share of label 1 that scores are moved to."""
     y = np.array(labels, np.int64)
     odds = math.log(max(prior, 1e-9) / max(1 - prior, 1e-9))
     if len(set(labels)) < 2:
         return Model(np.zeros(BUCKETS, np.float32), odds)
-    known: dict[bytes, list[int]] = {}
-    bags = [_bag(t, known) for t in texts]
+    known: dict[bytes, bytes] = {}
+    bags = [_bag(words(t), known) for t in texts]
     del known
     random = np.random.default_rng(seed)
     table = random.uniform(-1 / WIDTH, 1 / WIDTH, (BUCKETS, WIDTH)).astype(np.float32)
@@ -157,9 +156,9 @@ def train(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "t
                 chosen[r["__order"]] = value
     wanted = docs.sparkSession.createDataFrame(sorted(chosen.items()), "__order long, __label int")
     found = docs.select(hashed.alias("__order"), F.col(text)).join(F.broadcast(wanted), "__order")
-    sample = {r["__order"]: (words(r[text]), r["__label"]) for r in found.collect()}
+    sample = {r["__order"]: (r[text], r["__label"]) for r in found.collect()}
     texts, values = zip(*(sample[k] for k in sorted(sample)))
-    return fit(list(texts), list(values), prior)
+    return fit(texts, list(values), prior)
 
 
 def score(docs: DataFrame, model: Model, text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
