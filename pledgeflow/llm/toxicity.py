@@ -24,6 +24,7 @@ like the added ones are replaced.
 from __future__ import annotations
 
 import math
+import uuid
 from collections.abc import Callable, Iterable
 from dataclasses import dataclass
 from zlib import crc32
@@ -43,7 +44,7 @@ BUCKETS, WIDTH, NGRAMS = 1 << 17, 8, (3, 4, 5)
 EPOCHS, BATCH, RATE = 12, 64, 1.0
 #: Times the row 0 counts in every average, so that a few words alone don't decide.
 PADDING = 60
-#: Words a task keeps the sums of.
+#: Words a Python worker keeps the sums of.
 CACHE_WORDS = 500_000
 
 
@@ -133,6 +134,17 @@ class Scorer:
         return self.model.share(self.model.bias + sums[0] / sums[1])
 
 
+_KEPT: dict[str, Scorer] = {}
+
+
+def _scorer(key: str, shared) -> Scorer:
+    """The scorer of a Python worker, kept between its tasks."""
+    if key not in _KEPT:
+        _KEPT.clear()
+        _KEPT[key] = Scorer(shared.value)
+    return _KEPT[key]
+
+
 def train(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "text", label: str = "label") -> Model:
     """A model from documents (id, text) and labels (id, label 0 or 1). Runs when called.
 
@@ -163,11 +175,11 @@ def train(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "t
 
 def score(docs: DataFrame, model: Model, text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """``docs`` with ``score`` (0 to 1) and ``predicted`` (1 from ``threshold`` on)."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared, key = docs.sparkSession.sparkContext.broadcast(model), uuid.uuid4().hex
     added = StructType([StructField("score", DoubleType()), StructField("predicted", IntegerType())])
 
     def start() -> Callable[[pa.RecordBatch], Rows]:
-        scorer = Scorer(shared.value)
+        scorer = _scorer(key, shared)
 
         def convert(batch: pa.RecordBatch) -> Rows:
             scores = [scorer(t) for t in batch.column(text).to_pylist()]
