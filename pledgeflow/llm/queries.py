@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pledgeflow.llm import chat, decontamination, lines, minhash, packing, pii, simhash, toxicity, urls
+from pledgeflow.llm import chat, decontamination, language_model, lines, minhash, packing, pii, simhash, toxicity, urls
 from pledgeflow.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -44,6 +44,16 @@ def remainder(divisor: int) -> Column:
     return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % divisor, F.lit(0))
 
 
+@query
+def op2_language_model(spark: SparkSession, folder: str) -> DataFrame:
+    import public_tokenizers
+
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return language_model.score_texts(
+        docs, remainder(7) == 2, tokenizer_path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
+    )
+
+
 @query
 def op3_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
     pairs = minhash.edited_pairs(table(spark, folder, "documents").select("doc_id", "text"))
