@@ -7,6 +7,7 @@ from typing import Any
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
@@ -68,6 +69,16 @@ def arrow_pass(df: DataFrame, schema: StructType, start: Callable[[], Callable[[
     return df.mapInArrow(run, schema)
 
 
+def set_aside(df: DataFrame, names: set[str]) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
+    """``df`` with its own columns of these names renamed, and a function that gives back its columns as they were."""
+    own = {c: f"__own_{c}" if c.lower() in names else c for c in df.columns}
+
+    def back(result: DataFrame) -> DataFrame:
+        return result.select(*(F.col(f"`{now}`").alias(was) for was, now in own.items()))
+
+    return df.withColumnsRenamed(own), back
+
+
 def as_batch(rows: Rows, target: pa.Schema) -> pa.RecordBatch:
     arrays = []
     for field in target:

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StringType, StructField, StructType
 
-from pledgeflow.llm.common import Rows, alnum_words, with_columns
+from pledgeflow.llm.common import Rows, alnum_words, set_aside, with_columns
 
 #: Words of an item that make one window.
 WINDOW = 10
@@ -161,6 +161,5 @@ def _scanner(text: str, block, again: bool) -> Callable[[], Callable[[pa.RecordB
 
 def without_leaks(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
     """Only the documents in which no benchmark window occurs, with the columns of ``docs``."""
-    found = find_leaks(docs, benchmark, **options)
-    clean = found.filter(F.size("hit_spans") == 0)
-    return clean.select(*[c for c in docs.columns if c in clean.columns])
+    renamed, back = set_aside(docs, {f.name for f in _FOUND.fields})
+    return back(find_leaks(renamed, benchmark, **options).filter(F.size("hit_spans") == 0))

@@ -77,17 +77,15 @@ def op4_simhash(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def toxicity_model(spark: SparkSession, folder: str) -> toxicity.Model:
+def toxicity_model(docs: DataFrame, labels: DataFrame) -> toxicity.Model:
     """Learned from the labelled documents that are not held out."""
-    labels = table(spark, folder, "labels").select("doc_id", F.col("toxic").alias("label"))
-    docs = table(spark, folder, "documents").select("doc_id", "text")
-    return toxicity.train(docs.filter(remainder(3) != 1), labels)
+    return toxicity.train(docs.filter(remainder(3) != 1), labels.select("doc_id", F.col("toxic").alias("label")))
 
 
 @query
 def op5_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
-    scored = toxicity.score(docs, toxicity_model(spark, folder))
+    scored = toxicity.score(docs, toxicity_model(docs, table(spark, folder, "labels")))
     return scored.select("doc_id", (remainder(3) == 1).alias("held_out"), "score", "predicted")
 
 
