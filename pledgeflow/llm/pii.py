@@ -52,7 +52,7 @@ CONTEXT = {
 _CONTEXT = {k: (s, re.compile(rf"\b(?:{up})", re.I), re.compile(rf"\b(?:{down})", re.I)) for k, (s, up, down) in CONTEXT.items()}
 _LOCAL_CHARS = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _DOMAIN = re.compile(r"@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++")
-_IP = re.compile(r"[0-9]++(?:\.[0-9]++){3}")
+_IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
 _CARD = re.compile(r"[0-9](?:[ -]?[0-9])++")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30}+(?![A-Za-z0-9])")

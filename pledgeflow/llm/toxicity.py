@@ -41,7 +41,7 @@ MAX_ROWS, MAX_CHARS = 4_000, 20_000_000
 THRESHOLD = 0.7
 #: Rows of the embedding table, its width, lengths of n-grams.
 BUCKETS, WIDTH, NGRAMS = 1 << 17, 8, (3, 4, 5)
-EPOCHS, BATCH, RATE = 12, 64, 1.0
+EPOCHS, LEAST_STEPS, BATCH, RATE = 12, 300, 64, 1.0
 #: Times the row 0 counts in every average, so that a few words alone don't decide.
 PADDING = 60
 #: Words a Python worker keeps the sums of.
@@ -91,8 +91,9 @@ def fit(texts: Iterable[str | None], labels: list[int], prior: float, seed: int
     bias = np.zeros(2, np.float32)
     seen = [np.full_like(table, 1e-8), np.full_like(out, 1e-8), np.full_like(bias, 1e-8)]
     dense = np.zeros((BATCH, BUCKETS), np.float32)
-    for epoch in range(EPOCHS):
-        rate = RATE * (1 - epoch / EPOCHS)
+    epochs = max(EPOCHS, -(-LEAST_STEPS * BATCH // len(bags)))
+    for epoch in range(epochs):
+        rate = RATE * (1 - epoch / epochs)
         order = random.permutation(len(bags))
         for first in range(0, len(order), BATCH):
             batch = order[first : first + BATCH]
