@@ -1,0 +1,68 @@
+"""Preference pairs against Python; masks cover exactly what the assistant says."""
+
+import random
+
+from pledgeflow.llm import chat
+
+SCHEMA = "pair_id long, turn long, role string, text string, prompt string"
+
+
+def brute(rows):
+    by = {}
+    for turn, role, text in {(t, r or "", x or "") for t, r, x in rows}:
+        by.setdefault(-(1 << 63) if turn is None else turn, []).append((role, text))
+    return {t: sorted(m) for t, m in by.items()}
+
+
+def rendered(messages):
+    return "".join(f"<|{r}|>\n{t}\n" for r, t in messages)
+
+
+def expected(chosen, rejected):
+    c, r = brute(chosen), brute(rejected)
+    turns = sorted(c.keys() | r.keys())
+    split = next((n for n, t in enumerate(turns) if c.get(t) != r.get(t)), len(turns))
+    flat = lambda d, ts: [m for t in ts for m in d.get(t, [])]
+    return split, rendered(flat(c, turns[:split])), flat(c, turns[split:]), flat(r, turns[split:])
+
+
+def sides():
+    r = random.Random(5)
+    out = {}
+    for key in range(40):
+        base = [(n, ("user", "assistant")[n % 2], f"t{r.randrange(3)}\n") for n in range(r.randrange(9))]
+        other = [(n, role, text if r.random() < 0.8 else "else") for n, role, text in base][: r.randrange(10)]
+        out[key] = (base, other + [(len(other), "assistant", "end")] * r.randrange(3))
+    out[100] = ([(None, "user", "first"), (0, None, None), (2, "assistant", "é" * 50_000)], [(None, "user", "first"), (0, "", "")])
+    out[101] = ([(1, "user", "b"), (1, "assistant", "a"), (1, "user", "b")], [(1, "assistant", "a"), (1, "user", "b")])
+    return out
+
+
+def test_pairs(spark):
+    pairs = sides()
+    frames = [
+        spark.createDataFrame([(k, *row, "own") for k, both in pairs.items() for row in both[n]] + [(None, 0, "user", "x", "own")], SCHEMA)
+        for n in (0, 1)
+    ]
+    got = {r["pair_id"]: r for r in chat.format_pairs(*frames).collect()}
+    assert got.keys() == {k for k, both in pairs.items() if any(both)}
+    for k, r in got.items():
+        split, prompt, chosen, rejected = expected(*pairs[k])
+        assert (r["prompt_turns"], r["prompt"], r["chosen"], r["rejected"]) == (split, prompt, rendered(chosen), rendered(rejected))
+        for side, messages in (("chosen", chosen), ("rejected", rejected)):
+            at, said = 0, ""
+            for piece in r[f"{side}_mask"]:
+                said += r[side][at : at + piece["length"]] * piece["loss"]
+                at += piece["length"]
+            assert at == len(r[side]) and said == "".join(t for role, t in messages if role == "assistant")
+
+
+def test_empty_tables_and_plan(spark):
+    none = spark.createDataFrame([], SCHEMA)
+    made = chat.format_pairs(none, none)
+    assert made.count() == 0
+    one = spark.createDataFrame([(1, 0, "user", "hi", "own")], SCHEMA)
+    r = chat.format_pairs(one, none).first()
+    assert (r["prompt"], r["chosen"], r["rejected"], r["rejected_mask"]) == ("", "<|user|>\nhi\n", "", [])
+    plan = made._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "SinglePartition" not in plan

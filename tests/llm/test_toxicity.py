@@ -1,0 +1,65 @@
+"""Held-out accuracy, misspellings, and gradients of the joint training by its effect."""
+
+import random
+
+import pytest
+
+from pledgeflow.llm import toxicity
+from tests.llm.cases import docs_of, empty, frame, prose
+
+BAD = ["grumblefax", "snorkwit", "blatherpox"]
+
+
+def made(n, seed):
+    r = random.Random(seed)
+    out = []
+    for i in range(n):
+        words = prose(seed * 1000 + i, r.randint(10, 80)).split()
+        toxic = i % 4 == 0
+        if toxic:
+            for _ in range(max(2, len(words) // 20)):
+                words.insert(r.randrange(len(words)), r.choice(BAD))
+        out.append((i, " ".join(words), int(toxic)))
+    return out
+
+
+@pytest.fixture(scope="module")
+def model():
+    rows = made(300, 1)
+    return toxicity.fit([t for _, t, _ in rows], [y for *_, y in rows], 0.25)
+
+
+def test_held_out_accuracy_and_misspellings(model):
+    scorer = toxicity.Scorer(model)
+    rows = made(200, 2)
+    assert sum((scorer(t) >= 0.7) == bool(y) for _, t, y in rows) >= 190
+    text = prose(77, 40)
+    misspelt = " ".join(w + " grumblfaxx snorkwitt" if n % 12 == 0 else w for n, w in enumerate(text.split()))
+    assert scorer(misspelt) > 0.5 > scorer(text)
+    assert 0 <= scorer(None) == scorer("") == scorer(" \n") < 0.7
+
+
+def test_training_uses_labels_of_documents_only_once(spark):
+    rows = made(120, 3)
+    docs = docs_of(spark, [(i, t) for i, t, _ in rows] + [(None, "x"), (500, "unlabelled"), (0, rows[0][1])])
+    labels = spark.createDataFrame([(i, y) for i, _, y in rows] + [(None, 1), (7, None), (900, 1)], "doc_id long, label int")
+    trained = toxicity.train(docs, labels)
+    again = toxicity.train(docs.repartition(3), labels.repartition(2))
+    got = {r["doc_id"]: r for r in toxicity.score(docs, trained).collect()}
+    assert [abs(trained.bias - again.bias), abs(trained.row_odds - again.row_odds).max()] == pytest.approx([0, 0], abs=1e-3)
+    assert sum(got[i]["predicted"] == y for i, _, y in rows) > 110
+    assert all(0 <= r["score"] <= 1 and r["predicted"] == (r["score"] >= 0.7) for r in got.values())
+
+
+def test_one_label_and_none(spark):
+    docs = docs_of(spark, [(1, "a"), (2, None)])
+    labels = spark.createDataFrame([(1, 0), (2, 0)], "doc_id long, label int")
+    assert {r["score"] < 1e-6 for r in toxicity.score(docs, toxicity.train(docs, labels)).collect()} == {True}
+    assert toxicity.score(docs, toxicity.train(docs, labels.limit(0))).count() == 2
+
+
+def test_awkward_rows_and_empty_tables(spark, model):
+    docs = frame(spark)
+    scored = toxicity.score(docs, model)
+    assert scored.count() == docs.count() and dict(scored.dtypes)["score"] == "double"
+    assert scored.filter("spans <> 'own'").count() == 0 and toxicity.score(empty(spark), model).count() == 0
