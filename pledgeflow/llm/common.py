@@ -50,6 +50,13 @@ def stored(df: DataFrame, name: str, partition_by: str | None = None) -> DataFra
     return spark.read.schema(df.schema).parquet(folder)
 
 
+def parts(batches: Iterator[pa.RecordBatch], rows: int = 1_000) -> Iterator[pa.RecordBatch]:
+    """Batches in pieces of so many rows, so that few texts are Python objects at a time."""
+    for batch in batches:
+        for first in range(0, batch.num_rows, rows):
+            yield batch.slice(first, rows)
+
+
 Rows = dict[str, list[Any] | pa.Array]
 
 
