@@ -13,11 +13,11 @@ VIEWS = {
                CASE WHEN c_custkey % 3 = 0 THEN NULL ELSE 'cc' || (c_custkey % 5) END AS cc2
         FROM customer
         UNION ALL
-        SELECT 's' || s_suppkey, s_name, 'cc' || (s_suppkey % 7), NULL FROM supplier WHERE s_suppkey % 2 = 1""",
+        SELECT 's' || s_suppkey, s_name, 'cc' || (s_suppkey % 7), NULL FROM supplier""",
     "backers": """
         SELECT 'u' || c_custkey AS email, c_mktsegment AS street, CAST(c_custkey AS VARCHAR) AS num,
                CAST(c_nationkey AS VARCHAR) AS zip, n_name AS country
-        FROM customer JOIN nation ON c_nationkey = n_nationkey WHERE c_custkey % 50 <> 0""",
+        FROM customer JOIN nation ON c_nationkey = n_nationkey WHERE c_acctbal > -900""",
     "creators": """
         SELECT CASE WHEN s_suppkey % 2 = 0 THEN 'u' ELSE 's' END || s_suppkey AS email, n_name AS country
         FROM supplier JOIN nation ON s_nationkey = n_nationkey""",
@@ -40,7 +40,7 @@ VIEWS = {
         SELECT tier AS name, p_partkey AS id,
                CAST(CAST(p_retailprice AS DECIMAL(18,2)) * factor AS DECIMAL(18,2)) AS min_amt
         FROM part, (VALUES ('bronze', 10), ('silver', 30), ('gold', 60)) AS tiers(tier, factor)
-        WHERE p_partkey % 40 <> 0""",
+        WHERE p_size <> 25""",
     "backs": """
         SELECT 'u' || o_custkey AS email,
                CASE min(l_linenumber) % 3 WHEN 0 THEN 'bronze' WHEN 1 THEN 'silver' ELSE 'gold' END AS name,
@@ -51,7 +51,7 @@ VIEWS = {
         FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY o_custkey, l_partkey""",
     "refunds": """
         SELECT email, id AS pid, id % 10 AS eid, CAST(request + 7 AS DATE) AS date, id % 8 = 0 AS accepted
-        FROM backs WHERE request IS NOT NULL AND id % 4 = 0""",
+        FROM backs WHERE month(request) <= 6""",
     "request_changes": """
         SELECT email, id, CASE WHEN id % 10 = 6 THEN NULL ELSE CAST(backing + 1500 AS DATE) END AS new_request
         FROM backs""",
@@ -215,7 +215,8 @@ def _unique() -> str:
     for table, key in _KEYS.items():
         source = "(SELECT * FROM backs UNION ALL SELECT * FROM offered_backs)" if table == "backs" else table
         columns = ", ".join(key.split())
-        body = f"FROM {source} AS t GROUP BY {columns} HAVING count(*) > 1"
+        known = " AND ".join(f"{c} IS NOT NULL" for c in key.split())
+        body = f"FROM {source} AS t WHERE {known} GROUP BY {columns} HAVING count(*) > 1"
         parts.append(_violation(table, "unique", "count(*) || ' rows'", body))
     return "\nUNION ALL\n".join(parts)
 
@@ -464,6 +465,7 @@ _QUERIES = {
     "find_superbackers": _superbackers(f"({_BROAD}) OR ({_LARGE})"),
     "find_top_success": _TOP_SUCCESS,
     "top_success_rejoin": _TOP_SUCCESS,
+    "top_success_struct": _TOP_SUCCESS,
     "find_top_popular": _popular(),
     "top_popular_funded": _popular("d.days IS NOT NULL"),
     "daily_funding": "SELECT * FROM daily",
@@ -471,7 +473,24 @@ _QUERIES = {
     "projects_by_type": f"SELECT * FROM projects WHERE ptype = '{PTYPE}'",
     "sql_successful_projects": _successful(EARLY),
     "sql_verified_users": _verified(EARLY),
+    "sql_find_top_success": _TOP_SUCCESS,
+    "sql_find_top_popular": _popular(),
+    "sql_find_superbackers": _superbackers(f"({_BROAD}) OR ({_LARGE})"),
+    "sql_days_to_funding": "SELECT * FROM days",
+    "ingest_pledges_hot": _ingest("backs"),
+    "audit_fk_hot": _foreign_keys(composite=False),
+    "superbackers_hot": _superbackers(f"({_BROAD}) OR ({_LARGE})"),
+    "load_delimited": """
+        SELECT CASE WHEN o_orderstatus = 'P' THEN NULL ELSE o_orderkey END AS id, o_custkey AS customer,
+               CASE WHEN o_orderpriority = '1-URGENT' THEN NULL ELSE CAST(o_orderdate AS DATE) END AS day,
+               CASE WHEN o_orderstatus = 'P' THEN chr(92) || 'N' ELSE CAST(o_orderkey AS VARCHAR) END || ',' || o_custkey
+               || ',' || CASE WHEN o_orderpriority = '1-URGENT' THEN '31/12/1998'
+                              ELSE strftime(o_orderdate, '%Y-%m-%d') END AS line,
+               CASE WHEN o_orderpriority = '1-URGENT' THEN 'malformed line'
+                    WHEN o_orderstatus = 'P' THEN 'null value in column id' END AS reason
+        FROM orders""",
     "stream_pledges": _ingest("backs"),
+    "stream_pledges_again": _ingest("offered_backs", "backs"),
     "stream_refunds": _decision("""
         CASE WHEN NOT EXISTS (SELECT 1 FROM employees e WHERE e.id = f.eid)
              THEN 'missing parent: refunds (eid) -> employees(id)' END"""),

@@ -12,16 +12,22 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from pledgeflow.operators import audit, cascade, ingest, maintenance, refunds, rules, verdicts
+from pledgeflow.operators.joins import hot_keys
 from pledgeflow.plans import backers, funding, rankings, sql_functions
 from pledgeflow.schema import TABLES
+from pledgeflow.sources import files
 from pledgeflow.sources.adapters import DriverTables
 from pledgeflow.streaming import guards
 
 # Parameters of the driver data, the same in the oracle.
 EARLY, LATE, PTYPE, TOP_N = "2000-01-01", "2001-06-30", "PROMO", 20
 
+# Shares of all rows from which a key counts as hot; low, so that many do.
+HOT_PARTS = 500
+
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
@@ -143,12 +149,12 @@ def audit_collision(t):
 
 @query
 def audit_fk(t):
-    return audit.audit_foreign_keys(t, composite=False, hot=t.hot())
+    return audit.audit_foreign_keys(t, composite=False)
 
 
 @query
 def audit_fk_composite(t):
-    return audit.audit_foreign_keys(t, composite=True, hot=t.hot())
+    return audit.audit_foreign_keys(t, composite=True)
 
 
 @query
@@ -212,7 +218,7 @@ def cascade_delete_projects(t):
 
 @query
 def cascade_delete_pledges(t):
-    gone = refunds.late_requests(t["backs"], t["projects"], t.hot().get("id")).withColumnRenamed("pid", "id")
+    gone = refunds.late_requests(t["backs"], t["projects"]).withColumnRenamed("pid", "id")
     left = cascade.cascade_delete(t, "backs", gone)
     return _stack(_rows("backs", left["backs"], "email", "id"), _rows("refunds", left["refunds"], "email", "pid"))
 
@@ -237,7 +243,7 @@ def rule_user_role(t):
 
 @query
 def rule_pledge_min(t):
-    return rules.judge_pledge_minimum(t["backs"], t["rewards"], t.hot())
+    return rules.judge_pledge_minimum(t["backs"], t["rewards"])
 
 
 @query
@@ -250,28 +256,28 @@ def rule_project_reward(t):
 
 @query
 def rule_refund_decision(t):
-    return rules.judge_refund_decisions(t["refunds"], t["backs"], t["projects"], t.hot())
+    return rules.judge_refund_decisions(t["refunds"], t["backs"], t["projects"])
 
 
 @query
 def rule_pledge_dates(t):
-    return rules.judge_pledge_dates(t["backs"], t["projects"], t.hot())
+    return rules.judge_pledge_dates(t["backs"], t["projects"])
 
 
 @query
 def rule_request_success(t):
-    return rules.judge_request_changes(t["request_changes"], t["backs"], t["projects"], hot=t.hot())
+    return rules.judge_request_changes(t["request_changes"], t["backs"], t["projects"])
 
 
 @query
 def rule_request_locked(t):
     return rules.judge_request_changes(
-        t["request_changes"], t["backs"], t["projects"], lock_existing=True, hot=t.hot()
+        t["request_changes"], t["backs"], t["projects"], lock_existing=True
     )
 
 
 def _judged_pledges(t, pledges: DataFrame, stored: DataFrame | None = None) -> DataFrame:
-    return rules.judge_pledges(pledges, t["projects"], t["rewards"], t["backers"], stored, t.hot())
+    return rules.judge_pledges(pledges, t["projects"], t["rewards"], t["backers"], stored)
 
 
 @query
@@ -323,13 +329,13 @@ def load_projects(t):
 
 @query
 def auto_reject(t):
-    return refunds.auto_reject(t["backs"], t["projects"], t["refunds"], 1, EARLY, hot_ids=t.hot().get("id"))
+    return refunds.auto_reject(t["backs"], t["projects"], t["refunds"], 1, EARLY)
 
 
 @query
 def auto_reject_strict(t):
     return refunds.auto_reject(
-        t["backs"], t["projects"], t["refunds"], 1, EARLY, strict=True, hot_ids=t.hot().get("id")
+        t["backs"], t["projects"], t["refunds"], 1, EARLY, strict=True
     )
 
 
@@ -373,17 +379,17 @@ def days_to_funding(t):
 
 @query
 def superbackers_breadth(t):
-    return backers.superbackers_breadth(t, EARLY, hot_ids=t.hot().get("id"))
+    return backers.superbackers_breadth(t, EARLY)
 
 
 @query
 def superbackers_amount(t):
-    return backers.superbackers_amount(t, EARLY, hot_ids=t.hot().get("id"))
+    return backers.superbackers_amount(t, EARLY)
 
 
 @query
 def find_superbackers(t):
-    return backers.find_superbackers(t, EARLY, hot_ids=t.hot().get("id"))
+    return backers.find_superbackers(t, EARLY)
 
 
 @query
@@ -398,7 +404,8 @@ def top_success_rejoin(t):
 
 @query
 def top_success_struct(t):
-    return find_top_success(t).select(F.struct("*").alias("find_top_success"))
+    whole = find_top_success(t).select(F.struct("*").alias("find_top_success"))
+    return whole.select("find_top_success.*")
 
 
 @query
@@ -438,6 +445,68 @@ def sql_verified_users(t):
     return t.spark.sql("SELECT * FROM verified_users(:day)", args={"day": EARLY})
 
 
+def _sql(t, text: str, **args) -> DataFrame:
+    sql_functions.register(t.spark, t)
+    return t.spark.sql(text, args=args)
+
+
+@query
+def sql_find_top_success(t):
+    top = _sql(t, "SELECT * FROM find_top_success(:n, :day, :ptype)", n=TOP_N, day=LATE, ptype=PTYPE)
+    return _money(top, "amount")
+
+
+@query
+def sql_find_top_popular(t):
+    return _sql(t, "SELECT * FROM find_top_popular(:n, :day, :ptype)", n=TOP_N, day=LATE, ptype=PTYPE)
+
+
+@query
+def sql_find_superbackers(t):
+    return _sql(t, "SELECT * FROM find_superbackers(:day)", day=EARLY)
+
+
+@query
+def sql_days_to_funding(t):
+    return _sql(t, "SELECT * FROM days_to_funding()")
+
+
+# --- jobs with hot keys spread --------------------------------------------------
+
+
+@query
+def ingest_pledges_hot(t):
+    return rules.judge_pledges(t["backs"], t["projects"], t["rewards"], t["backers"], hot=t.hot(HOT_PARTS))
+
+
+@query
+def audit_fk_hot(t):
+    hot = {
+        "backs": t.hot(HOT_PARTS),
+        "projects": {"email": hot_keys(t["projects"].select("email"), ["email"], HOT_PARTS)},
+        "verifies": {"id": hot_keys(t["verifies"].select("id"), ["id"], HOT_PARTS)},
+    }
+    return audit.audit_foreign_keys(t, composite=False, hot=hot)
+
+
+@query
+def superbackers_hot(t):
+    return backers.find_superbackers(t, EARLY, hot_ids=t.hot(HOT_PARTS)["id"])
+
+
+@query
+def load_delimited(t):
+    """Lines of text as a dump has them: some without a key, some with a date that does not parse."""
+    orders = t.source("orders")
+    key = F.when(F.col("o_orderstatus") == "P", "\\N").otherwise(F.col("o_orderkey").cast("string"))
+    day = F.when(F.col("o_orderpriority") == "1-URGENT", "31/12/1998").otherwise(F.col("o_orderdate").cast("date").cast("string"))
+    lines = orders.select(F.concat_ws(",", key, F.col("o_custkey").cast("string"), day).alias("value"))
+    marker = t.spark.createDataFrame([("\\.",)], "value string")
+    return files.parse_delimited(lines.union(marker), T.StructType([
+        T.StructField("id", T.LongType(), False), T.StructField("customer", T.LongType()), T.StructField("day", T.DateType()),
+    ]))
+
+
 # --- the same rules on streams -----------------------------------------------
 
 
@@ -450,7 +519,18 @@ def _replayed(t, name: str, start: Callable) -> DataFrame:
 def stream_pledges(t):
     return _replayed(
         t, "backs",
-        lambda s, sink: guards.guard_pledges(s, sink, t["projects"], t["rewards"], t["backers"], hot=t.hot()),
+        lambda s, sink: guards.guard_pledges(s, sink, t["projects"], t["rewards"], t["backers"]),
+    )
+
+
+@query
+def stream_pledges_again(t):
+    """Offered pledges, of which some have a stored key."""
+    return _replayed(
+        t, "offered_backs",
+        lambda s, sink: guards.guard_pledges(
+            s, sink, lambda: t["projects"], lambda: t["rewards"], lambda: t["backers"], lambda: t["backs"]
+        ),
     )
 
 
@@ -459,7 +539,7 @@ def stream_refunds(t):
     return _replayed(
         t, "refunds",
         lambda s, sink: guards.guard_refunds(
-            s, sink, t["backs"], t["projects"], t["employees"], hot=t.hot()
+            s, sink, t["backs"], t["projects"], t["employees"]
         ),
     )
 
@@ -468,7 +548,7 @@ def stream_refunds(t):
 def stream_request_changes(t):
     return _replayed(
         t, "request_changes",
-        lambda s, sink: guards.guard_request_changes(s, sink, t["backs"], t["projects"], hot=t.hot()),
+        lambda s, sink: guards.guard_request_changes(s, sink, t["backs"], t["projects"]),
     )
 
 

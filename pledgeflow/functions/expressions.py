@@ -70,13 +70,27 @@ def row_key(df_schema, key: Sequence[str]) -> Column:
 
 
 def text_array(column: Column) -> Column:
-    """``'{a, b}'`` to an array of its trimmed elements; ``'{}'`` to an empty one."""
+    """``'{a, b}'`` to an array of its trimmed elements; ``'{}'`` to an empty one.
+
+    An element in double quotes may hold commas and spaces, and a backslash before a character that stands for itself.
+    """
     body = F.trim(F.regexp_replace(column, r"^\s*\{|\}\s*$", ""))
     return F.when(body == "", F.array().cast("array<string>")).otherwise(
-        F.transform(F.split(body, ","), lambda x: F.when(F.trim(x) != "NULL", F.trim(x)))
+        F.transform(F.split(body, _COMMA), _element)
     )
 
 
+#: A comma with an even number of unescaped double quotes behind it.
+_COMMA = r',(?=(?:[^"\\]|\\.)*(?:(?:"(?:[^"\\]|\\.)*){2})*$)'
+
+
+def _element(x: Column) -> Column:
+    plain = F.trim(x)
+    inner = F.regexp_replace(plain, r'^"|"$', "")
+    quoted = plain.startswith('"') & plain.endswith('"') & (F.length(plain) > 1)
+    return F.when(quoted, F.regexp_replace(inner, r"\\(.)", "$1")).when(plain != "NULL", plain)
+
+
 def money_array(column: Column) -> Column:
     """A text array of amounts as decimals; text that is no number becomes NULL."""
     return F.transform(text_array(column), lambda x: x.try_cast(MONEY))

@@ -10,9 +10,9 @@ from pyspark.sql import functions as F
 
 from pledgeflow.functions import messages
 from pledgeflow.functions.expressions import check_violated, row_key
-from pledgeflow.operators.joins import MAX_BROADCAST_ROWS, count_up_to, spread_join
+from pledgeflow.operators.joins import spread_join
 from pledgeflow.schema import TABLES, ForeignKey, TableSpec
-from pledgeflow.session import shared_folder
+from pledgeflow.session import working_folder
 
 RULES = ("not_null", "check")
 
@@ -64,8 +64,8 @@ def audit_domain(df: DataFrame, table: str, key: Sequence[str], column: str, all
 
 
 def audit_unique(df: DataFrame, table: str, key: Sequence[str]) -> DataFrame:
-    """Keys that occur more than once. Copies are counted before the shuffle."""
-    repeated = df.groupBy(*key).agg(F.count(F.lit(1)).alias("copies")).filter("copies > 1")
+    """Keys that occur more than once; a key with a NULL part is no key. Copies are counted before the shuffle."""
+    repeated = df.dropna(subset=list(key)).groupBy(*key).agg(F.count(F.lit(1)).alias("copies")).filter("copies > 1")
     return repeated.select(
         F.lit(table).alias("table_name"),
         F.lit("unique").alias("rule"),
@@ -103,20 +103,21 @@ def with_key_reason(judged: DataFrame, batch: DataFrame, table: str, key: Sequen
     """Add ``key_reason`` to a judged batch; only rows without a reason compete for a key.
 
     Runs one job now: it counts the keys of the plain batch and stores the
-    clashes in the checkpoint folder. As a rule there are few. Then they are
-    broadcast, and neither finding the copies that pass the rules nor marking
-    the batch moves its rows; a batch without any is returned as it is.
+    clashes in the shared folder, so Spark knows their size in bytes. As a rule
+    they are few and it broadcasts them: then neither finding the copies that pass
+    the rules nor marking the batch moves its rows. A batch without any is returned as it is.
     """
     key = list(key)
-    shared_folder(batch.sparkSession)
-    clashes = key_conflicts(batch, key, stored).checkpoint()
-    found = count_up_to(clashes)
-    if found == 0:
+    spark = batch.sparkSession
+    folder = working_folder(spark, "clashes")
+    found = key_conflicts(batch, key, stored)
+    found.write.parquet(folder)
+    clashes = spark.read.schema(found.schema).parquet(folder)
+    if clashes.isEmpty():
         return judged.withColumn("key_reason", F.lit(None).cast("string"))
-    side = F.broadcast if found <= MAX_BROADCAST_ROWS else lambda df: df
     repeated = clashes.filter(~F.col("is_stored")).select(*key)
     contested = (
-        judged.join(side(repeated), key, "left_semi")
+        judged.join(repeated, key, "left_semi")
         .filter(F.col("reason").isNull())
         .groupBy(*key)
         .agg(F.count(F.lit(1)).alias("copies"))
@@ -126,7 +127,7 @@ def with_key_reason(judged: DataFrame, batch: DataFrame, table: str, key: Sequen
     taken = clashes.filter("is_stored").select(
         *key, F.lit(messages.KEY_STORED.format(table=table)).alias("key_reason")
     )
-    return judged.join(side(contested.unionByName(taken)), key, "left")
+    return judged.join(contested.unionByName(taken), key, "left")
 
 
 def audit_collision(batch: DataFrame, stored: DataFrame, table: str, key: Sequence[str]) -> DataFrame:
@@ -157,13 +158,19 @@ def audit_foreign_key(child: DataFrame, spec: TableSpec, fk: ForeignKey, parent:
     )
 
 
-def audit_foreign_keys(tables: Mapping[str, DataFrame], composite: bool | None = None, hot: Mapping[str, DataFrame] | None = None) -> DataFrame:
-    """All references of the model; ``composite`` picks those of one or of several columns."""
+def audit_foreign_keys(
+    tables: Mapping[str, DataFrame], composite: bool | None = None, hot: Mapping[str, Mapping[str, DataFrame]] | None = None
+) -> DataFrame:
+    """All references of the model; ``composite`` picks those of one or of several columns.
+
+    ``hot`` holds, by table, the hot keys of its referring columns. Where none are given
+    the child rows are on the left of a plain join, which adaptive execution splits.
+    """
     parts = []
     for spec in TABLES.values():
         for fk in spec.foreign_keys:
             if composite is None or composite == (len(fk.columns) > 1):
-                spread = hot if spec.name == "backs" else None
+                spread = hot.get(spec.name) if hot else None
                 parts.append(audit_foreign_key(tables[spec.name], spec, fk, tables[fk.parent], spread))
     return _all(parts)
 

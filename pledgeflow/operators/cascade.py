@@ -9,10 +9,12 @@ from __future__ import annotations
 from collections.abc import Iterator, Mapping
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from pledgeflow.operators.joins import matching
 from pledgeflow.schema import TABLES, references_to
+from pledgeflow.session import working_folder
 
 Tables = Mapping[str, DataFrame]
 
@@ -27,47 +29,90 @@ def _update_edges(table: str, column: str) -> Iterator[tuple[str, str, str]]:
                 yield from _update_edges(spec.name, child_column)
 
 
-def _keys(df: DataFrame, column: str, alias: str) -> DataFrame:
-    return df.select(F.col(column).alias(alias)).distinct()
-
-
 def blocked_key_update(tables: Tables, table: str, column: str, mapping: DataFrame) -> DataFrame:
     """``(old_value, blocked_by)``: changes refused because of rows that do not follow.
 
     ``mapping`` has ``old_value`` and ``new_value``. Besides child tables,
-    ``blocked_by`` can be ``"collision"``: the new value belongs to a row that
-    keeps it, or is wanted by two changes.
+    ``blocked_by`` can be ``"null"``, for a key cannot be NULL, and ``"collision"``: the
+    new value is wanted by two changes or belongs to a row that keeps it, also
+    one that keeps it because its own change is refused. The changes are stored when this is called.
     """
     wanted = mapping.select("old_value").distinct()
     blocks = [
-        wanted.join(_keys(tables[child], child_column, "old_value"), "old_value", "left_semi").select(
-            "old_value", F.lit(child).alias("blocked_by")
-        )
+        _named(tables[child], child_column, wanted).select("old_value", F.lit(child).alias("blocked_by"))
         for child, child_column, action in _update_edges(table, column)
         if action == "restrict"
     ]
-    blocks.append(
-        _colliding_changes(tables[table], column, mapping).select("old_value", F.lit("collision").alias("blocked_by"))
+    blocks.append(mapping.filter("new_value IS NULL").select("old_value", F.lit("null").alias("blocked_by")))
+    restricted = reduce(DataFrame.unionByName, blocks).distinct()
+    collisions = _colliding_changes(tables[table], column, mapping, restricted.select("old_value").distinct())
+    return restricted.unionByName(collisions.select("old_value", F.lit("collision").alias("blocked_by"))).distinct()
+
+
+def _named(df: DataFrame, column: str, wanted: DataFrame) -> DataFrame:
+    """The values of ``wanted`` that occur; a short list finds them without a shuffle of the table."""
+    return df.select(F.col(column).alias("old_value")).join(wanted, "old_value", "left_semi").distinct()
+
+
+def _colliding_changes(df: DataFrame, column: str, mapping: DataFrame, restricted: DataFrame) -> DataFrame:
+    """Changes whose new value is not free once all refused changes stay as they are.
+
+    A change waits for the one that would free its new value. Along such a chain a refusal carries on to all
+    that wait; each round doubles how far it looks, on the mapping alone.
+    """
+    spark = df.sparkSession
+    real = mapping.join(_named(df, column, mapping.select("old_value").distinct()), "old_value", "left_semi").distinct()
+    occupied = _named(df, column, mapping.select(F.col("new_value").alias("old_value")).distinct())
+    stuck = restricted.select("old_value", F.lit(True).alias("stuck"))
+    several = F.count(F.lit(1)).over(Window.partitionBy("old_value")) > 1
+    contested = F.count(F.lit(1)).over(Window.partitionBy("new_value")) > 1
+    marked = (
+        real.withColumn("several", several)
+        .withColumn("collides", contested)
+        .join(occupied.select(F.col("old_value").alias("new_value"), F.lit(True).alias("taken")), "new_value", "left")
+        .join(stuck, "old_value", "left")
     )
-    return reduce(DataFrame.unionByName, blocks).distinct()
+    moving = mapping.select(F.col("old_value").alias("new_value"), F.lit(True).alias("leaves")).distinct()
+    changes = marked.join(moving, "new_value", "left").select(
+        "old_value",
+        F.when(F.col("leaves"), F.col("new_value")).alias("next"),
+        (F.col("collides") | (F.coalesce("taken", F.lit(False)) & F.col("leaves").isNull())).alias("collides"),
+        (F.col("several") | F.coalesce("stuck", F.lit(False))).alias("stays"),
+    )
+    changes = _stored(changes, spark)
+    for _ in range(changes.count().bit_length()):
+        ahead = changes.groupBy(F.col("old_value").alias("next")).agg(
+            F.max(F.col("collides") | F.col("stays")).alias("refused"), F.max("next").alias("beyond")
+        )
+        changes = _stored(
+            changes.join(ahead, "next", "left").select(
+                "old_value",
+                F.when(F.col("beyond") != F.col("old_value"), F.col("beyond")).alias("next"),
+                (F.col("collides") | F.coalesce("refused", F.lit(False))).alias("collides"),
+                "stays",
+            ),
+            spark,
+        )
+    return changes.filter("collides").select("old_value").distinct()
 
 
-def _colliding_changes(df: DataFrame, column: str, mapping: DataFrame) -> DataFrame:
-    present = _keys(df, column, "old_value")
-    real = mapping.join(present, "old_value", "left_semi")
-    wanted_twice = real.groupBy("new_value").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("new_value")
-    kept = present.join(mapping.select("old_value").distinct(), "old_value", "left_anti")
-    taken = kept.select(F.col("old_value").alias("new_value")).unionByName(wanted_twice).distinct()
-    return real.join(taken, "new_value", "left_semi").select("old_value")
+def _stored(df: DataFrame, spark: SparkSession) -> DataFrame:
+    folder = working_folder(spark, "key-changes")
+    df.write.parquet(folder)
+    return spark.read.schema(df.schema).parquet(folder)
 
 
 def _one_value_per_key(mapping: DataFrame) -> DataFrame:
-    """Changes that name one new value; a key with several keeps its old one."""
+    """Changes that name one new value; a key with several, or with NULL, keeps its old one."""
     return (
         mapping.groupBy("old_value")
-        .agg(F.min("new_value").alias("new_value"), F.max("new_value").alias("__other"))
-        .filter(F.col("new_value") == F.col("__other"))
-        .drop("__other")
+        .agg(
+            F.min("new_value").alias("new_value"),
+            F.max("new_value").alias("__other"),
+            F.count_if(F.col("new_value").isNull()).alias("__nulls"),
+        )
+        .filter((F.col("new_value") == F.col("__other")) & (F.col("__nulls") == 0))
+        .drop("__other", "__nulls")
     )
 
 
@@ -116,7 +161,8 @@ def _doomed(tables: Tables, table: str, deletes: DataFrame, cascade: bool) -> It
             yield spec.name, gone, "cascade"
             yield from _doomed(tables, spec.name, gone, cascade)
         else:
-            yield spec.name, parents.join(child.select(*on).distinct(), on, "left_semi"), "restrict"
+            held = matching(child.select(*on), parents, on).distinct()
+            yield spec.name, parents.join(held, on, "left_semi"), "restrict"
 
 
 def _referenced_columns(table: str) -> list[str]:

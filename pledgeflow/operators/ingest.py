@@ -21,7 +21,7 @@ from pledgeflow.functions.expressions import (
     reason_if,
 )
 from pledgeflow.operators.audit import with_key_reason
-from pledgeflow.operators.joins import matching
+from pledgeflow.operators.joins import matching, spread_join
 from pledgeflow.operators.verdicts import accepted
 from pledgeflow.schema import TABLES
 
@@ -56,26 +56,25 @@ def judge_registrations(registrations: DataFrame, tables: Mapping[str, DataFrame
         first_reason(*null_reasons(users), *check_reasons(users)).alias("__user_reason"),
         first_reason(unknown_kind, *as_creator, *as_backer).alias("__role_reason"),
     )
-    # Only rows that could stand by themselves compete for an email.
-    rows = rows.withColumn("reason", F.coalesce("__user_reason", "__role_reason"))
-    judged = with_key_reason(rows, registrations, "users", ["email"], tables.get("users"))
     # A role row stored without its user row would also refuse the email.
     role_reasons = []
     for name, kinds in (("creators", (CREATOR, BOTH)), ("backers", (BACKER, BOTH))):
         if name in tables:
             mark = f"__{name}"
-            judged = judged.join(
+            rows = rows.join(
                 matching(tables[name], registrations, ["email"]).select("email", F.lit(True).alias(mark)),
                 "email", "left",
             )
             role_reasons.append(
                 reason_if(F.col(mark).isNotNull() & _in_role(*kinds), messages.KEY_STORED.format(table=name))
             )
+    rows = rows.withColumn("__role_reason", first_reason(F.col("__role_reason"), *role_reasons))
+    # Only rows that could stand by themselves compete for an email.
+    rows = rows.withColumn("reason", F.coalesce("__user_reason", "__role_reason"))
+    judged = with_key_reason(rows, registrations, "users", ["email"], tables.get("users"))
     return judged.select(
         *registrations.columns,
-        first_reason(
-            F.col("__user_reason"), F.col("key_reason"), F.col("__role_reason"), *role_reasons
-        ).alias("reason"),
+        first_reason(F.col("__user_reason"), F.col("key_reason"), F.col("__role_reason")).alias("reason"),
     )
 
 
@@ -106,12 +105,15 @@ def register_users(registrations: DataFrame, tables: Mapping[str, DataFrame] | N
     }
 
 
-def judge_project_loads(loads: DataFrame, tables: Mapping[str, DataFrame]) -> DataFrame:
+def judge_project_loads(
+    loads: DataFrame, tables: Mapping[str, DataFrame], hot: Mapping[str, DataFrame] | None = None
+) -> DataFrame:
     """Project loads with the first reason against them.
 
     ``tables`` holds ``creators`` and ``project_types``, and the stored
     ``projects`` if there are any. Rewards are checked inside the row's arrays.
     Order: project row, its key, references, reward rows, at least one reward.
+    ``hot`` may hold hot keys of ``email`` and ``ptype``.
     The ids are counted when this is called (see ``with_key_reason``).
     """
     spec, rewards = TABLES["projects"], TABLES["rewards"]
@@ -143,7 +145,9 @@ def judge_project_loads(loads: DataFrame, tables: Mapping[str, DataFrame]) -> Da
     owners = tables["creators"].select("email", F.lit(True).alias("__creator"))
     types = tables["project_types"].select(F.col("name").alias("ptype"), F.lit(True).alias("__type"))
     to_creator, to_type = spec.foreign_keys
-    linked = rows.join(owners, "email", "left").join(types, "ptype", "left").withColumn(
+    by_email, by_type = (hot.get(c) if hot else None for c in ("email", "ptype"))
+    owned = spread_join(rows, owners, ["email"], "left", by_email, ["id"])
+    linked = spread_join(owned, types, ["ptype"], "left", by_type, ["id"]).withColumn(
         "__parent_reason",
         first_reason(
             reason_if(

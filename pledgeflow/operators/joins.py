@@ -14,31 +14,22 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Upper bound on the keys that are spread, and so on the broadcast key list.
-MAX_HOT_KEYS = 10_000
-#: Rows of one key that fit one task; a key with more gets a slice for each so many.
-HOT_ROWS = 5_000_000
-#: Rows up to which a counted side is broadcast; the sides here are a few short columns.
-MAX_BROADCAST_ROWS = 1_000_000
+#: A key is hot with one of so many parts of all rows; that bounds the list of hot keys too.
+HOT_PARTS = 4096
 
 _SLICE, _SLICES = "__slice", "__slices"
 
 
-def hot_keys(
-    rows: DataFrame, key: Sequence[str], min_rows: int = HOT_ROWS, max_keys: int = MAX_HOT_KEYS
-) -> DataFrame:
-    """The keys with at least ``min_rows`` rows, hottest first, ``max_keys`` at most.
+def hot_keys(rows: DataFrame, key: Sequence[str], parts: int = HOT_PARTS) -> DataFrame:
+    """The keys that hold at least one ``parts``-th of all rows, so ``parts`` keys at most.
 
-    Comes with the number of slices each key is to be cut into. The bound limits
-    only what is spread: a key beyond it holds less than 1/``max_keys`` of all
-    rows and joins like any other.
+    Comes with the number of slices each key is to be cut into. Counts the rows when called.
     """
+    min_rows = max(1, -(-rows.count() // parts))
     counted = rows.groupBy(*key).agg(F.count(F.lit(1)).alias("__rows"))
     return (
         counted.filter(F.col("__rows") >= min_rows)
         .dropna(subset=list(key))
-        .orderBy(F.col("__rows").desc(), *key)
-        .limit(max_keys)
         .select(*key, F.ceil(F.col("__rows") / min_rows).cast("int").alias(_SLICES))
     )
 
@@ -54,7 +45,7 @@ def spread_join(
     """Join ``facts`` to ``lookup``; the keys in ``hot`` are spread over their slices.
 
     ``hot`` comes from ``hot_keys`` on one or more of the ``on`` columns, so its
-    size is bounded and it is safe to broadcast. ``spread_by`` names columns of
+    size is bounded by its ``parts`` and it is safe to broadcast. ``spread_by`` names columns of
     ``facts`` that tell the rows of one key apart.
     """
     on = list(on)
@@ -79,13 +70,3 @@ def matching(table: DataFrame, batch: DataFrame, on: Sequence[str]) -> DataFrame
     broadcast, the table is scanned but not shuffled.
     """
     return table.join(batch.select(*on).distinct(), list(on), "left_semi")
-
-
-def count_up_to(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> int:
-    """Number of rows, counted now and not beyond ``max_rows + 1``."""
-    return df.limit(max_rows + 1).count()
-
-
-def within(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> bool:
-    """Whether ``df`` has at most ``max_rows`` rows, counted now."""
-    return count_up_to(df, max_rows) <= max_rows

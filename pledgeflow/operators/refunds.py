@@ -11,6 +11,7 @@ from pledgeflow.functions import messages
 from pledgeflow.functions.expressions import days_between, reason_if
 from pledgeflow.operators.rules import REFUND_DAYS
 from pledgeflow.operators.joins import spread_join
+from pledgeflow.schema import TABLES
 
 # The states of a refund request.
 PENDING, APPROVE, REJECT = "pending", "approve", "reject"
@@ -32,12 +33,17 @@ def auto_reject(
     today: date | str,
     strict: bool = False,
     hot_ids: DataFrame | None = None,
+    employees: DataFrame | None = None,
 ) -> DataFrame:
     """New refund rows that refuse every late request.
 
+    With ``employees`` given, an unknown or NULL ``eid`` raises: a row without its employee could not be stored.
+
     Requests decided before are left alone, so a second run adds nothing. With
     ``strict`` they are kept, and ``reason`` marks those whose key is taken.
     """
+    if employees is not None and (eid is None or employees.filter(F.col("id") == eid).isEmpty()):
+        raise ValueError(messages.PARENT_MISSING.format(table="refunds", label=TABLES["refunds"].foreign_keys[0].label))
     fresh = late_requests(backs, projects, hot_ids).select(
         "email",
         "pid",

@@ -215,13 +215,20 @@ def judge_refunds(
     """Refund decisions under the decision rule, then the table's own constraints."""
     spec = TABLES["refunds"]
     ruled = judge_refund_decisions(decisions, backs, projects, hot)
-    rows = ruled.withColumn("reason", first_reason(F.col("reason"), *null_reasons(spec)))
-    keyed = with_key_reason(rows, decisions, spec.name, spec.key, stored)
     staff = employees.select(F.col("id").alias("eid"), F.lit(True).alias("__employee"))
     orphan = reason_if(
         F.col("__employee").isNull(),
         messages.PARENT_MISSING.format(table=spec.name, label=spec.foreign_keys[0].label),
     )
-    return keyed.join(staff, "eid", "left").select(
-        *decisions.columns, first_reason(F.col("reason"), F.col("key_reason"), orphan).alias("reason")
+    # Only decisions that could stand by themselves compete for a pledge.
+    rows = spread_join(ruled, staff, ["eid"], "left", _hot(hot, "eid"), ["email", "pid"]).select(
+        *decisions.columns,
+        first_reason(F.col("reason"), *null_reasons(spec)).alias("__own_reason"),
+        orphan.alias("__orphan"),
+    )
+    rows = rows.withColumn("reason", F.coalesce("__own_reason", "__orphan"))
+    keyed = with_key_reason(rows, decisions, spec.name, spec.key, stored)
+    return keyed.select(
+        *decisions.columns,
+        first_reason(F.col("__own_reason"), F.col("key_reason"), F.col("__orphan")).alias("reason"),
     )

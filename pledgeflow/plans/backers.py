@@ -7,7 +7,7 @@ from datetime import date
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pledgeflow.operators.joins import spread_join, within
+from pledgeflow.operators.joins import spread_join
 from pledgeflow.plans.funding import project_totals
 
 #: Defaults of the superbacker rules.
@@ -34,9 +34,8 @@ def _recently(column: str, today: Column, days: int) -> Column:
 def _backing_profile(tables, today: date | str, recent_days: int, hot_ids: DataFrame | None) -> DataFrame:
     """Per user: pledges to projects that succeeded recently, counted and added up.
 
-    Counts the projects that ended recently when called. While they are few,
-    they are broadcast and only their pledges leave the scan; otherwise totals
-    are built first and the pledges are shuffled once.
+    Only pledges to projects that ended recently go on; they are brought
+    together by project once, for their totals and for the backers' rows.
     """
     day = F.lit(today).cast("date")
     ended = (
@@ -45,17 +44,13 @@ def _backing_profile(tables, today: date | str, recent_days: int, hot_ids: DataF
         .select("id", "ptype", "goal")
     )
     pledges = tables["backs"].select("email", "id", "amount")
-    few = within(ended)
-    asked_for = pledges.join(F.broadcast(ended.select("id")), "id", "left_semi") if few else pledges
+    asked_for = pledges.join(ended.select("id"), "id", "left_semi")
     won = (
         ended.join(project_totals(asked_for), "id")
         .filter(F.col("goal") <= F.col("amount"))
         .select("id", "ptype")
     )
-    if few:
-        hits = pledges.join(F.broadcast(won), "id")
-    else:
-        hits = spread_join(pledges, won, ["id"], "inner", hot_ids, ["email"])
+    hits = spread_join(asked_for, won, ["id"], "inner", hot_ids, ["email"])
     return hits.groupBy("email").agg(
         F.count("id").alias("n_projects"),
         F.countDistinct("ptype").alias("n_types"),

@@ -33,15 +33,25 @@ def projects_by_type(projects: DataFrame, ptype: str) -> DataFrame:
     return projects.filter(F.col("ptype") == ptype)
 
 
+def pledges_of(projects: DataFrame, backs: DataFrame) -> DataFrame:
+    """The pledges to the given projects, for reports on a small part of all projects."""
+    return backs.join(projects.select("id"), "id", "left_semi")
+
+
 def funded_projects(projects: DataFrame, backs: DataFrame) -> DataFrame:
     """Projects whose pledges reach the goal, whatever the date, with ``amount``."""
     return projects.join(project_totals(backs), "id").filter(F.col("goal") <= F.col("amount"))
 
 
-def successful_projects(projects: DataFrame, backs: DataFrame, given_date: date | str) -> DataFrame:
-    """Funded projects whose deadline lies before ``given_date``."""
+def successful_projects(
+    projects: DataFrame, backs: DataFrame, given_date: date | str, selective: bool = False
+) -> DataFrame:
+    """Funded projects whose deadline lies before ``given_date``.
+
+    ``selective`` says that ``projects`` is a small part of all, whose pledges are picked out before they are added up.
+    """
     closed = projects.filter(F.col("deadline") < _day(given_date))
-    return funded_projects(closed, backs).select(
+    return funded_projects(closed, pledges_of(closed, backs) if selective else backs).select(
         "id",
         F.col("email").alias("c_email"),
         F.col("ptype").alias("c_ptype"),
@@ -53,10 +63,12 @@ def successful_projects(projects: DataFrame, backs: DataFrame, given_date: date
     )
 
 
-def successful_projects_rows(projects: DataFrame, backs: DataFrame, given_date: date | str) -> DataFrame:
+def successful_projects_rows(
+    projects: DataFrame, backs: DataFrame, given_date: date | str, selective: bool = False
+) -> DataFrame:
     """The same projects as plain project rows."""
     closed = projects.filter(F.col("deadline") < _day(given_date))
-    totals = project_totals(backs).select(F.col("id").alias("__id"), "amount")
+    totals = project_totals(pledges_of(closed, backs) if selective else backs).select(F.col("id").alias("__id"), "amount")
     reached = (F.col("id") == F.col("__id")) & (F.col("goal") <= F.col("amount"))
     return closed.join(totals, reached, "left_semi")
 
@@ -86,12 +98,10 @@ def days_to_funding(projects: DataFrame, backs: DataFrame, selective: bool = Fal
 
     NULL when the goal is not reached. Several pledges on the day of crossing
     make no difference, as the answer is that day. ``selective`` says that
-    ``projects`` is a small part of all, whose pledges should be picked out
-    early; Spark does so before adding them up if it can broadcast the ids.
+    ``projects`` is a small part of all, whose pledges are picked out before
+    they are added up.
     """
-    daily = daily_funding(backs)
-    if selective:
-        daily = daily.join(projects.select("id"), "id", "left_semi")
+    daily = daily_funding(pledges_of(projects, backs) if selective else backs)
     running = F.sum("amount").over(_upto_day())
     crossed = F.when(F.col("running") >= F.col("goal"), F.col("backing"))
     return (

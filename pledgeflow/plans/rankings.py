@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from pledgeflow.plans.funding import (
     days_to_funding,
+    pledges_of,
     project_totals,
     projects_by_type,
     successful_projects,
@@ -16,16 +17,19 @@ from pledgeflow.plans.funding import (
 )
 
 
-def _ratio(amount: str = "amount", goal: str = "goal") -> Column:
-    # Decimal division with 18 decimals, so equal ratios compare equal.
-    return F.col(amount).cast("decimal(20,4)") / F.col(goal).cast("decimal(18,4)")
+def _best_first() -> list[Column]:
+    """Order by pledged share of the goal: its whole part, then the rest to 20 decimals, so totals of any size fit."""
+    goal = F.col("goal").cast("decimal(18,2)")
+    rest = F.col("amount") % goal
+    whole = (F.col("amount") - rest) / goal
+    return [whole.desc(), (rest.cast("decimal(18,2)") / goal).desc(), F.col("deadline").desc(), F.col("id").asc()]
 
 
 def find_top_success(projects: DataFrame, backs: DataFrame, n: int, today: date | str, ptype: str) -> DataFrame:
     """The ``n`` successful projects of a type with the highest pledged share of the goal."""
-    won = successful_projects(projects_by_type(projects, ptype), backs, today)
+    won = successful_projects(projects_by_type(projects, ptype), backs, today, selective=True)
     return (
-        won.orderBy(_ratio().desc(), F.col("deadline").desc(), F.col("id").asc())
+        won.orderBy(*_best_first())
         .limit(n)
         .select("id", F.col("pname").alias("name"), F.col("c_email").alias("email"), "amount")
     )
@@ -33,10 +37,11 @@ def find_top_success(projects: DataFrame, backs: DataFrame, n: int, today: date
 
 def top_success_rejoin(projects: DataFrame, backs: DataFrame, n: int, today: date | str, ptype: str) -> DataFrame:
     """The same report from plain project rows joined to their totals."""
-    won = successful_projects_rows(projects_by_type(projects, ptype), backs, today)
+    mine = projects_by_type(projects, ptype)
+    won = successful_projects_rows(mine, backs, today, selective=True)
     return (
-        won.join(project_totals(backs), "id")
-        .orderBy(_ratio().desc(), F.col("deadline").desc(), F.col("id").asc())
+        won.join(project_totals(pledges_of(mine, backs)), "id")
+        .orderBy(*_best_first())
         .limit(n)
         .select("id", "name", "email", "amount")
     )

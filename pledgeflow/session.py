@@ -39,7 +39,7 @@ def shared_folder(spark: SparkSession) -> str:
     driver and executors are one process there.
     """
     context = spark.sparkContext
-    folder = spark.conf.get("spark.checkpoint.dir", None)
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if folder:
         if context.getCheckpointDir() is None:
             context.setCheckpointDir(folder)

@@ -32,18 +32,25 @@ def write_table(df: DataFrame, root: str, name: str, mode: str = "errorifexists"
 def load_delimited(
     spark: SparkSession, path: str, schema: T.StructType, sep: str = ",", end_marker: str = "\\."
 ) -> DataFrame:
-    """Delimited text with the columns of ``schema`` plus ``reason``.
+    """Delimited text files with the columns of ``schema`` plus ``reason`` (see ``parse_delimited``)."""
+    return parse_delimited(spark.read.text(path), schema, sep, end_marker)
 
-    The line that only marks the end of the data is dropped. A line that does
-    not parse, or leaves a required column empty, keeps its text in ``line``
-    and gets a reason.
+
+def parse_delimited(
+    rows: DataFrame, schema: T.StructType, sep: str = ",", end_marker: str = "\\.", null: str = "\\N"
+) -> DataFrame:
+    """Lines in a column ``value`` with the columns of ``schema`` plus ``reason``.
+
+    The line that only marks the end of the data is dropped; it has to be the last, as lines have no order here.
+    ``null`` stands for NULL. A line that does not parse, or leaves a required
+    column empty, keeps its text in ``line`` and gets a reason.
     """
     wanted = T.StructType(
         [T.StructField(f.name, f.dataType, True) for f in schema.fields]
         + [T.StructField("__bad", T.StringType(), True)]
     )
-    options = {"sep": sep, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": "__bad"}
-    lines = spark.read.text(path).filter(F.trim("value") != end_marker)
+    options = {"sep": sep, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": "__bad", "nullValue": null}
+    lines = rows.filter(F.trim("value") != end_marker)
     parsed = lines.select(
         F.col("value").alias("line"),
         F.from_csv("value", wanted.simpleString()[len("struct<"):-1].replace(":", " "), options).alias("r"),

@@ -16,11 +16,18 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from pledgeflow.operators import ingest, maintenance, rules, verdicts
-from pledgeflow.operators.joins import within
+from pledgeflow.operators.joins import matching
+from pledgeflow.plans.funding import project_totals
 from pledgeflow.schema import TABLES
 from pledgeflow.session import working_folder
 
 Judge = Callable[[DataFrame, DataFrame], DataFrame]
+#: A stored table, or a function that gives its present version; it is asked for every micro-batch.
+Stored = DataFrame | Callable[[], DataFrame]
+
+
+def _now(table: Stored) -> DataFrame:
+    return table() if callable(table) else table
 
 
 def read_verdicts(spark: SparkSession, sink: str, columns: T.StructType) -> DataFrame:
@@ -47,9 +54,9 @@ def _accepted_before(spark: SparkSession, sink: str, columns: T.StructType, batc
     return read_verdicts(spark, sink, columns).filter(earlier).select(*columns.names, "batch_id")
 
 
-def _taken(before: DataFrame, stored: DataFrame | None, key: tuple[str, ...]) -> DataFrame:
+def _taken(before: DataFrame, stored: Stored | None, key: tuple[str, ...]) -> DataFrame:
     keys = before.select(*key)
-    return keys if stored is None else keys.unionByName(stored.select(*key))
+    return keys if stored is None else keys.unionByName(_now(stored).select(*key))
 
 
 def guard(stream: DataFrame, sink: str, judge: Judge, checkpoint: str | None = None, **trigger) -> StreamingQuery:
@@ -63,10 +70,10 @@ def guard(stream: DataFrame, sink: str, judge: Judge, checkpoint: str | None = N
         before = _accepted_before(batch.sparkSession, sink, columns, batch_id)
         held = batch.persist()
         try:
-            # Spark does not know the size of a micro-batch. Counted and marked, a
-            # small one is carried to the stored tables instead of shuffling them.
-            marked = F.broadcast(held) if within(held) else held
-            verdicts.write_judged(judge(marked, before), f"{sink}/batch_id={batch_id}")
+            # Once held, Spark knows the bytes of a micro-batch: it broadcasts a small
+            # one to the stored tables and shuffles neither.
+            held.count()
+            verdicts.write_judged(judge(held, before), f"{sink}/batch_id={batch_id}")
         finally:
             held.unpersist()
 
@@ -79,69 +86,88 @@ def guard(stream: DataFrame, sink: str, judge: Judge, checkpoint: str | None = N
 
 
 def guard_pledges(
-    stream: DataFrame, sink: str, projects: DataFrame, rewards: DataFrame, backers: DataFrame,
-    stored: DataFrame | None = None, hot: rules.Hot = None, **options,
+    stream: DataFrame, sink: str, projects: Stored, rewards: Stored, backers: Stored,
+    stored: Stored | None = None, hot: rules.Hot = None, **options,
 ) -> StreamingQuery:
-    """Pledges under all pledge rules."""
+    """Pledges under all pledge rules. Of stored tables only the rows that the micro-batch names go on."""
 
     def judge(batch: DataFrame, before: DataFrame) -> DataFrame:
         taken = _taken(before, stored, TABLES["backs"].key)
-        return rules.judge_pledges(batch, projects, rewards, backers, taken, hot)
+        return rules.judge_pledges(
+            batch,
+            matching(_now(projects), batch, ["id"]),
+            matching(_now(rewards), batch, ["id", "name"]),
+            matching(_now(backers), batch, ["email"]),
+            taken,
+            hot,
+        )
 
     return guard(stream, sink, judge, **options)
 
 
 def guard_refunds(
-    stream: DataFrame, sink: str, backs: DataFrame, projects: DataFrame, employees: DataFrame,
-    stored: DataFrame | None = None, hot: rules.Hot = None, **options,
+    stream: DataFrame, sink: str, backs: Stored, projects: Stored, employees: Stored,
+    stored: Stored | None = None, hot: rules.Hot = None, **options,
 ) -> StreamingQuery:
     """Refund decisions under the decision rule and the table's constraints."""
 
     def judge(batch: DataFrame, before: DataFrame) -> DataFrame:
         taken = _taken(before, stored, TABLES["refunds"].key)
-        return rules.judge_refunds(batch, backs, projects, employees, taken, hot)
+        named = batch.select(F.col("pid").alias("id"))
+        staff = batch.select(F.col("eid").alias("id"))
+        return rules.judge_refunds(
+            batch, _now(backs), matching(_now(projects), named, ["id"]), matching(_now(employees), staff, ["id"]), taken, hot
+        )
 
     return guard(stream, sink, judge, **options)
 
 
 def guard_request_changes(
-    stream: DataFrame, sink: str, backs: DataFrame, projects: DataFrame,
-    lock_existing: bool = False, totals: DataFrame | None = None, hot: rules.Hot = None, **options,
+    stream: DataFrame, sink: str, backs: Stored, projects: Stored,
+    lock_existing: bool = False, totals: Stored | None = None, hot: rules.Hot = None, **options,
 ) -> StreamingQuery:
-    """Refund requests, seen against the requests set by earlier micro-batches."""
+    """Refund requests, seen against the requests set by earlier micro-batches.
+
+    ``totals`` may hold stored ``project_totals``; without, the pledges of the named projects are added up.
+    """
+    keys = ["email", "id"]
 
     def judge(batch: DataFrame, before: DataFrame) -> DataFrame:
-        latest = before.groupBy("email", "id").agg(
+        latest = matching(before, batch, keys).groupBy(*keys).agg(
             F.max_by("new_request", "batch_id").alias("new_request")
         )
-        current = maintenance.apply_request_updates(backs, latest)
-        return rules.judge_request_changes(batch, current, projects, lock_existing, totals, hot)
+        pledges = _now(backs)
+        sums = project_totals(matching(pledges, batch, ["id"])) if totals is None else matching(_now(totals), batch, ["id"])
+        current = maintenance.apply_request_updates(matching(pledges, batch, keys), latest)
+        return rules.judge_request_changes(
+            batch, current, matching(_now(projects), batch, ["id"]), lock_existing, sums, hot
+        )
 
     return guard(stream, sink, judge, **options)
 
 
-def guard_registrations(stream: DataFrame, sink: str, tables: Mapping[str, DataFrame], **options) -> StreamingQuery:
+def guard_registrations(stream: DataFrame, sink: str, tables: Mapping[str, Stored], **options) -> StreamingQuery:
     """Registrations; a micro-batch is complete in itself, as one transaction was."""
 
     def judge(batch: DataFrame, before: DataFrame) -> DataFrame:
         taken = {
-            "users": tables["users"].select("email").unionByName(before.select("email")),
-            "backers": tables["backers"],
-            "creators": tables["creators"],
+            "users": _now(tables["users"]).select("email").unionByName(before.select("email")),
+            "backers": _now(tables["backers"]),
+            "creators": _now(tables["creators"]),
         }
         return ingest.judge_registrations(batch, taken)
 
     return guard(stream, sink, judge, **options)
 
 
-def guard_project_loads(stream: DataFrame, sink: str, tables: Mapping[str, DataFrame], **options) -> StreamingQuery:
+def guard_project_loads(stream: DataFrame, sink: str, tables: Mapping[str, Stored], **options) -> StreamingQuery:
     """Project loads with their rewards."""
 
     def judge(batch: DataFrame, before: DataFrame) -> DataFrame:
         taken = {
-            "creators": tables["creators"],
-            "project_types": tables["project_types"],
-            "projects": tables["projects"].select("id").unionByName(before.select("id")),
+            "creators": matching(_now(tables["creators"]), batch, ["email"]),
+            "project_types": matching(_now(tables["project_types"]), batch.select(F.col("ptype").alias("name")), ["name"]),
+            "projects": _now(tables["projects"]).select("id").unionByName(before.select("id")),
         }
         return ingest.judge_project_loads(batch, taken)
 

@@ -40,7 +40,7 @@ def test_superbackers_step_by_step(spark, world, step):
     tables = {**world, "backs": _pledges(spark, STEPS[: step + 1])}
     found = rows(backers.find_superbackers(tables, TODAY), "email")
     assert found == [(backer(n),) for n in EXPECTED[step]]
-    hot = hot_keys(tables["backs"], ["id"], min_rows=1)
+    hot = hot_keys(tables["backs"], ["id"], parts=10**9)
     assert rows(backers.find_superbackers(tables, TODAY, hot_ids=hot), "email") == found
     broad = bag(backers.superbackers_breadth(tables, TODAY))
     large = bag(backers.superbackers_amount(tables, TODAY))
@@ -66,10 +66,9 @@ def test_verified_on_the_day_counts(spark, world):
     assert rows(backers.verified_users(world["users"], world["verifies"], "2021-12-31")) == []
 
 
-def test_many_ended_projects_take_the_shuffled_way(spark, world, monkeypatch):
+def test_hot_projects_are_spread(spark, world):
     tables = {**world, "backs": _pledges(spark, STEPS)}
-    monkeypatch.setattr(backers, "within", lambda df: False)
-    hot = hot_keys(tables["backs"], ["id"], min_rows=2)
+    hot = hot_keys(tables["backs"], ["id"], parts=5)
     for keys in (None, hot):
         found = backers.find_superbackers(tables, TODAY, hot_ids=keys)
         assert rows(found, "email") == [(backer(1),), (backer(2),)]

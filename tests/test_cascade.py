@@ -99,3 +99,38 @@ def test_delete_of_projects_and_pledges(spark, world):
     pledge = spark.createDataFrame([(backer(3), 3)], "email string, id bigint")
     left = cascade.cascade_delete(world, "backs", pledge)
     assert left["backs"].count() == 6 and left["refunds"].count() == 0
+
+
+def _user_emails(changed):
+    return bag(changed["users"], "email")
+
+
+@pytest.mark.parametrize("force", [False, True])
+def test_changes_that_wait_for_a_refused_one_are_refused(spark, world, force):
+    """creator(5) is verified, so its email stays; what would take it over stays too, and what waits for that."""
+    chain = mapping(spark, [(creator(1), creator(2)), (creator(2), creator(5)), (creator(5), "free"), (creator(3), "other")])
+    blocked = bag(cascade.blocked_key_update(world, "users", "email", chain))
+    assert blocked == [(creator(1), "collision"), (creator(2), "collision"), (creator(5), "verifies")]
+    new = cascade.cascade_key_update(world, "users", "email", chain, force=force)
+    emails = [e for e, in _user_emails(new)]
+    assert len(set(emails)) == len(emails) == world["users"].count()
+    assert "other" in emails and ("free" in emails) == force
+
+
+def test_ambiguous_change_keeps_its_key_and_refuses_those_behind(spark, world):
+    changes = mapping(spark, [(creator(1), creator(2)), (creator(2), "x"), (creator(2), "y")])
+    assert (creator(1), "collision") in bag(cascade.blocked_key_update(world, "users", "email", changes))
+    assert _user_emails(cascade.cascade_key_update(world, "users", "email", changes)) == bag(world["users"], "email")
+
+
+@pytest.mark.parametrize("force", [False, True])
+def test_null_is_no_new_key(spark, world, force):
+    changes = mapping(spark, [(creator(1), "x"), (creator(1), None), (creator(2), None)])
+    assert (creator(2), "null") in bag(cascade.blocked_key_update(world, "users", "email", changes))
+    assert _user_emails(cascade.cascade_key_update(world, "users", "email", changes, force=force)) == bag(world["users"], "email")
+
+
+def test_long_chain_and_cycle_move_together(spark, world):
+    ring = mapping(spark, [(creator(n), creator(n % 4 + 1)) for n in range(1, 5)])
+    assert bag(cascade.blocked_key_update(world, "users", "email", ring)) == []
+    assert _user_emails(cascade.cascade_key_update(world, "users", "email", ring)) == bag(world["users"], "email")

@@ -8,7 +8,7 @@ from conformance.queries import QUERIES
 
 FOLDER = "/root/testdata/sf0.001"
 ORACLE = oracle_sql()
-ROWS_ONLY = {"assign_ids", "top_success_struct"}
+ROWS_ONLY = {"assign_ids"}
 
 
 @pytest.fixture(scope="module")

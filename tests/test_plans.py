@@ -4,7 +4,7 @@ import re
 
 import pytest
 
-from pledgeflow.operators import audit, refunds, rules
+from pledgeflow.operators import audit, joins, refunds, rules
 from pledgeflow.plans import backers, funding, rankings
 from pledgeflow.schema import TABLES
 from pledgeflow.sources.files import read_tables, write_table
@@ -58,17 +58,41 @@ def test_days_to_funding_adds_up_days_before_the_window(stored):
     assert text.count("hashpartitioning(") == 3  # days, then pledges and projects per id
 
 
-def test_superbackers_shuffles_no_single_pledge(stored):
+def test_superbackers_bring_pledges_together_once(stored):
     text = plan(backers.find_superbackers(stored, "2022-10-25"))
     assert "GreaterThanOrEqual(deadline,2022-09-25)" in text
     assert "GreaterThanOrEqual(request,2022-09-25)" in text
-    # Both reads of the amounts meet a broadcast and are added up before any exchange.
+    # Totals and backers' rows both start from the pledges to projects that ended recently.
+    assert text.count("LeftSemi") >= 2 and "Broadcast" not in text
+
+
+def _semi_join_below_sum(text):
+    """Whether a left semi join stands below the first partial sum of pledges."""
     lines = text.splitlines()
-    scans = [n for n, line in enumerate(lines) if re.search(r"FileScan parquet \[[^\]]*amount", line)]
-    assert len(scans) == 2
-    for scan in scans:
-        above = [line for line in lines[:scan] if re.search(r"Exchange hash|partial_sum|BroadcastHashJoin", line)][-2:]
-        assert "partial_sum" in above[0] and "BroadcastHashJoin" in above[1]
+    first = next(n for n, line in enumerate(lines) if "partial_sum(amount" in line)
+    return any("LeftSemi" in line for line in lines[first:])
+
+
+def test_selective_reports_filter_pledges_before_adding_up(stored):
+    args = (stored["projects"], stored["backs"], 5, "2022-12-31", "type1")
+    for job in (rankings.find_top_success, rankings.top_success_rejoin, rankings.find_top_popular, rankings.top_popular_funded):
+        assert _semi_join_below_sum(plan(job(*args)))
+
+
+def test_lookups_of_a_micro_batch_do_not_shuffle_stored_tables(spark, stored):
+    """What a stream guard does: the stored rows are matched against the batch first."""
+    batch = stored["backs"].limit(3).cache()
+    batch.count()
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10000")
+        for name, key in (("projects", ["id"]), ("rewards", ["id", "name"]), ("backs", ["email", "id"])):
+            matched = plan(joins.matching(stored[name], batch, key))
+            scan = matched.rindex(f"/{name}]") if f"/{name}]" in matched else matched.index("FileScan parquet")
+            assert "BroadcastHashJoin" in matched and "Exchange hashpartitioning" not in matched[: matched.index("FileScan parquet")]
+            assert scan > 0
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        batch.unpersist()
 
 
 def test_clean_batch_is_not_moved_for_its_keys(stored):

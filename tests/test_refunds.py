@@ -36,7 +36,7 @@ def test_auto_reject_step_by_step(spark, projects, step):
     assert rows(refunds.auto_reject(backs, projects, again, 1, TODAY)) == []
     strict = refunds.auto_reject(backs, projects, again, 1, TODAY, strict=True)
     assert [r[-1] for r in rows(strict)] == ["duplicate key in refunds: already stored"] * len(EXPECTED[step])
-    hot = hot_keys(backs, ["id"], min_rows=1)
+    hot = hot_keys(backs, ["id"], parts=10**9)
     assert rows(refunds.auto_reject(backs, projects, none, 1, TODAY, hot_ids=hot)) == EXPECTED[step]
 
 

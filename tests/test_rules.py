@@ -161,14 +161,26 @@ def test_first_broken_pledge_rule_is_the_reason(spark, world, offered):
     ], key=lambda r: repr((r[0], r[1], Decimal(r[2]).quantize(Decimal("1.0000")), r[3])))
 
 
-def test_many_key_clashes_are_joined_without_broadcast(spark, world, offered, monkeypatch):
+def test_key_clashes_are_joined_without_broadcast_too(spark, world, offered):
     expected = bag(_judge(spark, world, offered))
-    monkeypatch.setattr(audit, "MAX_BROADCAST_ROWS", 0)
-    assert bag(_judge(spark, world, offered)) == expected
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        assert bag(_judge(spark, world, offered)) == expected
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_refund_decision_that_breaks_a_rule_does_not_compete(spark, world):
+    asked = table(spark, "backs", [(backer(3), "gold", 3, "2021-11-01", "2022-11-01", 600)])
+    both = table(spark, "refunds", [(backer(3), 3, 1, "2022-12-01", False), (backer(3), 3, 999, "2022-12-01", False)])
+    got = rules.judge_refunds(both, asked, world["projects"], world["employees"])
+    reasons = {r["eid"]: r["reason"] for r in got.collect()}
+    assert reasons[1] is None and "missing parent" in reasons[999]
 
 
 def test_hot_keys_do_not_change_the_verdicts(spark, world, offered):
-    hot = {"id": hot_keys(offered, ["id"], min_rows=1), "email": hot_keys(offered, ["email"], min_rows=2)}
+    hot = {"id": hot_keys(offered, ["id"], parts=10**9), "email": hot_keys(offered, ["email"], parts=5)}
     assert bag(_judge(spark, world, offered, hot)) == bag(_judge(spark, world, offered))
 
 
