@@ -9,7 +9,8 @@ vectors are known. Both layers are trained by AdaGrad in numpy on the driver.
 Bounds: training takes at most ``MAX_ROWS`` labelled rows, half of them of each label as
 far as there are, in the order of a hash of the id, and of these as many as have
 ``MAX_CHARS`` code points together. The softmax is then moved to the share of
-label 1 among all training rows. Scoring covers every text as a whole.
+label 1 among all training rows, and its slope is fitted on rows left out of the training.
+Scoring covers every text as a whole.
 
 As the output is linear in the average, a trained model is one number per n-gram
 row; a task keeps the sums of the words it has met.
@@ -37,7 +38,9 @@ from pyspark.sql.types import DoubleType, IntegerType, StructField, StructType
 
 from pledgeflow.llm.common import Rows, stored, with_columns, words
 
-MAX_ROWS, MAX_CHARS = 4_000, 20_000_000
+MAX_ROWS, MAX_CHARS = 6_000, 30_000_000
+#: One of so many sampled rows is not trained on: with them the scores are calibrated.
+CALIBRATION = 6
 THRESHOLD = 0.7
 #: Rows of the embedding table, its width, lengths of n-grams.
 BUCKETS, WIDTH, NGRAMS = 1 << 17, 8, (3, 4, 5)
@@ -85,16 +88,20 @@ def fit(texts: Iterable[str | None], labels: list[int], prior: float, seed: int
     known: dict[bytes, bytes] = {}
     bags = [_bag(words(t), known) for t in texts]
     del known
+    aside = np.arange(len(bags)) % CALIBRATION == CALIBRATION - 1
+    if len(set(y[aside].tolist())) < 2:
+        aside[:] = False
+    train = np.flatnonzero(~aside)
     random = np.random.default_rng(seed)
     table = random.uniform(-1 / WIDTH, 1 / WIDTH, (BUCKETS, WIDTH)).astype(np.float32)
     out = np.zeros((WIDTH, 2), np.float32)
     bias = np.zeros(2, np.float32)
     seen = [np.full_like(table, 1e-8), np.full_like(out, 1e-8), np.full_like(bias, 1e-8)]
     dense = np.zeros((BATCH, BUCKETS), np.float32)
-    epochs = max(EPOCHS, -(-LEAST_STEPS * BATCH // len(bags)))
+    epochs = max(EPOCHS, -(-LEAST_STEPS * BATCH // len(train)))
     for epoch in range(epochs):
         rate = RATE * (1 - epoch / epochs)
-        order = random.permutation(len(bags))
+        order = random.permutation(train)
         for first in range(0, len(order), BATCH):
             batch = order[first : first + BATCH]
             for i, b in enumerate(batch):
@@ -112,8 +119,27 @@ def fit(texts: Iterable[str | None], labels: list[int], prior: float, seed: int
                 weights -= rate * step / np.sqrt(squares)
             for i, b in enumerate(batch):
                 dense[i, bags[b][0]] = 0
-    to_prior = odds - math.log(y.mean() / (1 - y.mean()))
-    return Model(table @ (out[:, 1] - out[:, 0]), float(bias[1] - bias[0]) + to_prior)
+    row_odds, start = table @ (out[:, 1] - out[:, 0]), float(bias[1] - bias[0])
+    if not aside.any():
+        return Model(row_odds, start + odds - math.log(y[train].mean() / (1 - y[train].mean())))
+    kept = np.flatnonzero(aside)
+    raw = np.array([start + float(row_odds[bags[b][0]] @ bags[b][1]) for b in kept])
+    weights = np.where(y[kept] == 1, prior / y[kept].mean(), (1 - prior) / (1 - y[kept].mean()))
+    slope, shift = _calibrated(raw, y[kept], weights)
+    return Model(row_odds * np.float32(slope), slope * start + shift)
+
+
+def _calibrated(raw: np.ndarray, y: np.ndarray, weights: np.ndarray) -> tuple[float, float]:
+    """Slope and shift of the log odds that fit weighted labels best, by Newton's method; both kept near (1, 0)."""
+    at = np.array([1.0, 0.0])
+    x = np.stack((raw, np.ones_like(raw)), axis=1)
+    for _ in range(30):
+        p = 1 / (1 + np.exp(-np.clip(x @ at, -30, 30)))
+        step = x.T @ (weights * (p - y)) + 0.1 * (at - (1.0, 0.0))
+        curve = (x * (weights * p * (1 - p))[:, None]).T @ x + 0.1 * np.eye(2)
+        at = at - np.linalg.solve(curve, step)
+        at[0] = min(10.0, max(0.1, at[0]))
+    return float(at[0]), float(at[1])
 
 
 class Scorer:
