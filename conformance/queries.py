@@ -30,9 +30,12 @@ HOT_PARTS = 500
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
+#: The jobs themselves, over any mapping of table names to DataFrames.
+JOBS: dict[str, Callable] = {}
 
 
 def query(job: Callable[[DriverTables], DataFrame]) -> Callable[[DriverTables], DataFrame]:
+    JOBS[job.__name__] = job
     QUERIES[job.__name__] = lambda spark, folder: job(DriverTables(spark, folder))
     return job
 
