@@ -19,10 +19,10 @@ from pledgeflow.plans.funding import (
 
 def _best_first() -> list[Column]:
     """Order by pledged share of the goal: its whole part, then the rest to 20 decimals, so totals of any size fit."""
-    goal = F.col("goal").cast("decimal(18,2)")
+    goal = F.col("goal").cast("decimal(18,4)")
     rest = F.col("amount") % goal
     whole = (F.col("amount") - rest) / goal
-    return [whole.desc(), (rest.cast("decimal(18,2)") / goal).desc(), F.col("deadline").desc(), F.col("id").asc()]
+    return [whole.desc(), (rest.cast("decimal(18,4)") / goal).desc(), F.col("deadline").desc(), F.col("id").asc()]
 
 
 def find_top_success(projects: DataFrame, backs: DataFrame, n: int, today: date | str, ptype: str) -> DataFrame:

@@ -16,7 +16,7 @@ _CURVE = """
     SELECT id, backing, SUM(amount) OVER (PARTITION BY id ORDER BY backing) AS running
     FROM (SELECT b.id, b.backing, SUM(b.amount) AS amount FROM {p}backs b
           LEFT SEMI JOIN {p}projects q ON q.id = b.id{only} GROUP BY b.id, b.backing)"""
-_SHARE = "(s.amount - s.amount % p.goal) / p.goal DESC, CAST(s.amount % p.goal AS DECIMAL(18, 2)) / p.goal DESC"
+_SHARE = "(s.amount - s.amount % p.goal) / p.goal DESC, CAST(s.amount % p.goal AS DECIMAL(18, 4)) / CAST(p.goal AS DECIMAL(18, 4)) DESC"
 
 FUNCTIONS = (
     """
