@@ -88,7 +88,7 @@ def fit(texts: Iterable[str | None], labels: list[int], prior: float, seed: int
     known: dict[bytes, bytes] = {}
     bags = [_bag(words(t), known) for t in texts]
     del known
-    aside = np.arange(len(bags)) % CALIBRATION == CALIBRATION - 1
+    aside = np.random.default_rng(seed + 1).permutation(len(bags)) % CALIBRATION == 0
     if len(set(y[aside].tolist())) < 2:
         aside[:] = False
     train = np.flatnonzero(~aside)
