@@ -48,7 +48,7 @@ EPOCHS, LEAST_STEPS, BATCH, RATE = 12, 300, 64, 1.0
 #: Times the row 0 counts in every average, so that a few words alone don't decide.
 PADDING = 60
 #: Words a Python worker keeps the sums of.
-CACHE_WORDS = 200_000
+CACHE_WORDS = 350_000
 
 
 def word_rows(word: bytes) -> list[int]:
