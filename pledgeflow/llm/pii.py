@@ -55,7 +55,19 @@ _DOMAIN = re.compile(r"@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++")
 _IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
 _CARD = re.compile(r"[0-9](?:[ -]?[0-9])++")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
-_IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30}+(?![A-Za-z0-9])")
+_IBAN_START = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?= ?[A-Z0-9])")
+_IBAN_REST = re.compile(r"(?: ?[A-Z0-9]){11,30}+")
+#: Characters of an account number by country.
+_IBAN_LENGTHS = {
+    country: n
+    for n, countries in {
+        15: "NO", 16: "BE", 18: "DK FI FO GL NL", 19: "MK SI", 20: "AT BA EE KZ LT LU XK", 21: "CH HR LI LV",
+        22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "PT",
+        26: "IS TR", 27: "FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HU LB PL SV", 29: "BR EG PS QA UA", 30: "JO KW MU",
+        31: "MT", 32: "LC",
+    }.items()
+    for country in countries.split()
+}
 _LOCAL_PHONE = re.compile(r"(?<![0-9+.(-])\(?[0-9]{3}\)?[ .-][0-9]{3}[ .-][0-9]{4}(?![0-9-])")
 
 _SPAN = StructType(
@@ -113,9 +125,30 @@ def mod97(iban: str) -> bool:
 
 
 def ibans(text: str) -> Iterator[tuple[int, int]]:
-    for m in _IBAN.finditer(text):
-        if 15 <= len(m[0].replace(" ", "")) <= 34 and mod97(m[0]):
-            yield m.span()
+    """Leftmost, not overlapping; of several ends that fit the one of the country's length, or else the longest.
+
+    An end is a word border, so a capital or digit that follows after a space is not taken for a part.
+    Each start looks at 30 more characters and the spaces before them.
+    """
+    least = 0
+    for m in _IBAN_START.finditer(text):
+        if m.start() < least or not (run := _IBAN_REST.match(text, m.end())):
+            continue
+        head = int("".join(str(int(c, 36)) for c in m[0]))
+        rest, size, ends = 0, 4, {}
+        for at in range(m.end(), run.end()):
+            if (c := text[at]) == " ":
+                continue
+            rest = (rest * (10 if c <= "9" else 100) + int(c, 36)) % 97
+            size += 1
+            if size >= 15 and (rest * 1_000_000 + head) % 97 == 1 and not _WORD_CHAR.match(text, at + 1):
+                ends[size] = at + 1
+        if ends:
+            least = ends.get(_IBAN_LENGTHS.get(m[0][:2]), max(ends.values()))
+            yield m.start(), least
+
+
+_WORD_CHAR = re.compile(r"[A-Za-z0-9]")
 
 
 def _scored(text: str, kind: str, span: tuple[int, int]) -> float:

@@ -60,6 +60,21 @@ def test_the_method_adds_spans_with_context():
     assert scores == sorted(scores) and scores[0] < scores[2]
 
 
+@pytest.mark.parametrize("number", ["DE89370400440532013000", "DE89 3704 0044 0532 0130 00", "GB82 WEST 1234 5698 7654 32"])
+@pytest.mark.parametrize("after", [" Please pay", " Thanks", " BIC COBADEFF", " 2 items", " A", " GB82WEST12345698765432", ", B", ""])
+def test_account_numbers_before_capitals_and_digits(number, after):
+    found = [s[1:3] for s in pii.find_spans(f"IBAN {number}{after}") if s[0] == "iban"]
+    assert found[0] == (5, 5 + len(number)) and len(found) == 1 + ("GB82" in after)
+
+
+def test_account_numbers_end_at_word_borders():
+    assert [s[0] for s in pii.find_spans("bank DE89370400440532013000x")] == []
+    assert [s[0] for s in pii.find_spans("bank DE893704004405320130001")] == []
+    started = time.process_time()
+    pii.find_spans("AA11 " * 100_000 + "bank")
+    assert time.process_time() - started < 20
+
+
 @pytest.mark.parametrize("run", ["1", "1.", "a", "a.", "+1(", "a@", "A1", "1 ", "-", "@a-"])
 def test_long_runs_take_linear_time(run):
     started = time.process_time()
