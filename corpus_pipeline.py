@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pledgeflow.llm import decontamination, lines, near_copies, packing, toxicity
+from pledgeflow.llm import decontamination, lines, packing, simhash, toxicity
 from pledgeflow.llm.common import set_aside, stored, table
 from pledgeflow.llm.queries import tokenizer_path, toxicity_model
 
@@ -32,8 +32,8 @@ def drop_lines(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """Of documents linked by a 5-word Jaccard similarity of 0.8 or more the one with the smallest id stays."""
-    return near_copies.one_of_each(docs)
+    """Of documents whose fingerprints link (3-word shingles, at most 3 bits) the one with the smallest id stays."""
+    return simhash.one_of_each(docs)
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
@@ -54,7 +54,7 @@ STAGES = [
     ("packing", pack),
 ]
 
-#: A trained model, MinHash candidates and a tokenizer are not for SQL; the tests have a brute-force version.
+#: A trained model, SimHash links and a tokenizer are not for SQL; the tests have a brute-force version.
 ORACLE_SQL = None
 
 
