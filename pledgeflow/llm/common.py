@@ -57,6 +57,18 @@ def parts(batches: Iterator[pa.RecordBatch], rows: int = 1_000) -> Iterator[pa.R
             yield batch.slice(first, rows)
 
 
+_KEPT: dict[str, tuple[object, object]] = {}
+
+
+def kept_in_worker(kind: str, key: object, make: Callable[[], Any]) -> Any:
+    """An object that a Python worker keeps between its tasks. It keeps one at a time: workers outlive a
+    job, and what earlier jobs kept would stay in memory beside it."""
+    if _KEPT.get(kind, (None,))[0] != key:
+        _KEPT.clear()
+        _KEPT[kind] = key, make()
+    return _KEPT[kind][1]
+
+
 Rows = dict[str, list[Any] | pa.Array]
 
 

@@ -22,7 +22,6 @@ from __future__ import annotations
 import os
 import re
 from collections.abc import Callable, Iterator
-from functools import lru_cache
 from itertools import accumulate
 
 import numpy as np
@@ -33,55 +32,76 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import BinaryType, IntegerType, LongType, StructField, StructType
 
-from pledgeflow.llm.common import LOWER, as_batch, encoded, stored
+from pledgeflow.llm.common import LOWER, as_batch, encoded, kept_in_worker, parts, stored
 
 LENGTH, END_ID = 4096, 2
-#: Pieces of text that a Python worker keeps the ids of, 250 bytes each; then it starts afresh.
-CACHE_PIECES = 800_000
-_STOP = re.compile(rb"(?<=[A-Za-z])([.,])(?=\s|$)")
+#: Pieces of text in each of the two generations of a worker's dictionary, 150 bytes each.
+CACHE_PIECES = 250_000
+#: Signs up to white space that follow neither a sign nor a letter outside ASCII other than \u00df to \u00ff.
+#: An apostrophe is left out, as it may belong to the letters around it.
+_SIGNS = re.compile(
+    rb"[!-&(-/:-@\[-`{-~](?:(?<![!-/:-@\[-`{-~\x80-\xff].)|(?<=\xc3[\x9f-\xb6\xb8-\xbf].))[!-&(-/:-@\[-`{-~]*(?=\s|$)", re.DOTALL
+)
 #: Letters that stay one letter when lower-cased.
 _LETTERS = re.compile("[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f]+")
 #: Ids of a document that leave a task in one batch, about.
 BATCH_IDS = 4_000_000
+#: Texts that are Python objects at a time.
+BATCH_TEXTS = 500
 
 
 class PieceIds:
     """Ids of a text as little-endian unsigned 16- or 32-bit numbers, piece by piece.
 
     For a tokenizer that lower-cases, drops white space, splits letters from signs and marks
-    the last id of every word. A comma or full stop after a letter and before white space is a
-    piece of its own, so that words are known with and without it. Words of letters alone that are
-    new go to the tokenizer in one text and are told apart by the marks; other pieces go one by one.
+    the last id of every word. Signs after a letter and before white space are a piece of their own,
+    so that words are known with and without them. New words of letters alone skip what the tokenizer does to
+    whole texts: they are lower-cased here and go in one text to its merges, and the marks tell their ids
+    apart; other new pieces go through the whole tokenizer one by one.
+
+    A dictionary keeps the pieces seen. When it is full it becomes the older of two, whose pieces come back
+    once they are met again; so words in frequent use are not learned anew.
     """
 
     def __init__(self, path: str, keep: int = CACHE_PIECES):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.merges = Tokenizer(self.tokenizer.model)
+        self.merges.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
         vocabulary = self.tokenizer.get_vocab()
         size = 1 + max(vocabulary.values())
         self.type = np.dtype("<u2") if size <= 1 << 16 else np.dtype("<u4")
         self.ends = np.zeros(size, bool)
         self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
         self.special = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.keep, self.known = keep, {}
+        # the letters that stand for bytes: printable ones for themselves, the others from 256 on
+        plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+        other = (b for b in range(256) if b not in plain)
+        self.letters = {b: b for b in plain} | {b: 256 + n for n, b in enumerate(other)} | {32: 32}
+        self.keep, self.known, self.older = keep, {}, {}
 
     def __call__(self, text: str | None) -> bytes:
         raw = encoded(text)
-        pieces = _STOP.sub(rb" \1", raw if any(s in raw for s in self.special) else raw.translate(LOWER)).split()
-        known = self.known
-        if new := [p for p in set(pieces) if p not in known]:
+        low = raw.translate(LOWER)
+        pieces = raw.split() if any(s in low for s in self.special) else _SIGNS.sub(rb" \g<0>", low).split()
+        known, older = self.known, self.older
+        if new := set(pieces).difference(known):
             if len(known) + len(new) > self.keep:
-                known.clear()
-                new = list(set(pieces))
-            self._learn({p: p.decode("utf-8", "replace") for p in new})
+                known, older = self.known, self.older = {}, known
+                new = set(pieces)
+            met = [p for p in new if p in older]
+            known.update(zip(met, map(older.__getitem__, met)))
+            self._learn({p: p.decode("utf-8", "replace") for p in new.difference(met)})
         return b"".join(map(known.__getitem__, pieces))
 
     def _learn(self, new: dict[bytes, str]) -> None:
         plain = [p for p, text in new.items() if _LETTERS.fullmatch(text)]
-        ids = self.tokenizer.encode(" ".join(map(new.__getitem__, plain)), add_special_tokens=False).ids
-        made = np.array(ids, self.type)
+        joined = " ".join(map(new.__getitem__, plain)).lower()
+        if not joined.isascii():
+            joined = joined.encode().decode("latin-1").translate(self.letters)
+        made = np.array(self.merges.encode(joined, add_special_tokens=False).ids, self.type)
         cuts = (np.flatnonzero(self.ends[made]) + 1).tolist()
         if len(cuts) == len(plain):
             size, data = self.type.itemsize, made.tobytes()
@@ -93,10 +113,9 @@ class PieceIds:
             self.known[piece] = np.array(one.ids, self.type).tobytes()
 
 
-@lru_cache(maxsize=2)
-def _piece_ids(path: str) -> PieceIds:
-    """One dictionary per Python worker, kept between its tasks."""
-    return PieceIds(path)
+def piece_ids(path: str) -> PieceIds:
+    """The dictionary of a Python worker, kept between its tasks."""
+    return kept_in_worker("pieces", path, lambda: PieceIds(path))
 
 
 def tokenized(docs: DataFrame, path: str, id: str = "doc_id", text: str = "text", end_id: int = END_ID) -> DataFrame:
@@ -112,10 +131,10 @@ def tokenized(docs: DataFrame, path: str, id: str = "doc_id", text: str = "text"
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids_of = _piece_ids(path)
+        ids_of = piece_ids(path)
         end = np.array([end_id], ids_of.type).tobytes()
         part, done, target = TaskContext.get().partitionId(), 0, to_arrow_schema(schema)
-        for batch in batches:
+        for batch in parts(batches, BATCH_TEXTS):
             ids, first, lengths = [], [], []
             for value in batch.column(text).to_pylist():
                 ids.append(ids_of(value) + end)

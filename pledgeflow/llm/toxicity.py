@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, IntegerType, StructField, StructType
 
-from pledgeflow.llm.common import Rows, stored, with_columns, words
+from pledgeflow.llm.common import Rows, kept_in_worker, stored, with_columns, words
 
 MAX_ROWS, MAX_CHARS = 6_000, 30_000_000
 #: One of so many sampled rows is not trained on: with them the scores are calibrated.
@@ -161,15 +161,9 @@ class Scorer:
         return self.model.share(self.model.bias + sums[0] / sums[1])
 
 
-_KEPT: dict[str, Scorer] = {}
-
-
 def _scorer(key: str, shared) -> Scorer:
     """The scorer of a Python worker, kept between its tasks."""
-    if key not in _KEPT:
-        _KEPT.clear()
-        _KEPT[key] = Scorer(shared.value)
-    return _KEPT[key]
+    return kept_in_worker("scorer", key, lambda: Scorer(shared.value))
 
 
 def train(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "text", label: str = "label") -> Model:
@@ -189,12 +183,13 @@ def train(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "t
     chosen: dict[int, int] = {}
     for value in (0, 1):
         held = 0
-        for r in rows.filter(F.col("__label") == value).orderBy("__order", "__n").limit(MAX_ROWS // 2).collect():
+        own = rows.filter(F.col("__label") == value).groupBy("__order").agg(F.max("__n").alias("__n"))
+        for r in own.orderBy("__order").limit(MAX_ROWS // 2).collect():
             if held + r["__n"] <= MAX_CHARS // 2:
                 held += r["__n"]
                 chosen[r["__order"]] = value
     wanted = docs.sparkSession.createDataFrame(sorted(chosen.items()), "__order long, __label int")
-    found = docs.select(hashed.alias("__order"), F.col(text)).join(F.broadcast(wanted), "__order")
+    found = docs.select(hashed.alias("__order"), F.col(text)).join(F.broadcast(wanted), "__order").dropDuplicates(["__order"])
     sample = {r["__order"]: (r[text], r["__label"]) for r in found.collect()}
     texts, values = zip(*(sample[k] for k in sorted(sample)))
     return fit(texts, list(values), prior)

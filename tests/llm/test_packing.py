@@ -19,6 +19,7 @@ def tokenizer():
 @pytest.mark.parametrize(
     "text",
     ["", "It's i'LL don't. Stop.. a.,b x. ", "ΟΔΥΣΣΕΥΣ ſ K İ ŉ ²½ ´", "a\x1c\x85b c ́x. é.", "<|endoftext|>. a<|endoftext|>B <|ENDOFTEXT|>",
+     "<|ENDOFTEXT|>", "a<|ENDOFTEXT|>b Ép. é!! x'!! y--\tz=~ ß; ö(#) a÷. a×!",
      "١٢ 12.5, 3. ñ. ß, 가 👍🏽.", prose(8, 500), "x" * 5000],
 )
 def test_pieces_give_the_ids_of_the_whole_text(tokenizer, text):
