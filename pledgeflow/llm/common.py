@@ -9,7 +9,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
-from pyspark.sql.types import StructType
+from pyspark.sql.types import (
+    ArrayType,
+    BinaryType,
+    BooleanType,
+    DoubleType,
+    IntegerType,
+    LongType,
+    StringType,
+    StructField,
+    StructType,
+)
 
 from pledgeflow.session import working_folder
 
@@ -69,6 +79,19 @@ def kept_in_worker(kind: str, key: object, make: Callable[[], Any]) -> Any:
     return _KEPT[kind][1]
 
 
+_TYPES = {
+    "long": LongType(), "int": IntegerType(), "double": DoubleType(), "string": StringType(), "binary": BinaryType(),
+    "boolean": BooleanType(),
+}
+
+
+def schema_of(**types: str | list[str]) -> StructType:
+    """A schema from names of types; a list of one name is an array of it."""
+    return StructType(
+        [StructField(n, ArrayType(_TYPES[t[0]]) if isinstance(t, list) else _TYPES[t]) for n, t in types.items()]
+    )
+
+
 Rows = dict[str, list[Any] | pa.Array]
 
 

@@ -76,4 +76,22 @@ ORACLE: dict[str, str] = {
         SELECT doc_id, len(ls) AS n_lines, len(ls) - coalesce(n, 0) AS n_dropped, sha256(coalesce(text, '')) AS kept_sha256
         FROM docs LEFT JOIN kept USING (rid)
     """,
+    "op12_hard_negatives": """
+        WITH v AS (SELECT row_number() OVER () AS rid, vec_id,
+                CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                [CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS e
+            FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL
+                AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+        pairs AS (SELECT a.rid, a.vec_id AS anchor_id, b.vec_id AS other_id, a.label = b.label AS alike,
+                CAST(list_sum([p[1] * p[2] FOR p IN list_zip(a.e, b.e)]) AS BIGINT) AS score
+            FROM v a JOIN v b ON a.rid <> b.rid WHERE a.vec_id % 100 = 0),
+        positives AS (SELECT *, row_number() OVER (PARTITION BY rid ORDER BY score DESC, other_id) AS place
+            FROM pairs WHERE alike QUALIFY place <= 5)
+        SELECT p.anchor_id, p.other_id AS positive_id,
+            CAST(row_number() OVER (PARTITION BY p.rid, p.place ORDER BY n.score DESC, n.other_id) AS INTEGER) AS rank,
+            n.other_id AS negative_id, p.score AS positive_score, n.score AS negative_score
+        FROM positives p JOIN pairs n ON p.rid = n.rid AND NOT n.alike
+            AND 30 * p.score <= 100 * n.score AND 100 * n.score <= 90 * p.score
+        QUALIFY rank <= 10
+    """,
 }
