@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pledgeflow.llm import chat, decontamination, hard_negatives, language_model, lines, minhash, packing, pii, simhash, toxicity, urls
+from pledgeflow.llm import chat, decontamination, hard_negatives, language_model, lines, minhash, packing, pii, simhash, token_files, toxicity, urls
 from pledgeflow.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -154,6 +154,12 @@ def op10_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("text"), 256).alias("kept_sha256"))
 
 
+@query
+def op11_token_files(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return token_files.read_documents(spark, token_files.write(docs, tokenizer_path("word_bpe_49k.json")))
+
+
 @query
 def op12_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
     moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
