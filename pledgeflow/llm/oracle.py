@@ -94,4 +94,25 @@ ORACLE: dict[str, str] = {
             AND 30 * p.score <= 100 * n.score AND 100 * n.score <= 90 * p.score
         QUALIFY rank <= 10
     """,
+    "op13_collocations": r"""
+        WITH pieces AS (SELECT coalesce(lang, 'und') AS lang, regexp_extract_all(unnest(string_split_regex(
+                {0}, '[.,;:!?\x0A-\x0D]')), '[^\x20\x09]+') AS ws FROM documents),
+        grams AS (SELECT lang, s, unnest([array_to_string(ws[i : i + s - 1], ' ') FOR i IN range(1, len(ws) - s + 2)]) AS p
+            FROM pieces, (VALUES (1), (2), (3)) AS t(s)),
+        f AS (SELECT lang, s, p, count(*) AS a FROM grams GROUP BY ALL),
+        sizes AS (SELECT lang, sum(a)::BIGINT AS n FROM f WHERE s = 1 GROUP BY lang),
+        candidates AS (SELECT *, string_split(p, ' ') AS w FROM f WHERE s > 1 AND a >= 10),
+        cuts AS (SELECT *, array_to_string(w[1:k], ' ') AS first, array_to_string(w[k + 1:], ' ') AS rest
+            FROM (SELECT *, unnest(range(1, s)) AS k FROM candidates)),
+        scored AS (SELECT c.*, l.a AS l, r.a AS r,
+                1000000 * c.a::HUGEINT * c.a::HUGEINT // (l.a::HUGEINT * r.a::HUGEINT) AS score
+            FROM cuts c JOIN f l ON c.lang = l.lang AND c.first = l.p JOIN f r ON c.lang = r.lang AND c.rest = r.p),
+        weakest AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, p ORDER BY score, k) = 1),
+        longer AS (SELECT lang, unnest([w[1] || ' ' || w[2], w[2] || ' ' || w[3]]) AS p, a FROM candidates WHERE s = 3),
+        kept AS (SELECT * FROM weakest WHERE NOT EXISTS (SELECT 1 FROM longer g
+            WHERE g.lang = weakest.lang AND g.p = weakest.p AND 100 * g.a >= 50 * weakest.a))
+        SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(p)) AS rank,
+            p AS phrase, a, l, r, n, score::BIGINT AS score
+        FROM kept JOIN sizes USING (lang) QUALIFY rank <= 2000
+    """.replace("{0}", _LOWER.format("text")),
 }

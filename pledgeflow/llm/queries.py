@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pledgeflow.llm import chat, decontamination, hard_negatives, language_model, lines, minhash, packing, pii, simhash, token_files, toxicity, urls
+from pledgeflow.llm import chat, collocations, decontamination, hard_negatives, language_model, lines, minhash, packing, pii, simhash, token_files, toxicity, urls
 from pledgeflow.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -165,3 +165,8 @@ def op12_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
     moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
     rows = table(spark, folder, "embeddings").select("vec_id", "embedding", moved.alias("label"))
     return hard_negatives.mine(rows, F.col("vec_id") % 100 == 0)
+
+
+@query
+def op13_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    return collocations.find_collocations(table(spark, folder, "documents").select("text", "lang"))
