@@ -73,18 +73,36 @@ def text_array(column: Column) -> Column:
     """``'{a, b}'`` to an array of its trimmed elements; ``'{}'`` to an empty one.
 
     An element in double quotes may hold commas and spaces, and a backslash before a character that stands for itself.
+    A quote that is never closed reaches to the end. The steps each pass over the text once, so long literals are fine.
     """
     body = F.trim(F.regexp_replace(column, r"^\s*\{|\}\s*$", ""))
     return F.when(body == "", F.array().cast("array<string>")).otherwise(
-        F.transform(F.split(body, _COMMA), _element)
+        F.transform(_split_outside_quotes(body), _element)
     )
 
 
-#: A comma with an even number of unescaped double quotes behind it.
-_COMMA = r',(?=(?:[^"\\]|\\.)*(?:(?:"(?:[^"\\]|\\.)*){2})*$)'
+# Stand-ins for an escaped backslash, an escaped quote and a comma between elements. They begin with a control
+# character, which is written as a stand-in itself where the text has it.
+_MARK = "\u0001"
+_STAND_INS = ((_MARK, _MARK + "a"), ("\\\\", _MARK + "b"), ('\\"', _MARK + "c"))
+_BETWEEN = _MARK + "d"
+
+
+def _split_outside_quotes(body: Column) -> Column:
+    """The text between commas that are not in double quotes."""
+    for text, stand_in in _STAND_INS:
+        body = F.replace(body, F.lit(text), F.lit(stand_in))
+    # Every second piece between quotes lies outside them.
+    pieces = F.transform(
+        F.split(body, '"'),
+        lambda piece, n: F.when(n % 2 == 0, F.replace(piece, F.lit(","), F.lit(_BETWEEN))).otherwise(piece),
+    )
+    return F.split(F.array_join(pieces, '"'), _BETWEEN)
 
 
 def _element(x: Column) -> Column:
+    for text, stand_in in reversed(_STAND_INS):
+        x = F.replace(x, F.lit(stand_in), F.lit(text))
     plain = F.trim(x)
     inner = F.regexp_replace(plain, r'^"|"$', "")
     quoted = plain.startswith('"') & plain.endswith('"') & (F.length(plain) > 1)

@@ -1,4 +1,5 @@
 import pytest
+from pyspark.sql import functions as F
 
 from pledgeflow.functions import messages as m
 from pledgeflow.functions.expressions import money_array, text_array
@@ -134,3 +135,27 @@ def test_money_array(spark):
     df = spark.createDataFrame([("{1, 2.5, x}",)], "t string")
     got = df.select(money_array(df.t)).first()[0]
     assert [None if v is None else float(v) for v in got] == [1.0, 2.5, None]
+
+
+@pytest.mark.parametrize("n", [1_000, 100_000])
+def test_long_text_arrays(spark, n):
+    plain = "{" + ", ".join(f"level{i}" for i in range(n)) + "}"
+    quoted = "{" + ",".join(f'"a, {i} \\"x\\" \\\\"' for i in range(n)) + "}"
+    escaped = '{"' + "\\," * n + '", b}'
+    df = spark.createDataFrame([(plain,), (quoted,), (escaped,)], "t string").select(text_array(F.col("t")).alias("a"))
+    got = [r["a"] for r in df.collect()]
+    assert got[0] == [f"level{i}" for i in range(n)]
+    assert got[1] == [f'a, {i} "x" \\' for i in range(n)]
+    assert got[2] == ["," * n, "b"]
+
+
+@pytest.mark.parametrize(
+    "text,expected",
+    [
+        ('{NULL, "NULL", null}', [None, "NULL", "null"]), ('{"", a}', ["", "a"]), ("{a\x01b, \x01, \x01d\x01c}", ["a\x01b", "\x01", "\x01d\x01c"]),
+        ('{"\\\\", "\\"", \\"}', ["\\", '"', '\\"']), ('{a, "b, c}', ["a", '"b, c']), ("{,}", ["", ""]), ("{été, 😀}", ["été", "😀"]),
+    ],
+)
+def test_awkward_text_arrays(spark, text, expected):
+    df = spark.createDataFrame([(text,)], "t string")
+    assert df.select(text_array(df.t)).first()[0] == expected
