@@ -491,6 +491,10 @@ _QUERIES = {
         FROM orders""",
     "stream_pledges": _ingest("backs"),
     "stream_pledges_again": _ingest("offered_backs", "backs"),
+    "stream_pledges_returning": f"""
+        WITH judged AS ({_ingest("backs")})
+        SELECT * FROM judged UNION ALL
+        SELECT * REPLACE (coalesce(reason, '{_REASONS["stored"]}') AS reason) FROM judged""",
     "stream_refunds": _decision("""
         CASE WHEN NOT EXISTS (SELECT 1 FROM employees e WHERE e.id = f.eid)
              THEN 'missing parent: refunds (eid) -> employees(id)' END"""),

@@ -537,6 +537,15 @@ def stream_pledges_again(t):
     )
 
 
+@query
+def stream_pledges_returning(t):
+    """Every pledge comes a second time in a later micro-batch; accepted keys are folded into runs in between."""
+    return guards.replay(
+        [t["backs"], t["backs"]], "returning",
+        lambda s, sink: guards.guard_pledges(s, sink, t["projects"], t["rewards"], t["backers"], fan=2, bucket_rows=4_000),
+    )
+
+
 @query
 def stream_refunds(t):
     return _replayed(

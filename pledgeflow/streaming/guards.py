@@ -3,12 +3,13 @@
 A guard writes ``sink/batch_id=N/verdict=accepted|rejected``. The folder of a
 micro-batch is overwritten as a whole, and a batch looks only at batches before
 it, so a micro-batch that is run again after a failure gives the same files.
-Keys taken in earlier micro-batches are found in the sink, not in stream state.
+Keys taken in earlier micro-batches are found in an index of the sink (see ``key_index``), not
+in stream state, and a micro-batch opens only the parts of it that its keys fall in.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,6 +21,7 @@ from pledgeflow.operators.joins import matching
 from pledgeflow.plans.funding import project_totals
 from pledgeflow.schema import TABLES
 from pledgeflow.session import working_folder
+from pledgeflow.streaming.key_index import BUCKET_ROWS, FAN, KeyIndex
 
 Judge = Callable[[DataFrame, DataFrame], DataFrame]
 #: A stored table, or a function that gives its present version; it is asked for every micro-batch.
@@ -43,36 +45,30 @@ def read_verdicts(spark: SparkSession, sink: str, columns: T.StructType) -> Data
     return spark.read.schema(stored).parquet(sink)
 
 
-def _accepted_before(spark: SparkSession, sink: str, columns: T.StructType, batch_id: int) -> DataFrame:
-    """Rows accepted by earlier micro-batches with their ``batch_id``.
-
-    Both conditions are on partition columns, so they prune the files read.
-    """
-    if batch_id == 0:
-        return spark.createDataFrame([], T.StructType(columns.fields + [T.StructField("batch_id", T.LongType())]))
-    earlier = (F.col("batch_id") < batch_id) & (F.col("verdict") == "accepted")
-    return read_verdicts(spark, sink, columns).filter(earlier).select(*columns.names, "batch_id")
-
-
 def _taken(before: DataFrame, stored: Stored | None, key: tuple[str, ...]) -> DataFrame:
     keys = before.select(*key)
     return keys if stored is None else keys.unionByName(_now(stored).select(*key))
 
 
-def guard(stream: DataFrame, sink: str, judge: Judge, checkpoint: str | None = None, **trigger) -> StreamingQuery:
+def guard(
+    stream: DataFrame, sink: str, judge: Judge, key: Sequence[str], carried: Sequence[str] = (),
+    checkpoint: str | None = None, fan: int = FAN, bucket_rows: int = BUCKET_ROWS, **trigger,
+) -> StreamingQuery:
     """Run ``judge(batch, accepted_before)`` on every micro-batch of ``stream``.
 
-    ``trigger`` is passed on; by default the stream stops when it has caught up.
+    ``accepted_before`` has the ``key``, the ``carried`` columns and ``batch_id`` of accepted rows; those whose key is not in
+    the batch may be left out. ``trigger`` is passed on; by default the stream stops when it has caught up.
     """
     columns = T.StructType([T.StructField(f.name, f.dataType, True) for f in stream.schema.fields])
+    index = KeyIndex(stream.sparkSession, sink, columns, key, carried, fan, bucket_rows)
 
     def store(batch: DataFrame, batch_id: int) -> None:
-        before = _accepted_before(batch.sparkSession, sink, columns, batch_id)
         held = batch.persist()
         try:
             # Once held, Spark knows the bytes of a micro-batch: it broadcasts a small
             # one to the stored tables and shuffles neither.
             held.count()
+            before = index.before(held, batch_id)
             verdicts.write_judged(judge(held, before), f"{sink}/batch_id={batch_id}")
         finally:
             held.unpersist()
@@ -102,7 +98,7 @@ def guard_pledges(
             hot,
         )
 
-    return guard(stream, sink, judge, **options)
+    return guard(stream, sink, judge, TABLES["backs"].key, **options)
 
 
 def guard_refunds(
@@ -119,7 +115,7 @@ def guard_refunds(
             batch, _now(backs), matching(_now(projects), named, ["id"]), matching(_now(employees), staff, ["id"]), taken, hot
         )
 
-    return guard(stream, sink, judge, **options)
+    return guard(stream, sink, judge, TABLES["refunds"].key, **options)
 
 
 def guard_request_changes(
@@ -143,21 +139,18 @@ def guard_request_changes(
             batch, current, matching(_now(projects), batch, ["id"]), lock_existing, sums, hot
         )
 
-    return guard(stream, sink, judge, **options)
+    return guard(stream, sink, judge, keys, ["new_request"], **options)
 
 
 def guard_registrations(stream: DataFrame, sink: str, tables: Mapping[str, Stored], **options) -> StreamingQuery:
     """Registrations; a micro-batch is complete in itself, as one transaction was."""
 
     def judge(batch: DataFrame, before: DataFrame) -> DataFrame:
-        taken = {
-            "users": _now(tables["users"]).select("email").unionByName(before.select("email")),
-            "backers": _now(tables["backers"]),
-            "creators": _now(tables["creators"]),
-        }
+        taken = {name: matching(_now(tables[name]), batch, ["email"]) for name in ("users", "backers", "creators")}
+        taken["users"] = taken["users"].select("email").unionByName(before.select("email"))
         return ingest.judge_registrations(batch, taken)
 
-    return guard(stream, sink, judge, **options)
+    return guard(stream, sink, judge, ["email"], **options)
 
 
 def guard_project_loads(stream: DataFrame, sink: str, tables: Mapping[str, Stored], **options) -> StreamingQuery:
@@ -167,26 +160,27 @@ def guard_project_loads(stream: DataFrame, sink: str, tables: Mapping[str, Store
         taken = {
             "creators": matching(_now(tables["creators"]), batch, ["email"]),
             "project_types": matching(_now(tables["project_types"]), batch.select(F.col("ptype").alias("name")), ["name"]),
-            "projects": _now(tables["projects"]).select("id").unionByName(before.select("id")),
+            "projects": matching(_now(tables["projects"]), batch, ["id"]).select("id").unionByName(before.select("id")),
         }
         return ingest.judge_project_loads(batch, taken)
 
-    return guard(stream, sink, judge, **options)
+    return guard(stream, sink, judge, ["id"], **options)
 
 
-def replay(rows: DataFrame, name: str, start: Callable[[DataFrame, str], StreamingQuery], files_per_batch: int = 4) -> DataFrame:
+def replay(
+    rows: DataFrame | Sequence[DataFrame], name: str, start: Callable[[DataFrame, str], StreamingQuery], files_per_batch: int = 4
+) -> DataFrame:
     """Store ``rows`` in the shared folder, stream them through a guard, return all verdicts.
 
     This runs the stream to its end. It serves backfills and checks: the
-    verdicts are those of the batch job wherever rows do not compete for a key.
+    verdicts are those of the batch job wherever rows do not compete for a key. Several
+    DataFrames are streamed in turn: the rows of one come in later micro-batches than those before it.
     """
-    spark = rows.sparkSession
+    parts = [rows] if isinstance(rows, DataFrame) else list(rows)
+    schema, spark = parts[0].schema, parts[0].sparkSession
     folder = working_folder(spark, f"replay-{name}")
-    rows.write.parquet(f"{folder}/in")
-    stream = (
-        spark.readStream.schema(rows.schema)
-        .option("maxFilesPerTrigger", files_per_batch)
-        .parquet(f"{folder}/in")
-    )
-    start(stream, f"{folder}/out").awaitTermination()
-    return read_verdicts(spark, f"{folder}/out", rows.schema).drop("batch_id", "verdict")
+    for part in parts:
+        part.write.mode("append").parquet(f"{folder}/in")
+        stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(f"{folder}/in")
+        start(stream, f"{folder}/out").awaitTermination()
+    return read_verdicts(spark, f"{folder}/out", schema).drop("batch_id", "verdict")
