@@ -112,6 +112,10 @@ def _verified(day: str) -> str:
     return f"SELECT * FROM users WHERE email IN (SELECT email FROM verifies WHERE verified <= DATE '{day}')"
 
 
+# What is left of the pledges after the batches of the maintained totals.
+VIEWS["changed_backs"] = """
+    SELECT * REPLACE (CAST(CASE WHEN id % 5 = 0 THEN 2 * amount ELSE amount END AS DECIMAL(18,2)) AS amount)
+    FROM backs WHERE email NOT IN (SELECT email FROM delete_list)"""
 VIEWS["profile"] = f"""
     SELECT b.email, count(*) AS n_projects, count(DISTINCT s.c_ptype) AS n_types, sum(b.amount) AS pledged
     FROM backs b JOIN ({_successful(EARLY)}) s ON s.id = b.id AND s.deadline >= DATE '{EARLY}' - 30
@@ -470,6 +474,15 @@ _QUERIES = {
     "top_popular_funded": _popular("d.days IS NOT NULL"),
     "daily_funding": "SELECT * FROM daily",
     "funding_curve": "SELECT * FROM curve",
+    "maintained_curve": """
+        SELECT d.id, d.backing, d.amount, p.goal,
+               CAST(sum(d.amount) OVER (PARTITION BY d.id ORDER BY d.backing) AS DECIMAL(18,2)) AS running
+        FROM (SELECT id, backing, CAST(sum(amount) AS DECIMAL(18,2)) AS amount FROM changed_backs GROUP BY id, backing) d
+        JOIN projects p ON p.id = d.id""",
+    "maintained_success": f"""
+        SELECT p.id, email AS c_email, ptype AS c_ptype, created AS c_date, name AS pname, deadline, goal, amount
+        FROM projects p JOIN (SELECT id, CAST(sum(amount) AS DECIMAL(18,2)) AS amount FROM changed_backs GROUP BY id) t
+            ON t.id = p.id AND t.amount >= p.goal WHERE deadline < DATE '{EARLY}'""",
     "projects_by_type": f"SELECT * FROM projects WHERE ptype = '{PTYPE}'",
     "sql_successful_projects": _successful(EARLY),
     "sql_verified_users": _verified(EARLY),
@@ -504,6 +517,14 @@ _QUERIES = {
 }
 
 
+_QUERIES.update(
+    write_back_requests=_QUERIES["apply_request_updates"],
+    write_back_users=_QUERIES["delete_users"],
+    write_back_keys=_QUERIES["cascade_key_update"],
+    write_back_deletes=_QUERIES["cascade_delete_pledges"],
+)
+
+
 def _mentions(sql: str) -> list[str]:
     words = set("".join(c if c.isalnum() or c == "_" else " " for c in sql).split())
     return [name for name in VIEWS if name in words]

@@ -14,12 +14,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pledgeflow.operators import audit, cascade, ingest, maintenance, refunds, rules, verdicts
+from pledgeflow.operators import audit, cascade, ingest, maintenance, refunds, rules, verdicts, write_back
 from pledgeflow.operators.joins import hot_keys
-from pledgeflow.plans import backers, funding, rankings, sql_functions
+from pledgeflow.plans import backers, funding, maintained, rankings, sql_functions
 from pledgeflow.schema import TABLES
+from pledgeflow.session import working_folder
 from pledgeflow.sources import files
 from pledgeflow.sources.adapters import DriverTables
+from pledgeflow.sources.versions import Store
 from pledgeflow.streaming import guards
 
 # Parameters of the driver data, the same in the oracle.
@@ -236,6 +238,47 @@ def blocked_delete_strict(t):
     return cascade.blocked_delete(t, "users", t["delete_list"], cascade=False)
 
 
+# --- the same changes in stored tables, by file ------------------------------
+
+
+def _store(t, *names: str) -> Store:
+    store = Store(t.spark, working_folder(t.spark, "store"))
+    store.create({name: t[name] for name in names})
+    return store
+
+
+@query
+def write_back_requests(t):
+    store = _store(t, "backs")
+    write_back.update_requests(store, t["request_changes"])
+    return store.read("backs")
+
+
+@query
+def write_back_users(t):
+    store = _store(t, "users", "backers", "creators")
+    write_back.delete_users(store, t["delete_list"])
+    return _stack(*[_rows(name, store.read(name)) for name in ("backers", "creators", "users")])
+
+
+@query
+def write_back_keys(t):
+    store = _store(t, "users", "backers", "creators", "projects")
+    write_back.update_keys(store, "users", "email", t["email_map"], force=True)
+    return _stack(
+        *[_rows(name, store.read(name)) for name in ("users", "backers", "creators")],
+        _rows("projects", store.read("projects"), "id", "email"),
+    )
+
+
+@query
+def write_back_deletes(t):
+    store = _store(t, "backs", "refunds")
+    gone = refunds.late_requests(t["backs"], t["projects"]).withColumnRenamed("pid", "id")
+    write_back.delete_rows(store, "backs", gone)
+    return _stack(_rows("backs", store.read("backs"), "email", "id"), _rows("refunds", store.read("refunds"), "email", "pid"))
+
+
 # --- ingest rules ------------------------------------------------------------
 
 
@@ -431,6 +474,29 @@ def funding_curve(t):
     return _money(funding.funding_curve(t["projects"], t["backs"]), "amount", "running")
 
 
+def _maintained(t) -> DataFrame:
+    """Funding after pledges have come in two batches, those of some backers have gone and some amounts have changed."""
+    store = Store(t.spark, working_folder(t.spark, "funding-state"))
+    backs = t["backs"]
+    maintained.create(store, backs.filter("id % 3 <> 0"))
+    maintained.update(store, added=backs.filter("id % 3 = 0"), tag="1")
+    maintained.update(store, added=backs.filter("id % 3 = 0"), tag="1")
+    maintained.update(store, removed=backs.join(t["delete_list"].select("email"), "email", "left_semi"), tag="2")
+    kept = backs.join(t["delete_list"].select("email"), "email", "left_anti").filter("id % 5 = 0")
+    maintained.update(store, kept.withColumn("amount", 2 * F.col("amount")), kept, tag="3")
+    return maintained.daily(store)
+
+
+@query
+def maintained_curve(t):
+    return _money(funding.funding_curve(t["projects"], _maintained(t)), "amount", "running")
+
+
+@query
+def maintained_success(t):
+    return _money(funding.successful_projects(t["projects"], _maintained(t), EARLY), "amount")
+
+
 @query
 def projects_by_type(t):
     return funding.projects_by_type(t["projects"], PTYPE)

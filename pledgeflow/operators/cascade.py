@@ -116,12 +116,29 @@ def _one_value_per_key(mapping: DataFrame) -> DataFrame:
     )
 
 
-def _renamed(df: DataFrame, column: str, mapping: DataFrame) -> DataFrame:
+def renamed(df: DataFrame, column: str, mapping: DataFrame) -> DataFrame:
+    """``df`` with the values of a column replaced; ``mapping`` names one new value per old one."""
     changes = mapping.select(F.col("old_value").alias(column), "new_value", F.lit(True).alias("__hit"))
     value = F.when(F.col("__hit"), F.col("new_value")).otherwise(F.col(column))
     return df.join(changes, column, "left").withColumn(column, value).select(*df.columns)
 
 
+def settled_changes(tables: Tables, table: str, column: str, mapping: DataFrame, force: bool = False) -> DataFrame:
+    """The changes that are made, one new value per key.
+
+    Those listed by ``blocked_key_update`` are left out; ``force`` makes them too.
+    """
+    if not force:
+        blocked = blocked_key_update(tables, table, column, mapping).select("old_value").distinct()
+        mapping = mapping.join(blocked, "old_value", "left_anti")
+    return _one_value_per_key(mapping)
+
+
+def changed_columns(table: str, column: str) -> list[tuple[str, str]]:
+    """``(table, column)`` of all that follows a change of key values, itself first."""
+    return [(table, column)] + [(c, k) for c, k, action in _update_edges(table, column) if action == "cascade"]
+
+
 def cascade_key_update(
     tables: Tables, table: str, column: str, mapping: DataFrame, force: bool = False
 ) -> dict[str, DataFrame]:
@@ -131,14 +148,10 @@ def cascade_key_update(
     listed by ``blocked_key_update`` are left out; ``force`` applies them too
     and leaves the rows that do not follow without a parent.
     """
-    if not force:
-        blocked = blocked_key_update(tables, table, column, mapping).select("old_value").distinct()
-        mapping = mapping.join(blocked, "old_value", "left_anti")
-    mapping = _one_value_per_key(mapping)
-    changed = {table: _renamed(tables[table], column, mapping)}
-    for child, child_column, action in _update_edges(table, column):
-        if action == "cascade":
-            changed[child] = _renamed(changed.get(child, tables[child]), child_column, mapping)
+    mapping = settled_changes(tables, table, column, mapping, force)
+    changed: dict[str, DataFrame] = {}
+    for name, of in changed_columns(table, column):
+        changed[name] = renamed(changed.get(name, tables[name]), of, mapping)
     return changed
 
 
@@ -192,18 +205,24 @@ def blocked_delete(tables: Tables, table: str, deletes: DataFrame, cascade: bool
     return reduce(DataFrame.unionByName, blocks).distinct()
 
 
+def doomed_keys(tables: Tables, table: str, deletes: DataFrame) -> list[tuple[str, DataFrame]]:
+    """``(table, keys)`` of the rows that go with the deleted ones, the deleted ones first; a table may come several times."""
+    doomed = _deleted_rows(tables, table, deletes)
+    return [(table, deletes.select(*TABLES[table].key).distinct())] + [
+        (child, rows.select(*TABLES[child].key).distinct())
+        for child, rows, action in _doomed(tables, table, doomed, True)
+        if action == "cascade"
+    ]
+
+
 def cascade_delete(tables: Tables, table: str, deletes: DataFrame) -> dict[str, DataFrame]:
     """The tables that lose rows when keys of ``table`` are deleted, in their new version.
 
     Only references that carry deletes on are followed; run ``blocked_delete``
     first to learn which deletes the others refuse.
     """
-    key = list(TABLES[table].key)
-    doomed = _deleted_rows(tables, table, deletes)
-    left = {table: tables[table].join(deletes.select(*key).distinct(), key, "left_anti").select(*tables[table].columns)}
-    for child, rows, action in _doomed(tables, table, doomed, True):
-        if action == "cascade":
-            spec = TABLES[child]
-            now = left.get(child, tables[child])
-            left[child] = now.join(rows.select(*spec.key).distinct(), list(spec.key), "left_anti").select(*now.columns)
+    left: dict[str, DataFrame] = {}
+    for name, keys in doomed_keys(tables, table, deletes):
+        now = left.get(name, tables[name])
+        left[name] = now.join(keys, list(TABLES[name].key), "left_anti").select(*now.columns)
     return left
