@@ -33,7 +33,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 
 from pledgeflow.llm.common import as_batch, encoded, parts, schema_of, stored
 
-MIN_COUNT, SHARE, TOP, UNKNOWN = 10, 50, 2_000, "und"
+MIN_COUNT, SHARE, TOP, UNKNOWN, SLICES = 10, 50, 2_000, "und", 16
 #: Words of a shard, entries of a range of phrases, every so many entries one is a sample.
 SHARD_WORDS, RANGE_ENTRIES, SAMPLE = 4_000_000, 1 << 20, 1 << 13
 #: Bits of a word's number: three of them make one sort key.
@@ -502,7 +502,11 @@ def find_collocations(
         .groupBy("lang", "phrase").agg(F.max("f").alias("f"))
     )
     kept = weakest.join(longer, ["lang", "phrase"], "left").filter(F.coalesce(100 * F.col("f") < share * F.col("a"), F.lit(True)))
-    order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), F.asc("phrase"))
-    ranked = kept.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= top)
+    # ranked in slices first, so that the last ranking sees SLICES times top rows at most, however many tasks there are
+    sliced_by = F.pmod(F.xxhash64("phrase"), F.lit(SLICES))
+    order = [F.desc("score"), F.desc("a"), F.asc("phrase")]
+    in_slice = F.row_number().over(Window.partitionBy("lang", "slice").orderBy(*order))
+    best = kept.withColumn("slice", sliced_by).withColumn("rank", in_slice).filter(F.col("rank") <= top)
+    ranked = best.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order))).filter(F.col("rank") <= top)
     sizes = made.groupBy("lang").agg(F.sum("n").alias("n"))
     return ranked.join(sizes, "lang").select("lang", F.col("rank").cast("long"), "phrase", "a", "l", "r", "n", "score")

@@ -217,7 +217,8 @@ def _count(whole: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts, target = np.zeros(0, np.int64), to_arrow_schema(_COUNTS)
         for batch in batches:
-            for n, ids in zip(batch.column("n_tokens").to_pylist(), batch.column("ids").to_pylist()):
+            ids, n = b"".join(batch.column("ids").to_pylist()), sum(batch.column("n_tokens").to_pylist())
+            if n:
                 own = np.bincount(np.frombuffer(ids, f"<u{len(ids) // n}"), minlength=len(counts))
                 own[: len(counts)] += counts
                 counts = own
