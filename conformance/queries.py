@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pledgeflow.operators import audit, cascade, ingest, maintenance, refunds, rules, verdicts, write_back
+from pledgeflow.operators import audit, cascade, ingest, maintenance, reference_state, refunds, rules, verdicts, write_back
 from pledgeflow.operators.joins import hot_keys
 from pledgeflow.plans import backers, funding, maintained, rankings, sql_functions
 from pledgeflow.schema import TABLES
@@ -147,6 +147,14 @@ def audit_unique(t):
     return audit.audit_all_keys(tables)
 
 
+@query
+def audit_unique_digest(t):
+    backs = t["backs"].unionByName(t["offered_backs"])
+    return _stack(
+        *[audit.audit_unique_by_digest(backs if n == "backs" else t[n], n, spec.key) for n, spec in TABLES.items()]
+    )
+
+
 @query
 def audit_collision(t):
     return audit.audit_collision(t["offered_backs"], t["backs"], "backs", TABLES["backs"].key)
@@ -162,6 +170,29 @@ def audit_fk_composite(t):
     return audit.audit_foreign_keys(t, composite=True)
 
 
+# Rows that come in later, and rows that go, in the data of the incremental audit: every reference has orphans in the end.
+COMING = {"employees": "id % 10 = 7", "projects": "id % 9 = 4", "updates": "id % 3 = 0", "backs": "id % 7 = 1"}
+GOING = {
+    "employees": "id % 10 = 3", "users": "email LIKE '%7'", "backers": "email LIKE '%5'", "creators": "email LIKE '%4'",
+    "project_types": "name = 'PROMO'", "projects": "id % 11 = 2", "rewards": "id % 13 = 5", "backs": "id % 17 = 4",
+    "updates": "id % 19 = 1",
+}
+
+
+@query
+def audit_fk_changes(t):
+    """The state of all references after rows have come in and others have gone."""
+    store, tables = Store(t.spark, working_folder(t.spark, "references")), _store(t, *TABLES)
+    whole = {n: tables.read(n, 0) for n in TABLES}
+    split = lambda rows: ({n: whole[n].filter(c) for n, c in rows.items()}, {n: whole[n].filter(f"NOT ({c})") for n, c in rows.items()})
+    coming, before = split(COMING)
+    going, after = split(GOING)
+    reference_state.start(store, whole | before)
+    reference_state.update(store, whole, coming, {})
+    reference_state.update(store, whole | after, {}, going)
+    return reference_state.violations(store)
+
+
 @query
 def cast_quarantine(t):
     return audit.cast_quarantine(t["raw_dates"], "raw")
