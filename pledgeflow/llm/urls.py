@@ -17,7 +17,8 @@ the longest string wins, of equally long ones that with the longer host.
 Defined cases: a null url, or one without ``://``, has an empty host and path and
 gets the default verdict; an empty list judges all by default; a rule given twice
 counts once, with two verdicts it blocks; repeated rows are judged one by one; an
-empty table gives an empty result; columns named like the added ones are replaced.
+empty table gives an empty result; columns named like the added ones are replaced. A very long url
+costs what its text costs: of its host and path only parts as long as those of some rule are looked up.
 """
 
 from __future__ import annotations
@@ -58,13 +59,16 @@ class UrlList:
 
     def __init__(self, path: str):
         whole = np.memmap(path, np.uint8, "r")
-        n, lengths, _ = (int(x) for x in whole[: 8 * _HEADER].view(np.uint64))
+        n, lengths, hosts = (int(x) for x in whole[: 8 * _HEADER].view(np.uint64))
         at = 8 * _HEADER
         self.digests = whole[at : at + 8 * n].view(np.uint64)
         self.ends = whole[at + 8 * n : at + 16 * n].view(np.uint64)
         self.blocks = whole[at + 16 * n : at + 24 * n].view(np.uint64)
-        self.lengths = whole[at + 24 * n : at + 24 * n + 8 * lengths].view(np.uint64).tolist()
-        self.strings = whole[at + 24 * n + 8 * lengths :]
+        at += 24 * n
+        self.lengths = whole[at : at + 8 * lengths].view(np.uint64).tolist()
+        at += 8 * lengths
+        self.host_lengths = whole[at : at + 8 * hosts].view(np.uint64).tolist()
+        self.strings = whole[at + 8 * hosts :]
 
     @staticmethod
     def to_bytes(rules: Iterable[tuple[str, str]]) -> bytes:
@@ -76,13 +80,15 @@ class UrlList:
         if sum(map(len, verdicts)) > MAX_BYTES:
             raise ValueError(f"the list has more than {MAX_BYTES} bytes; split it and apply the parts in turn")
         keys = sorted(verdicts, key=lambda k: (xxhash.xxh64_intdigest(k), k))
+        hosts = {len(k.decode().partition("/")[0]) for k in keys}
         lengths = sorted({len(k.decode()) - len(k.decode().partition("/")[0]) for k in keys})
         numbers = [
-            [len(keys), len(lengths), 0],
+            [len(keys), len(lengths), len(hosts)],
             [xxhash.xxh64_intdigest(k) for k in keys],
             np.cumsum([len(k) for k in keys]),
             [verdicts[k] for k in keys],
             lengths,
+            sorted(hosts),
         ]
         return b"".join(np.array(x, np.uint64).tobytes() for x in numbers) + b"".join(keys)
 
@@ -107,18 +113,21 @@ class UrlList:
         return out
 
     def judge(self, urls: list[tuple[str, str]]) -> list[tuple[str, bool] | None]:
-        """The winning rule of each (host, path) and whether it blocks."""
+        """The winning rule of each (host, path) and whether it blocks.
+
+        Only ends of the host, and beginnings of the path, that are as long as those of some rule are looked up.
+        """
         keys: list[bytes] = []
         of: list[tuple[int, int, int, str]] = []
         for n, (host, path) in enumerate(urls):
-            suffix = host
-            while suffix:
-                for length in self.lengths:
-                    if length <= len(path):
-                        key = suffix + path[:length]
-                        keys.append(key.encode("utf-8", "surrogatepass"))
-                        of.append((n, len(key), len(suffix), key))
-                suffix = suffix.partition(".")[2]
+            for size in self.host_lengths:
+                if 0 < size < len(host) and host[-size - 1] == "." or 0 < size == len(host):
+                    suffix = host[-size:]
+                    for length in self.lengths:
+                        if length <= len(path):
+                            key = suffix + path[:length]
+                            keys.append(key.encode("utf-8", "surrogatepass"))
+                            of.append((n, len(key), len(suffix), key))
         best: list[tuple[int, int, str, bool] | None] = [None] * len(urls)
         for (n, size, host, key), blocks in zip(of, self.find(keys)):
             if blocks is not None and (best[n] is None or (size, host) > best[n][:2]):

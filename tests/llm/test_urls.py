@@ -71,3 +71,18 @@ def test_many_rules_repeats_and_bounds(tmp_path, monkeypatch):
     monkeypatch.setattr(urls, "MAX_BYTES", 10)
     with pytest.raises(ValueError):
         urls.UrlList.to_bytes(rules)
+
+
+def test_a_long_url_costs_no_more_than_its_text(tmp_path):
+    import time
+    import tracemalloc
+
+    known = mapped(tmp_path, [*URL_RULES, ("block", "a.a.a.org/"), ("allow", "org/" + "x" * 3000)])
+    long_url = "http://" + "a." * 500_000 + "org/" + "x" * 500_000
+    tracemalloc.start()
+    began = time.process_time()
+    found = known.judge([urls.parts(long_url), urls.parts("http://" + "b." * 500_000 + "com/de/" + "y" * 1000)])
+    took, (_, peak) = time.process_time() - began, tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert found == [("org/" + "x" * 3000, False), ("com/de/", True)]
+    assert took < 1 and peak < 50_000_000
