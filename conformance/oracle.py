@@ -504,6 +504,10 @@ _QUERIES = {
     "ingest_pledges_hot": _ingest("backs"),
     "audit_fk_hot": _foreign_keys(composite=False),
     "superbackers_hot": _superbackers(f"({_BROAD}) OR ({_LARGE})"),
+    "load_copy": """
+        SELECT o_orderkey AS id, o_custkey AS customer, CAST(NULL AS VARCHAR) AS reason FROM orders WHERE o_custkey % 4 <> 1""",
+    "assign_ids_ordered": """
+        SELECT row_number() OVER (ORDER BY id % 2, name, id) AS serial, name, id AS project FROM projects""",
     "load_delimited": """
         SELECT CASE WHEN o_orderstatus = 'P' THEN NULL ELSE o_orderkey END AS id, o_custkey AS customer,
                CASE WHEN o_orderpriority = '1-URGENT' THEN NULL ELSE CAST(o_orderdate AS DATE) END AS day,

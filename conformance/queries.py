@@ -187,7 +187,7 @@ def audit_fk_changes(t):
     split = lambda rows: ({n: whole[n].filter(c) for n, c in rows.items()}, {n: whole[n].filter(f"NOT ({c})") for n, c in rows.items()})
     coming, before = split(COMING)
     going, after = split(GOING)
-    reference_state.start(store, whole | before)
+    reference_state.start(store, whole | before, buckets=4)
     reference_state.update(store, whole, coming, {})
     reference_state.update(store, whole | after, {}, going)
     return reference_state.violations(store)
@@ -509,7 +509,7 @@ def _maintained(t) -> DataFrame:
     """Funding after pledges have come in two batches, those of some backers have gone and some amounts have changed."""
     store = Store(t.spark, working_folder(t.spark, "funding-state"))
     backs = t["backs"]
-    maintained.create(store, backs.filter("id % 3 <> 0"))
+    maintained.create(store, backs.filter("id % 3 <> 0"), buckets=8)
     maintained.update(store, added=backs.filter("id % 3 = 0"), tag="1")
     maintained.update(store, added=backs.filter("id % 3 = 0"), tag="1")
     maintained.update(store, removed=backs.join(t["delete_list"].select("email"), "email", "left_semi"), tag="2")
@@ -607,6 +607,33 @@ def load_delimited(t):
     ]))
 
 
+@query
+def load_copy(t):
+    """Text files of a dump: of each, only what stands before its end marker."""
+    folder = working_folder(t.spark, "dump")
+    orders = t.source("orders").select(F.col("o_orderkey").alias("id"), F.col("o_custkey").alias("customer"))
+    line = F.concat_ws(",", F.col("id").cast("string"), F.col("customer").cast("string")).alias("value")
+    marker = t.spark.createDataFrame([("\\.",)], "value string")
+    for n in range(3):
+        own = orders.filter(F.col("id") % 3 == n)
+        before, behind = own.filter("customer % 4 <> 1").select(line), own.filter("customer % 4 = 1").select(line)
+        before.union(marker).union(behind).coalesce(1).write.text(f"{folder}/{n}")
+    loaded = files.load_delimited(t.spark, f"{folder}/*", T.StructType([
+        T.StructField("id", T.LongType(), False), T.StructField("customer", T.LongType(), False),
+    ]))
+    return loaded.select("id", "customer", "reason")
+
+
+@query
+def assign_ids_ordered(t):
+    """Two batches of projects, each in the order of name and id; the second goes on behind the first and is sent twice."""
+    marks = working_folder(t.spark, "marks")
+    batch = lambda odd: t["projects"].filter(F.col("id") % 2 == odd).select("name", F.col("id").alias("project"))
+    give = lambda odd: maintenance.assign_next_ids(batch(odd), marks, f"batch {odd}", "serial", ["name", "project"])
+    first, _, second = give(0), give(1), give(1)
+    return first.unionByName(second)
+
+
 # --- the same rules on streams -----------------------------------------------
 
 

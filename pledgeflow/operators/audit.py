@@ -21,6 +21,13 @@ def _all(parts: Sequence[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
+def _held(df: DataFrame, name: str) -> DataFrame:
+    """``df`` stored in the shared folder, so that it is computed once and Spark knows its bytes."""
+    folder = working_folder(df.sparkSession, name)
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
+
+
 def audit_rows(df: DataFrame, spec: TableSpec, rules: Sequence[str] = RULES) -> DataFrame | None:
     """NOT NULL and CHECK violations of one table, found in a single scan.
 
@@ -86,9 +93,7 @@ def audit_unique_by_digest(
     key = list(key)
     keys = df.dropna(subset=key).select(*key, digest(*key).alias("__digest"))
     twice = keys.groupBy("__digest").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("__digest")
-    folder = working_folder(df.sparkSession, "digests")
-    twice.write.parquet(folder)
-    doubtful = df.sparkSession.read.schema(twice.schema).parquet(folder)
+    doubtful = _held(twice, "digests")
     return audit_unique(keys.join(doubtful, "__digest", "left_semi").select(*key), table, key)
 
 
@@ -123,16 +128,15 @@ def with_key_reason(judged: DataFrame, batch: DataFrame, table: str, key: Sequen
     Runs one job now: it counts the keys of the plain batch and stores the
     clashes in the shared folder, so Spark knows their size in bytes. As a rule
     they are few and it broadcasts them: then neither finding the copies that pass
-    the rules nor marking the batch moves its rows. A batch without any is returned as it is.
+    the rules nor marking the batch moves its rows. A batch without any is returned as it is;
+    with some, the judged batch is stored as well.
     """
     key = list(key)
-    spark = batch.sparkSession
-    folder = working_folder(spark, "clashes")
-    found = key_conflicts(batch, key, stored)
-    found.write.parquet(folder)
-    clashes = spark.read.schema(found.schema).parquet(folder)
+    clashes = _held(key_conflicts(batch, key, stored), "clashes")
     if clashes.isEmpty():
         return judged.withColumn("key_reason", F.lit(None).cast("string"))
+    # Asked for the contested keys and for the result, so judged once.
+    judged = _held(judged, "judged")
     repeated = clashes.filter(~F.col("is_stored")).select(*key)
     contested = (
         judged.join(repeated, key, "left_semi")

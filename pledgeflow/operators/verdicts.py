@@ -7,6 +7,8 @@ from typing import NamedTuple
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pledgeflow.session import working_folder
+
 
 class Outcome(NamedTuple):
     accepted: DataFrame
@@ -25,9 +27,13 @@ def apply_policy(judged: DataFrame, strict: bool = False) -> Outcome:
     """Split a judged batch into accepted and rejected rows.
 
     By default bad rows are set aside and the rest goes on. With ``strict`` one
-    bad row refuses the whole batch; that needs the answer now, so it runs the
-    rules until the first bad row is found.
+    bad row refuses the whole batch; that needs the answer now, so the judged batch is stored
+    in the shared folder and both outcomes are read from there: the rules run once.
     """
+    if strict:
+        folder = working_folder(judged.sparkSession, "judged")
+        judged.write.parquet(folder)
+        judged = judged.sparkSession.read.schema(judged.schema).parquet(folder)
     bad = rejected(judged)
     good = accepted(judged)
     if strict and not bad.isEmpty():

@@ -6,6 +6,8 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
+from pledgeflow.plans import backers
+
 #: Views of the session that the functions read have names that begin so.
 PREFIX = "pledgeflow_"
 
@@ -51,6 +53,7 @@ RETURN
       ON p.id = s.id
     WHERE p.ptype = find_top_success.ptype AND p.goal <= s.amount AND p.deadline < find_top_success.today)
   WHERE place <= find_top_success.n
+  ORDER BY place
 """,
     """
 CREATE OR REPLACE TEMPORARY FUNCTION find_top_popular(n INT, today DATE, ptype STRING)
@@ -64,9 +67,12 @@ RETURN
       WHERE p.ptype = find_top_popular.ptype AND p.created < find_top_popular.today
       GROUP BY p.id, p.name, p.email, p.ptype, p.created))
   WHERE place <= find_top_popular.n
+  ORDER BY place
 """,
     """
-CREATE OR REPLACE TEMPORARY FUNCTION find_superbackers(today DATE)
+CREATE OR REPLACE TEMPORARY FUNCTION find_superbackers(
+  today DATE, recent_days INT DEFAULT {recent_days}, min_projects INT DEFAULT {min_projects},
+  min_types INT DEFAULT {min_types}, min_amount DECIMAL(18, 4) DEFAULT {min_amount})
 RETURNS TABLE (email STRING, name STRING)
 RETURN
   SELECT u.email, u.name
@@ -76,15 +82,20 @@ RETURN
     JOIN (
       SELECT p.id, p.ptype
       FROM {p}projects p
-      JOIN ({totals}) s ON p.id = s.id
+      JOIN (SELECT c.id, SUM(c.amount) AS amount FROM {p}backs c
+            LEFT SEMI JOIN {p}projects q ON q.id = c.id AND q.deadline < find_superbackers.today
+              AND q.deadline >= DATE_SUB(find_superbackers.today, find_superbackers.recent_days)
+            GROUP BY c.id) s ON p.id = s.id
       WHERE p.goal <= s.amount AND p.deadline < find_superbackers.today
-        AND p.deadline >= DATE_SUB(find_superbackers.today, 30)) w ON w.id = b.id
+        AND p.deadline >= DATE_SUB(find_superbackers.today, find_superbackers.recent_days)) w ON w.id = b.id
     GROUP BY b.email) f
   JOIN {p}users u ON u.email = f.email
   LEFT SEMI JOIN {p}verifies v ON v.email = u.email AND v.verified <= find_superbackers.today
   LEFT JOIN (SELECT DISTINCT email, TRUE AS asked FROM {p}backs
-             WHERE request >= DATE_SUB(find_superbackers.today, 30)) a ON a.email = f.email
-  WHERE f.n_projects >= 5 AND f.n_types >= 3 OR f.amount >= 1500 AND a.asked IS NULL
+             WHERE request >= DATE_SUB(find_superbackers.today, find_superbackers.recent_days)) a ON a.email = f.email
+  WHERE f.n_projects >= find_superbackers.min_projects AND f.n_types >= find_superbackers.min_types
+    OR f.amount >= find_superbackers.min_amount AND a.asked IS NULL
+  ORDER BY u.email, u.name
 """,
     """
 CREATE OR REPLACE TEMPORARY FUNCTION days_to_funding()
@@ -100,6 +111,8 @@ RETURN
 def register(spark: SparkSession, tables: Mapping[str, DataFrame], prefix: str = PREFIX) -> None:
     """Make the reports callable in SQL, such as ``find_top_success(n, day, type)``.
 
+    Top lists and superbackers come in their order where a query takes them as they are; the thresholds of
+    superbackers may be given after the day.
     The tables they read become temporary views of the session, ``prefix`` before their names.
     """
     for name in ("projects", "backs", "users", "verifies"):
@@ -109,6 +122,10 @@ def register(spark: SparkSession, tables: Mapping[str, DataFrame], prefix: str =
         "curve": _CURVE.format(p=prefix, only=""),
         "curve_of_type": _CURVE.format(p=prefix, only=" AND q.ptype = find_top_popular.ptype"),
         "share": _SHARE,
+        "recent_days": backers.RECENT_DAYS,
+        "min_projects": backers.MIN_PROJECTS,
+        "min_types": backers.MIN_TYPES,
+        "min_amount": backers.MIN_AMOUNT,
     }
     for text in FUNCTIONS:
         spark.sql(text.format(p=prefix, **parts))

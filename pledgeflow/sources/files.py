@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -29,11 +29,40 @@ def write_table(df: DataFrame, root: str, name: str, mode: str = "errorifexists"
     typed.write.mode(mode).partitionBy(*partition_by).parquet(f"{root}/{name}")
 
 
+def read_lines(spark: SparkSession, path: str) -> DataFrame:
+    """``(file, line_number, value)``: the lines of text files, numbered from 1 within each.
+
+    A large file is read by many tasks. A line's place is its file, its split and its row in the split; how many lines the splits
+    before hold comes from one count per split. Both passes read the same splits in the same way, as these follow from
+    the files and the session's settings alone.
+    """
+    place = ["file", "split"]
+    lines = spark.read.text(path).select(
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("split"),
+        F.monotonically_increasing_id().alias("__row"),
+        "value",
+    )
+    splits = lines.groupBy(*place).agg(F.min("__row").alias("__first"), F.count(F.lit(1)).alias("__lines"))
+    upto = F.sum("__lines").over(Window.partitionBy("file").orderBy("split"))
+    begins = splits.select(*place, "__first", (upto - F.col("__lines")).alias("__before"))
+    # One row per split of 128 MB or so: broadcast, and the lines stay where they were read.
+    return lines.join(F.broadcast(begins), place).select(
+        "file", (F.col("__before") + F.col("__row") - F.col("__first") + 1).alias("line_number"), "value"
+    )
+
+
 def load_delimited(
     spark: SparkSession, path: str, schema: T.StructType, sep: str = ",", end_marker: str = "\\."
 ) -> DataFrame:
-    """Delimited text files with the columns of ``schema`` plus ``reason`` (see ``parse_delimited``)."""
-    return parse_delimited(spark.read.text(path), schema, sep, end_marker)
+    """Delimited text files with the columns of ``schema`` plus ``line``, ``reason`` (see ``parse_delimited``), ``file`` and ``line_number``.
+
+    The data of a file end at the first line that is the end marker; what stands behind it is not loaded.
+    """
+    lines = read_lines(spark, path)
+    ends = lines.filter(F.trim("value") == end_marker).groupBy("file").agg(F.min("line_number").alias("__end"))
+    data = lines.join(F.broadcast(ends), "file", "left").filter(F.coalesce(F.col("line_number") < F.col("__end"), F.lit(True)))
+    return parse_delimited(data.drop("__end"), schema, sep, end_marker)
 
 
 def parse_delimited(
@@ -41,7 +70,7 @@ def parse_delimited(
 ) -> DataFrame:
     """Lines in a column ``value`` with the columns of ``schema`` plus ``reason``.
 
-    The line that only marks the end of the data is dropped; it has to be the last, as lines have no order here.
+    Other columns of ``rows`` are kept. The line that only marks the end of the data is dropped; it has to be the last, as lines have no order here.
     ``null`` stands for NULL. A line that does not parse, or leaves a required
     column empty, keeps its text in ``line`` and gets a reason.
     """
@@ -51,7 +80,9 @@ def parse_delimited(
     )
     options = {"sep": sep, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": "__bad", "nullValue": null}
     lines = rows.filter(F.trim("value") != end_marker)
+    others = [c for c in rows.columns if c != "value"]
     parsed = lines.select(
+        *others,
         F.col("value").alias("line"),
         F.from_csv("value", wanted.simpleString()[len("struct<"):-1].replace(":", " "), options).alias("r"),
     )
@@ -65,4 +96,5 @@ def parse_delimited(
         *[F.col(f"r.{f.name}").alias(f.name) for f in schema.fields],
         "line",
         first_reason(malformed, *missing).alias("reason"),
+        *others,
     )

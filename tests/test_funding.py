@@ -151,3 +151,22 @@ def test_reports_as_sql_functions(spark, success):
     got = spark.sql("SELECT id, amount FROM successful_projects(DATE '2022-01-15')")
     assert bag(got) == [(1, Decimal(1000)), (4, Decimal(1000)), (5, Decimal(10000))]
     assert bag(spark.sql("SELECT email FROM verified_users(DATE '2022-01-01')")) == [(backer(1),)]
+
+
+def test_sql_reports_come_in_order(spark):
+    tables = dict(five_projects(spark))
+    days = {1: 5, 2: 1, 3: 9, 4: 1}
+    pledges = [(backer(b), "gold", n, days_after("2021-10-01", d), None, 1000 + 500 * n) for n, d in days.items() for b in (1, 2)]
+    tables["backs"] = table(spark, "backs", pledges)
+    tables["verifies"] = table(spark, "verifies", [(backer(b), 1, "2021-01-01") for b in (2, 1)])
+    sql_functions.register(spark, tables)
+    ask = lambda text: rows(spark.sql(text))
+    top = ask("SELECT id FROM find_top_success(3, DATE '2022-03-01', 'type1')")
+    assert top == [(n,) for n in (4, 3, 2)]
+    popular = ask("SELECT id, days FROM find_top_popular(5, DATE '2022-03-01', 'type1')")
+    assert popular == [(2, 1), (4, 1), (1, 5), (3, 9), (5, None)]
+    both = [(backer(1),), (backer(2),)]
+    assert ask("SELECT email FROM find_superbackers(DATE '2022-02-10')") == [*both]
+    assert ask("SELECT email FROM find_superbackers(DATE '2022-02-10', 9)") == both
+    assert ask("SELECT email FROM find_superbackers(DATE '2022-02-10', 9, 5, 3, 2000.5)") == []
+    assert ask("SELECT email FROM find_superbackers(DATE '2022-02-10', 9, 1, 1, 99999)") == both

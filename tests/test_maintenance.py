@@ -1,5 +1,6 @@
 from datetime import date
 
+import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -47,3 +48,23 @@ def test_ids_are_dense(spark, size, parts, start):
     got = rows(maintenance.assign_ids(df, "n", start))
     assert sorted(n for n, _ in got) == list(range(start, start + size))
     assert sorted(v for _, v in got) == [2 * i for i in range(size)]
+
+
+@pytest.mark.parametrize("parts", [1, 7])
+def test_ids_follow_the_order_and_go_on(spark, tmp_path, parts):
+    marks = str(tmp_path / "marks")
+    made = lambda lo, hi: spark.range(lo, hi).repartition(parts).select((F.col("id") % 5).alias("k"), (-F.col("id")).alias("v"))
+    number = lambda df, tag: rows(maintenance.assign_next_ids(df, marks, tag, "n", ["k", F.desc("v")]))
+    first = number(made(0, 60), "a")
+    want = sorted(((i % 5, -i) for i in range(60)), key=lambda r: (r[0], -r[1]))
+    assert sorted(first) == [(n, *r) for n, r in enumerate(want, 1)]
+    second = number(made(60, 83), "b")
+    assert sorted(n for n, *_ in second) == list(range(61, 84))
+    assert sorted(number(made(60, 83).repartition(3), "b")) == sorted(second)  # a batch that is sent again
+    assert number(made(0, 0), "c") == [] and sorted(n for n, *_ in number(made(0, 2), "d")) == [84, 85]
+
+
+def test_equal_rows_and_nulls_in_the_order(spark):
+    df = spark.createDataFrame([(None, "x")] * 3 + [(1, "b"), (1, "a")] + [(1, "a")] * 3, "k int, v string").repartition(4)
+    got = sorted(rows(maintenance.assign_ids(df, "n", 1, [F.asc_nulls_last("k")])))
+    assert got == [*((n, 1, "a") for n in range(1, 5)), (5, 1, "b"), *((n, None, "x") for n in range(6, 9))]

@@ -30,3 +30,30 @@ def test_tables_round_trip(spark, tmp_path):
     back = read_tables(spark, str(tmp_path), ["backs"])["backs"]
     assert back.columns == TABLES["backs"].schema.names
     assert bag(back) == bag(backs)
+
+
+def test_what_stands_behind_the_marker_is_not_loaded(spark, tmp_path):
+    # two files of several splits each; only one of them has a marker, and lines behind it
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+    try:
+        one = [f"{n},{n * 10}" for n in range(3000)]
+        one[1234], one[2000] = "x,1", "\\."
+        (tmp_path / "one.txt").write_text("\n".join(one))
+        (tmp_path / "two.txt").write_text("".join(f"{n},7\n" for n in range(5000, 7000)) + "y,2\n")
+        got = load_delimited(spark, str(tmp_path), PAIR)
+        assert got.rdd.getNumPartitions() > 1
+        found = got.collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    good = sorted((r["a"], r["b"]) for r in found if r["reason"] is None)
+    assert good == [(n, n * 10) for n in range(2000) if n != 1234] + [(n, 7) for n in range(5000, 7000)]
+    bad = sorted((r["file"].rsplit("/")[-1], r["line_number"], r["line"], r["reason"]) for r in found if r["reason"])
+    assert bad == [("one.txt", 1235, "x,1", "malformed line"), ("two.txt", 2001, "y,2", "malformed line")]
+    numbers = sorted(r["line_number"] for r in found if r["file"].endswith("two.txt"))
+    assert numbers == list(range(1, 2002))
+
+
+def test_lines_of_empty_and_missing_ends(spark, tmp_path):
+    for name, text in (("a.txt", ""), ("b.txt", "\\.\n1,1\n"), ("c.txt", "1,2")):
+        (tmp_path / name).write_text(text)
+    assert rows(load_delimited(spark, str(tmp_path), PAIR), "a", "b", "line_number") == [(1, 2, 1)]
