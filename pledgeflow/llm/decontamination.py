@@ -8,7 +8,8 @@ together in numpy, and each hit is verified word by word.
 
 Bounds: a block of the benchmark has at most ``block_words`` words (a single
 longer item is a block of its own) and is all that is broadcast at a time; a
-larger benchmark gives more blocks, each one a further pass of the same job.
+larger benchmark gives more blocks, each one a further pass over what the pass before has
+stored; its broadcast is destroyed before the next one is made.
 
 Defined cases: null and empty texts have no words and no hits; an item without
 words is no window; a null item id counts as the id ``null``; repeated items count
@@ -29,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StringType, StructField, StructType
 
-from pledgeflow.llm.common import Rows, alnum_words, set_aside, with_columns
+from pledgeflow.llm.common import Rows, alnum_words, set_aside, stored, with_columns
 
 #: Words of an item that make one window.
 WINDOW = 10
@@ -128,11 +129,16 @@ def find_leaks(
     Reads the benchmark when called.
     """
     context = docs.sparkSession.sparkContext
-    sets = [context.broadcast(block) for block in _blocks(benchmark, item, item_text, size, block_words)]
     out = docs.drop(*[c for c in docs.columns if c.lower() in {f.name for f in _FOUND.fields}])
-    for n, one in enumerate(sets or [context.broadcast(NgramSet([], size))]):
-        out = with_columns(out, _FOUND, _scanner(text, one, again=n > 0))
-    return out
+    last = None
+    for one in _blocks(benchmark, item, item_text, size, block_words):
+        again = last is not None
+        if again:
+            out = stored(out, "leaks")
+            last.destroy()
+        last = context.broadcast(one)
+        out = with_columns(out, _FOUND, _scanner(text, last, again))
+    return out if last else with_columns(out, _FOUND, _scanner(text, context.broadcast(NgramSet([], size)), False))
 
 
 def _scanner(text: str, block, again: bool) -> Callable[[], Callable[[pa.RecordBatch], Rows]]:
