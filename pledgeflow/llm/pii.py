@@ -1,9 +1,10 @@
 """Personal data: patterns propose spans, checksums confirm them, words nearby adjust the score.
 
-Kinds: email, ip, card, phone, and iban. Every confirmed email, address, card
-and international phone number counts (``base``). Two more proposals need a
+Kinds: email, ip, card, phone, iban and secret. Every confirmed email, address, card
+and international phone number counts (``base``). Three more proposals need a
 score: an IBAN passes with a valid mod-97 checksum, a phone number without country
-code only with a word such as "call" or "tel" close to it. Context moves every score.
+code only with a word such as "call" or "tel" close to it, and a secret (a long run of letters and
+digits whose characters are mixed as those of a random text are) only with a word such as "token" or "key". Context moves every score.
 
 Each pattern is written so that a scan is linear in the text, also for long runs
 of digits or of word characters: possessive repeats, and for emails a search for the
@@ -16,7 +17,9 @@ an empty table gives an empty result; columns named like the added ones are repl
 
 from __future__ import annotations
 
+import math
 import re
+from collections import Counter
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -34,7 +37,7 @@ from pyspark.sql.types import (
 
 from pledgeflow.llm.common import Rows, with_columns
 
-KINDS = ("email", "ip", "card", "phone", "iban")
+KINDS = ("email", "ip", "card", "phone", "iban", "secret")
 #: Score from which a proposal that is not a base span counts.
 LEAST_SCORE = 0.5
 #: Characters before and after a span in which context words are sought.
@@ -46,6 +49,7 @@ CONTEXT = {
     "card": (0.8, r"card|visa|credit|payment|expir", r"order|tracking|serial"),
     "phone": (0.8, r"call|tel|phone|mobile|fax|whatsapp", r"isbn|order"),
     "iban": (0.7, r"iban|bank|account|konto|compte|cuenta", r"serial|checksum"),
+    "secret": (0.3, r"token|(?:api|access|private|secret)?[_-]?key|secret|passw|credential|auth|bearer", r"sha|checksum|commit|digest|hash|uuid"),
     "local": (0.3, r"call|tel|phone|mobile|fax|whatsapp", r"isbn|order"),
 }
 
@@ -68,6 +72,10 @@ _IBAN_LENGTHS = {
     }.items()
     for country in countries.split()
 }
+#: Lengths of a secret, and the least entropy of its characters in bits: of hexadecimal digits, of others.
+_SECRET = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20,}+")
+SECRET_MOST, SECRET_BITS = 200, (3.0, 3.5)
+_HEXADECIMAL = re.compile(r"[0-9a-f]+|[0-9A-F]+")
 _LOCAL_PHONE = re.compile(r"(?<![0-9+.(-])\(?[0-9]{3}\)?[ .-][0-9]{3}[ .-][0-9]{4}(?![0-9-])")
 
 _SPAN = StructType(
@@ -151,6 +159,17 @@ def ibans(text: str) -> Iterator[tuple[int, int]]:
 _WORD_CHAR = re.compile(r"[A-Za-z0-9]")
 
 
+def secrets(text: str) -> Iterator[tuple[int, int]]:
+    """Runs with letters and digits whose characters have the entropy of random ones."""
+    for m in _SECRET.finditer(text):
+        value = m[0]
+        if len(value) > SECRET_MOST or not any(map(str.isdigit, value)) or not any(map(str.isalpha, value)):
+            continue
+        shares = [n / len(value) for n in Counter(value).values()]
+        if -sum(p * math.log2(p) for p in shares) >= SECRET_BITS[_HEXADECIMAL.fullmatch(value) is None]:
+            yield m.span()
+
+
 def _scored(text: str, kind: str, span: tuple[int, int]) -> float:
     score, up, down = _CONTEXT[kind]
     near = text[max(0, span[0] - NEAR) : span[0]] + " " + text[span[1] : span[1] + NEAR]
@@ -181,6 +200,8 @@ def find_spans(text: str | None) -> list[tuple[str, int, int, float, bool]]:
             out.sort(key=lambda x: (KINDS.index(x[0]), x[1]))
         scored = ((s, e, _scored(text, "iban", (s, e))) for s, e in ibans(text))
         out += [("iban", s, e, score, False) for s, e, score in scored if score >= LEAST_SCORE]
+        scored = ((s, e, _scored(text, "secret", (s, e))) for s, e in secrets(text))
+        out += [("secret", s, e, score, False) for s, e, score in scored if score >= LEAST_SCORE]
     return out
 
 

@@ -91,3 +91,25 @@ def test_awkward_rows_and_empty_tables(spark):
     assert [r["text"] for r in pii.masked(rows).orderBy("doc_id").collect()] == ["mail <email> or <ip>", None, ""]
     one = pii.find_pii(rows).select(pii.joined(pii.F.col("spans")).alias("s")).orderBy("s").collect()
     assert [r["s"] for r in one] == ["", "", "email:5:13,ip:17:25"]
+
+
+def test_secrets_by_form_entropy_and_context():
+    import random
+
+    r = random.Random(7)
+    hexa = lambda: "".join(r.choices("0123456789abcdef", k=r.choice([32, 40, 64])))
+    mixed = lambda: "x7" + "".join(r.choices("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789", k=r.randint(22, 60)))
+    forms = ['token = "{}"', "api_key: {}", "SECRET={}", "Authorization: Bearer {}", "password '{}' "]
+    found = made = wrong = 0
+    for i in range(200):
+        value = (hexa if i % 2 else mixed)()
+        before = "één text. " * (i % 5)
+        text = before + forms[i % len(forms)].format(value) + " and more words"
+        spans = [s for s in pii.find_spans(text) if s[0] == "secret"]
+        at = text.index(value)
+        made += 1
+        found += [(s, e) for _, s, e, *_ in spans] == [(at, at + len(value))]
+    clean = [f"commit {hexa()}", f"sha256 checksum: {hexa()}", hexa(), "the key is under-the-mat-near-the-door-2", "token " + "a1" * 20,
+             "token " + "z" * 5000, "secret " + "1" * 40, "key " + "ab1/" * 60, f"key {'x1y2z3w4' * 40}"]
+    wrong = sum(any(s[0] == "secret" for s in pii.find_spans(t)) for t in clean)
+    assert found >= 0.95 * made and wrong == 0
