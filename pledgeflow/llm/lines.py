@@ -9,9 +9,12 @@ To judge documents, their line keys go to the shard's filter, which turns away
 nearly all rare lines; what passes is confirmed in the count table, so a false
 positive of a filter never drops a line.
 
-Scale: counts are summed per task before the shuffle. Keys with at least one
+Filters may be kept: ``update_filters`` follows the counts, and ``drop_common_lines`` takes
+both and judges by them; without, both are made from the documents.
+
+Scale: counts are summed per task before the shuffle. Keys with at least ``HOT_LINES`` lines and one
 ``HOT_SHARE``-th of all lines, which are ``HOT_SHARE`` at most, are decided from a
-broadcast list and never shuffled; so no shard can grow by one key. The number of
+broadcast list and never shuffled, as they would fill a shard; all others meet a filter, whatever the size of the table. The number of
 shards follows the number of lines. Documents are told apart by a digest of id and
 text, which decides the result, so equal rows share one answer.
 
@@ -49,8 +52,8 @@ from pledgeflow.llm.common import Rows, arrow_pass, as_batch, encoded, stored, w
 MIN_DOCS, MIN_CHARS = 10, 1
 #: Lines of one shard, about; a shard's lines are held by one task, 50 bytes each.
 SHARD_LINES = 200_000
-#: A key with one of so many parts of all lines is decided from a broadcast list.
-HOT_SHARE = 10_000
+#: A key with so many lines, and one of so many parts of all lines, is decided from a broadcast list.
+HOT_LINES, HOT_SHARE = 10_000, 10_000
 #: Distinct keys a task sums up before it passes them on.
 FLUSH_KEYS = 200_000
 _BLANK = " \t\n\x0b\x0c\r"
@@ -263,23 +266,28 @@ def drop_common_lines(
     min_docs: int = MIN_DOCS,
     min_chars: int = MIN_CHARS,
     shard_lines: int = SHARD_LINES,
+    filters: DataFrame | None = None,
+    shards: int | None = None,
 ) -> DataFrame:
     """``docs`` with the shortened text in place of the old one, and ``n_lines`` and ``n_dropped``.
 
     ``counts`` defaults to those of ``docs`` themselves. They are stored, and summed up, when this is called.
+    ``filters`` are kept ones of these counts, with the number of ``shards`` they were built for; by default they are built.
     """
+    if (filters is None) != (shards is None):
+        raise ValueError("filters and their number of shards go together")
     spark = docs.sparkSession
     if counts is None:
         counts = count_lines(docs, text, min_chars)
     counts = stored(counts, "line-counts")
     total = counts.agg(F.sum("n")).first()[0] or 0
-    shards = max(1, -(-total // shard_lines))
+    shards = shards or max(1, -(-total // shard_lines))
     hot = {
         bytes(r["key"]): r["n"] >= min_docs
-        for r in counts.filter(F.col("n") * HOT_SHARE >= F.greatest(F.lit(total), F.lit(min_docs * HOT_SHARE))).collect()
+        for r in counts.filter(F.col("n") >= max(HOT_LINES, min_docs, -(-total // HOT_SHARE))).collect()
     }
     decided = spark.sparkContext.broadcast(hot)
-    filters = build_filters(counts, shards, min_docs)
+    filters = build_filters(counts, shards, min_docs) if filters is None else filters
     lines = _lines(docs, id, text, min_chars, decided, shards)
     maybe = (
         lines.groupBy("shard").cogroup(filters.groupBy("shard"))

@@ -3,6 +3,7 @@
 from collections import Counter
 
 import numpy as np
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -42,9 +43,40 @@ def test_dropped_lines_are_those_counted(spark):
 
 
 def test_keys_beyond_the_hot_list_go_through_the_filters(spark, monkeypatch):
-    monkeypatch.setattr(lines, "HOT_SHARE", 1)
-    made = lines.drop_common_lines(docs_of(spark, DOCS), min_docs=3, shard_lines=7)
-    assert result(made) == brute(DOCS, 3)
+    for hot in (1, 12, 10_000):
+        monkeypatch.setattr(lines, "HOT_LINES", hot)
+        made = lines.drop_common_lines(docs_of(spark, DOCS), min_docs=3, shard_lines=7)
+        assert result(made) == brute(DOCS, 3)
+
+
+def test_kept_filters_judge_as_rebuilt_ones(spark):
+    shards, first, second = 3, docs_of(spark, DOCS[:9]), docs_of(spark, DOCS[9:])
+    one = lines.count_lines(first)
+    both = lines.insert(one, second)
+    filters = lines.build_filters(one, shards, 3)
+    grown = lines.update_filters(filters, one, both, shards, 3)
+    shrunk = lines.update_filters(grown, both, lines.delete(both, second), shards, 3)
+    judged = lambda counts, kept: result(lines.drop_common_lines(first, counts, min_docs=3, filters=kept, shards=shards))
+    assert judged(both, grown) == result(lines.drop_common_lines(first, both, min_docs=3))
+    assert judged(one, shrunk) == judged(one, filters) == brute(DOCS[:9], 3)
+    # filters decide: what they don't know is not dropped, whatever the counts say
+    assert all(r[2] == 0 for r in judged(both, filters.limit(0)))
+    with pytest.raises(ValueError):
+        lines.drop_common_lines(first, filters=filters)
+
+
+def test_every_common_key_of_a_small_table_meets_a_filter(spark, monkeypatch):
+    """The probe sees all lines; nothing is decided from the broadcast list."""
+    seen = []
+    plain = lines._lines
+
+    def watched(docs, id, text, min_chars, decided, shards):
+        seen.append(dict(decided.value))
+        return plain(docs, id, text, min_chars, decided, shards)
+
+    monkeypatch.setattr(lines, "_lines", watched)
+    assert result(lines.drop_common_lines(docs_of(spark, DOCS), min_docs=10)) == brute(DOCS, 10)
+    assert seen == [{}]
 
 
 def test_deletion_undoes_insertion(spark):
