@@ -470,6 +470,9 @@ _QUERIES = {
                     THEN 'duplicate key in refunds: already stored' END AS reason FROM late l""",
     "refund_status": "SELECT * FROM status",
     "project_totals": "SELECT * FROM totals",
+    "window_totals": """
+        SELECT id, CAST(sum(amount) AS DECIMAL(18,2)) AS amount FROM backs
+        WHERE backing BETWEEN DATE '1996-02-10' AND DATE '1996-08-09' GROUP BY id""",
     "reward_counts": "SELECT id, count(name) AS levels FROM rewards GROUP BY id",
     "successful_projects": _successful(EARLY),
     "successful_projects_rows": f"SELECT * FROM projects WHERE id IN (SELECT id FROM ({_successful(EARLY)}))",

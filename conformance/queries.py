@@ -429,6 +429,15 @@ def project_totals(t):
     return _money(funding.project_totals(t["backs"]), "amount")
 
 
+@query
+def window_totals(t):
+    """Pledged per project in half a year, from pledges laid out by project and month."""
+    folder = working_folder(t.spark, "layout")
+    name = folder.rsplit("/", 1)[-1].replace("-", "_")
+    laid_out = files.save_layout(t["backs"], name, folder, buckets=8, day="backing")
+    return _money(funding.project_totals(files.in_window(laid_out, "backing", "1996-02-10", "1996-08-09")), "amount")
+
+
 @query
 def reward_counts(t):
     return funding.reward_counts(t["rewards"])

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -29,6 +30,36 @@ def write_table(df: DataFrame, root: str, name: str, mode: str = "errorifexists"
     typed.write.mode(mode).partitionBy(*partition_by).parquet(f"{root}/{name}")
 
 
+#: Partition column of a stored layout: the first day of the month of a date.
+MONTH = "month"
+
+
+def save_layout(
+    df: DataFrame, name: str, path: str, by: tuple[str, ...] = ("id",), buckets: int = 64, day: str | None = None,
+    mode: str = "errorifexists",
+) -> DataFrame:
+    """A table laid out for joins and sums on ``by`` without a shuffle, and for scans of a span of ``day`` without the rest.
+
+    Rows are bucketed and sorted by ``by``, and partitioned by the month of ``day`` if one is named. The buckets are known by the catalog's
+    table ``name``, its files lie under ``path``. Rows are first brought together by bucket, so a month has one file per bucket.
+    A bucket is read by one task: take as many as a viral key leaves small.
+    """
+    spark = df.sparkSession
+    if day:
+        df = df.withColumn(MONTH, F.trunc(day, "month"))
+    placed = df.repartition(buckets, *by)
+    writer = placed.write.mode(mode).format("parquet").option("path", path).bucketBy(buckets, *by).sortBy(*by)
+    (writer.partitionBy(MONTH) if day else writer).saveAsTable(name)
+    return spark.table(name)
+
+
+def in_window(laid_out: DataFrame, day: str, first: date | str, last: date | str) -> DataFrame:
+    """Rows of ``day`` from ``first`` to ``last``; only the months of the window are scanned."""
+    start, end = F.lit(first).cast("date"), F.lit(last).cast("date")
+    months = (F.col(MONTH) >= F.trunc(start, "month")) & (F.col(MONTH) <= end)
+    return laid_out.filter(months & F.col(day).between(start, end)).drop(MONTH)
+
+
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
     """``(file, line_number, value)``: the lines of text files, numbered from 1 within each.
 

@@ -7,8 +7,9 @@ import pytest
 from pledgeflow.operators import audit, joins, refunds, rules
 from pledgeflow.plans import backers, funding, rankings
 from pledgeflow.schema import TABLES
+from pledgeflow.sources import files
 from pledgeflow.sources.files import read_tables, write_table
-from tests.data import PLEDGES, five_projects, table
+from tests.data import PLEDGES, bag, five_projects, table
 
 
 def plan(df):
@@ -135,3 +136,24 @@ def test_skewed_lookup_is_split_by_adaptive_execution(spark, stored):
     finally:
         for key in settings:
             spark.conf.unset(key)
+
+
+def test_a_stored_layout_needs_no_shuffle_of_pledges_and_prunes_months(spark, tmp_path):
+    days = [f"2021-{m:02}-{d:02}" for m in range(1, 13) for d in (1, 15, 28)]
+    backs = table(spark, "backs", [(f"e{n}", "gold", n % 9, day, None, n + 1) for n, day in enumerate(days * 5)])
+    name = f"layout_{tmp_path.name}"
+    laid_out = files.save_layout(backs, name, str(tmp_path / "backs"), buckets=4, day="backing")
+    try:
+        projects = table(spark, "projects", [(n, "c", "t", "2021-01-01", "p", "2021-12-31", 5) for n in range(9)])
+        joined = projects.join(funding.project_totals(laid_out), "id")
+        text = plan(joined)
+        pledge_side = text[text.index("sum(amount"):]
+        assert "Exchange" not in pledge_side and "Bucketed: true" in text
+        assert bag(joined.select("id", "amount")) == bag(funding.project_totals(backs))
+        window = files.in_window(laid_out, "backing", "2021-03-15", "2021-05-15")
+        assert "PartitionFilters: [isnotnull(month" in plan(window)
+        got = window.collect()
+        assert {str(r["backing"]) for r in got} == {d for d in days if "2021-03-15" <= d <= "2021-05-15"} and len(got) == 35
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+
