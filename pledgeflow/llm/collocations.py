@@ -68,11 +68,16 @@ class _Register:
 
     def __init__(self):
         self.known: dict[int | bytes, int] = {}
+        self.count = 0
         self.sizes: list[np.ndarray] = []
         self.arcs: list[np.ndarray] = []
 
-    def states(self, starts: np.ndarray, arcs: np.ndarray) -> np.ndarray:
-        """The state of each group of arcs (label, weight, target) that begins at one of ``starts``."""
+    def states(self, starts: np.ndarray, arcs: np.ndarray, last: bool) -> np.ndarray:
+        """The state of each group of arcs (label, weight, target) that begins at one of ``starts``.
+
+        States of one arc are told apart by numbers, all together; those of several by their bytes. After the ``last``
+        groups nothing needs to be known any more.
+        """
         if not len(starts):
             return np.empty(0, np.int64)
         ends = np.append(starts[1:], len(arcs))
@@ -83,23 +88,41 @@ class _Register:
         if len(one):
             keys = label[one] << 42 | weight[one] << 22 | (target[one] + 1)
             keys, first, of = np.unique(keys, return_index=True, return_inverse=True)
-            out[one] = np.array([self._number(key, arcs[s : s + 1]) for key, s in zip(keys.tolist(), starts[one[first]].tolist())])[of]
+            numbers = np.full(len(keys), -1, np.int64)
+            if self.known:
+                numbers[:] = [self.known.get(k, -1) for k in keys.tolist()]
+            new = np.flatnonzero(numbers < 0)
+            numbers[new] = np.arange(self.count, self.count + len(new))
+            self._keep(arcs[starts[one[first[new]]]], np.ones(len(new), np.int64))
+            if not last:
+                self.known.update(zip(keys[new].tolist(), numbers[new].tolist()))
+            out[one] = numbers[of]
         other = np.flatnonzero(~single)
-        for group, a, b in zip(other.tolist(), starts[other].tolist(), ends[other].tolist()):
-            own = arcs[a:b]
-            out[group] = self._number(own.tobytes(), own)
+        if len(other):
+            raw, row, kept = arcs.tobytes(), arcs[:1].nbytes, []
+            numbers, number = [], self.count
+            for a, b in zip(starts[other].tolist(), ends[other].tolist()):
+                numbers.append(self.known.setdefault(raw[a * row : b * row], number))
+                if numbers[-1] == number:
+                    kept.append((a, b))
+                    number += 1
+            out[other] = numbers
+            if kept:
+                first, end = np.array(kept).T
+                sizes = end - first
+                at = np.repeat(first - (np.cumsum(sizes) - sizes), sizes) + np.arange(sizes.sum())
+                self._keep(arcs[at], sizes)
         return out
 
-    def _number(self, key: int | bytes, own: np.ndarray) -> int:
-        number = self.known.setdefault(key, len(self.known))
-        if number == len(self.sizes):
-            self.sizes.append(len(own))
-            self.arcs.append(own)
-        return number
+    def _keep(self, arcs: np.ndarray, sizes: np.ndarray) -> None:
+        self.arcs.append(arcs)
+        self.sizes.append(sizes)
+        self.count += len(sizes)
 
     def level(self) -> Level:
         arcs = np.concatenate(self.arcs) if self.arcs else np.empty((0, 3), np.int64)
-        return Level(np.concatenate([[0], np.cumsum(self.sizes, dtype=np.int64)]), *arcs.T)
+        sizes = np.concatenate(self.sizes) if self.sizes else np.empty(0, np.int64)
+        return Level(np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)]), *arcs.T)
 
 
 class Builder:
@@ -112,7 +135,7 @@ class Builder:
     def __init__(self, words: list[bytes]):
         self.words, self.levels, self.roots = words, [_Register(), _Register()], []
 
-    def add(self, grams: Grams) -> None:
+    def add(self, grams: Grams, last: bool = False) -> None:
         """The n-grams of first words that come behind those added already; a key packs up to three words' numbers from 1 on."""
         keys = [k for k, _ in grams]
         nodes = [None, np.union1d(keys[1], keys[2] >> BITS), keys[2]]
@@ -127,7 +150,7 @@ class Builder:
                 return
             above = nodes[level] >> BITS
             starts = np.flatnonzero(np.r_[True, above[1:] != above[:-1]]) if len(above) else np.empty(0, np.int64)
-            states = self.levels[level - 1].states(starts, arcs)
+            states = self.levels[level - 1].states(starts, arcs, last)
             below = np.full(len(nodes[level - 1]), -1, np.int64)
             below[np.searchsorted(nodes[level - 1], above[starts])] = states
 
@@ -154,7 +177,7 @@ class Automaton:
             # the run ends where the longest phrases have RUN more entries
             begin = np.searchsorted(firsts[2], at)
             end = int(firsts[2][begin + cls.RUN]) + 1 if begin + cls.RUN < len(firsts[2]) else len(words) + 1
-            built.add([tuple(x[slice(*np.searchsorted(f, (at, end)))] for x in g) for f, g in zip(firsts, grams)])
+            built.add([tuple(x[slice(*np.searchsorted(f, (at, end)))] for x in g) for f, g in zip(firsts, grams)], end > len(words))
             at = end
         return built.finish()
 
