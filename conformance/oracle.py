@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from conformance import broken
 from conformance.queries import EARLY, LATE, PTYPE, TOP_N
 
 # The model's tables over the driver's tables.
@@ -233,6 +234,31 @@ _ROWS_GONE = {
 }
 
 
+def _broken_rows() -> str:
+    parts = []
+    for table, columns in _REQUIRED.items():
+        new = ", ".join(f"{e} AS {c}" for c, e in broken.replaced(table, columns.split()).items())
+        source = f"(SELECT * REPLACE ({new}) FROM {table}) AS t"
+        parts += [_violation(table, "not_null", f"'{c}'", f"FROM {source} WHERE {c} IS NULL") for c in columns.split()]
+        parts += [
+            _violation(table, "check", f"'{rule}'", f"FROM {source} WHERE NOT coalesce({rule}, TRUE)")
+            for of, rule in _CHECKS
+            if of == table
+        ]
+    return "\nUNION ALL\n".join(parts)
+
+
+def _broken_keys() -> str:
+    parts = []
+    for table, key in _KEYS.items():
+        columns = ", ".join(key.split())
+        known = " AND ".join(f"{c} IS NOT NULL" for c in key.split())
+        again = f"SELECT * FROM {table} WHERE {broken.NUMBER[table]} % {broken.TWICE} = 0"
+        body = f"FROM (SELECT * FROM {table} UNION ALL {again}) AS t WHERE {known} GROUP BY {columns} HAVING count(*) > 1"
+        parts.append(_violation(table, "unique", "count(*) || ' rows'", body))
+    return "\nUNION ALL\n".join(parts)
+
+
 def _foreign_keys(composite: bool | None, gone: dict[str, str] | None = None) -> str:
     parts = []
     left = lambda t: f"(SELECT * FROM {t} WHERE NOT ({gone[t]}))" if gone and t in gone else t
@@ -390,6 +416,8 @@ _QUERIES = {
         FROM offered_backs o WHERE EXISTS (SELECT 1 FROM backs b WHERE b.email = o.email AND b.id = o.id)""",
     "audit_fk": _foreign_keys(composite=False),
     "audit_fk_composite": _foreign_keys(composite=True),
+    "audit_broken_rows": _broken_rows(),
+    "audit_broken_keys": _broken_keys(),
     "audit_fk_changes": _foreign_keys(composite=None, gone=_ROWS_GONE),
     "audit_unique_digest": _unique(),
     "cast_quarantine": """

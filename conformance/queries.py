@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from conformance import broken
 from pledgeflow.operators import audit, cascade, ingest, maintenance, reference_state, refunds, rules, verdicts, write_back
 from pledgeflow.operators.joins import hot_keys
 from pledgeflow.plans import backers, funding, maintained, rankings, sql_functions
@@ -132,6 +133,23 @@ def audit_check(t):
     return audit.audit_all_rows(t, ["check"])
 
 
+@query
+def audit_broken_rows(t):
+    """All NOT NULL and CHECK rules, each broken in some rows of its table."""
+    tables = {}
+    for name, spec in TABLES.items():
+        new = broken.replaced(name, list(spec.required))
+        tables[name] = t[name].select(*[F.expr(new[c]).alias(c) if c in new else c for c in t[name].columns])
+    return audit.audit_all_rows(tables)
+
+
+@query
+def audit_broken_keys(t):
+    """Every table with some rows twice."""
+    some = {n: t[n].filter(f"{broken.NUMBER[n]} % {broken.TWICE} = 0") for n in TABLES}
+    return audit.audit_all_keys({n: t[n].unionByName(some[n]) for n in TABLES})
+
+
 @query
 def audit_domain(t):
     status = refunds.refund_status(t["backs"], t["refunds"])
