@@ -63,3 +63,67 @@ def test_awkward_rows_and_empty_tables(spark, model):
     scored = toxicity.score(docs, model)
     assert scored.count() == docs.count() and dict(scored.dtypes)["score"] == "double"
     assert scored.filter("spans <> 'own'").count() == 0 and toxicity.score(empty(spark), model).count() == 0
+
+
+def test_scores_are_those_of_averaged_embeddings_and_a_softmax(monkeypatch):
+    """Both layers as trained, without calibration: embeddings of all n-grams averaged one by one, then the softmax."""
+    import math
+
+    import numpy as np
+
+    rows = made(80, 5)
+    kept, plain = {}, np.random.default_rng
+
+    class Recorder:
+        """The generator that trains, remembering the embedding table it gave out."""
+
+        def __init__(self, seed):
+            self.made = plain(seed)
+
+        def uniform(self, *args):
+            drawn = self.made.uniform(*args)
+
+            class Table(np.ndarray):
+                def astype(self, kind):
+                    kept["table"] = np.asarray(self).astype(kind)
+                    return kept["table"]
+
+            return drawn.view(Table)
+
+        def permutation(self, n):
+            return self.made.permutation(n)
+
+    monkeypatch.setattr(toxicity, "CALIBRATION", 10**9)
+    monkeypatch.setattr(toxicity.np.random, "default_rng", Recorder)
+    monkeypatch.setattr(toxicity, "LEAST_STEPS", 20)
+    model = toxicity.fit([t for _, t, _ in rows], [y for *_, y in rows], 0.25)
+    monkeypatch.undo()
+    table = kept["table"]
+    # the second layer up to a shift that the softmax does not see: row_odds = table @ (w1 - w0)
+    w, *_ = np.linalg.lstsq(table.astype(float), model.row_odds.astype(float), rcond=None)
+    assert np.abs(table @ w - model.row_odds).max() < 1e-3
+    scorer = toxicity.Scorer(model)
+    for text in [None, "", *(t for _, t, _ in made(15, 6))]:
+        total, n = np.zeros(toxicity.WIDTH), 0
+        for row in [0] * toxicity.PADDING + [r for word in toxicity.words(text) for r in toxicity.word_rows(word)]:
+            total += table[row]
+            n += 1
+        logits = np.array([0.0, model.bias + (total / n) @ w])
+        shares = np.exp(logits - logits.max()) / np.exp(logits - logits.max()).sum()
+        assert math.isclose(scorer(text), shares[1], rel_tol=1e-3)
+
+
+def test_a_repeated_labelled_row_counts_once(spark):
+    """A third of the table is one labelled row; the sample has it once, and the other texts too."""
+    rows = made(60, 8)
+    docs = docs_of(spark, [(i, t) for i, t, _ in rows] + [(0, rows[0][1])] * 60)
+    labels = spark.createDataFrame([(i, y) for i, _, y in rows], "doc_id long, label int")
+    seen = []
+    plain = toxicity.fit
+    toxicity.fit = lambda texts, values, prior: seen.append((list(texts), list(values))) or plain(texts, values, prior)
+    try:
+        toxicity.train(docs, labels)
+    finally:
+        toxicity.fit = plain
+    assert sorted(zip(*seen[0])) == sorted((t, y) for _, t, y in rows)
+
