@@ -43,6 +43,13 @@ def query(job: Callable[[DriverTables], DataFrame]) -> Callable[[DriverTables],
     return job
 
 
+def _pledges_held(t):
+    """``t`` with its pledges stored: a job that reads them several times derives them once."""
+    if isinstance(t, DriverTables):
+        t.hold("backs")
+    return t
+
+
 def _money(df: DataFrame, *columns: str) -> DataFrame:
     return df.withColumns({c: F.col(c).cast("decimal(18,2)") for c in columns})
 
@@ -699,6 +706,7 @@ def stream_pledges_returning(t):
 
 @query
 def stream_refunds(t):
+    t = _pledges_held(t)
     return _replayed(
         t, "refunds",
         lambda s, sink: guards.guard_refunds(

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from pledgeflow.functions.expressions import money_array, text_array
 from pledgeflow.operators.joins import hot_keys
+from pledgeflow.session import working_folder
 
 # Column types of the driver's files.
 SOURCE_SCHEMAS = {
@@ -49,6 +50,16 @@ class DriverTables(dict):
         self[name] = view
         return view
 
+    def hold(self, name: str) -> DataFrame:
+        """The view, stored in the shared folder: jobs that read it several times derive it once.
+
+        Ask for it before the views that are derived from it, so that these read the stored rows too.
+        """
+        view, folder = self[name], working_folder(self.spark, f"held-{name}")
+        view.write.parquet(folder)
+        self[name] = self.spark.read.schema(view.schema).parquet(folder)
+        return self[name]
+
     def source(self, name: str) -> DataFrame:
         return self.spark.read.schema(SOURCE_SCHEMAS[name]).parquet(f"{self.folder}/{name}.parquet")
 

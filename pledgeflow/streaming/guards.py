@@ -168,19 +168,28 @@ def guard_project_loads(stream: DataFrame, sink: str, tables: Mapping[str, Store
 
 
 def replay(
-    rows: DataFrame | Sequence[DataFrame], name: str, start: Callable[[DataFrame, str], StreamingQuery], files_per_batch: int = 4
+    rows: DataFrame | Sequence[DataFrame],
+    name: str,
+    start: Callable[[DataFrame, str], StreamingQuery],
+    files_per_batch: int = 4,
+    most_batches: int = 3,
 ) -> DataFrame:
     """Store ``rows`` in the shared folder, stream them through a guard, return all verdicts.
 
     This runs the stream to its end. It serves backfills and checks: the
     verdicts are those of the batch job wherever rows do not compete for a key. Several
     DataFrames are streamed in turn: the rows of one come in later micro-batches than those before it.
+
+    A micro-batch takes ``files_per_batch`` files, or as many more as keep a DataFrame within ``most_batches``: each micro-batch
+    reads the stored tables, so with a fixed number of files the work would grow with the square of the rows.
     """
     parts = [rows] if isinstance(rows, DataFrame) else list(rows)
     schema, spark = parts[0].schema, parts[0].sparkSession
-    folder = working_folder(spark, f"replay-{name}")
+    folder, before = working_folder(spark, f"replay-{name}"), 0
     for part in parts:
         part.write.mode("append").parquet(f"{folder}/in")
-        stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(f"{folder}/in")
+        files = len(spark.read.schema(schema).parquet(f"{folder}/in").inputFiles())
+        taken, before = max(files_per_batch, -(-(files - before) // most_batches)), files
+        stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", taken).parquet(f"{folder}/in")
         start(stream, f"{folder}/out").awaitTermination()
     return read_verdicts(spark, f"{folder}/out", schema).drop("batch_id", "verdict")

@@ -91,3 +91,17 @@ def test_replay_equals_batch(spark, world):
     args = (world["projects"], world["rewards"], world["backers"])
     got = guards.replay(world["backs"], "test", lambda s, out: guards.guard_pledges(s, out, *args), files_per_batch=1)
     assert bag(got) == bag(rules.judge_pledges(world["backs"], *args))
+
+
+def test_replay_of_many_files_takes_few_batches(spark, world, tmp_path):
+    args = (world["projects"], world["rewards"], world["backers"])
+    sinks = []
+
+    def start(stream, out):
+        sinks.append(out)
+        return guards.guard_pledges(stream, out, *args)
+
+    many = spark.createDataFrame(world["backs"].collect() * 4, world["backs"].schema).repartition(20)
+    guards.replay([many, many], "many", start)
+    batches = {r[0] for r in guards.read_verdicts(spark, sinks[0], many.schema).select("batch_id").collect()}
+    assert batches == set(range(6))
