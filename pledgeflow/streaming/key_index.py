@@ -4,8 +4,8 @@ A sink grows by one folder per micro-batch. The index folds ``fan`` of them into
 larger one and so on; which runs stand for the batches before batch N follows from the digits of N to the base ``fan``. So
 there are at most ``fan - 1`` runs of each size and ``fan - 1`` folders not folded yet, whatever N is, and a key is
 rewritten once per size. A run holds one row per key, the one of the latest batch, in buckets of the
-hash of the key; there are so many that a bucket holds ``bucket_rows`` rows or less, on average. A micro-batch opens only the
-buckets its own keys fall in.
+hash of the key; there are so many that a bucket holds ``bucket_rows`` rows or less, on average, or ``MOST_BUCKETS``. A micro-batch
+opens only the buckets its own keys fall in.
 
 Every run has a manifest, which is written when its files are complete and names the buckets that exist. A run is a
 function of the sink alone, and the one that ends at batch N is written anew whenever batch N starts, so a micro-batch that
@@ -27,6 +27,8 @@ from pyspark.sql import types as T
 FAN, BUCKET_ROWS = 16, 1_000_000
 #: A batch whose keys fall in more buckets than this opens all of them.
 PRUNED_BUCKETS = 4_096
+#: A run has so many buckets at most: each is a folder, which a lookup lists and a larger run writes anew.
+MOST_BUCKETS = 256
 
 _MANIFEST = T.StructType(
     [T.StructField("rows", T.LongType()), T.StructField("buckets", T.LongType()), T.StructField("present", T.ArrayType(T.LongType()))]
@@ -124,7 +126,7 @@ class KeyIndex:
         )
         most = rows.count()  # not fewer than there are keys
         buckets = 1
-        while buckets * self.bucket_rows < most:
+        while buckets < MOST_BUCKETS and buckets * self.bucket_rows < most:
             buckets *= 2
         placed = latest.withColumn("bucket", self._hash(buckets))
         placed.repartition("bucket").write.mode("overwrite").partitionBy("bucket").parquet(self._run_path(run))

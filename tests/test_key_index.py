@@ -8,7 +8,7 @@ import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import types as T
 
-from pledgeflow.streaming import guards
+from pledgeflow.streaming import guards, key_index
 from pledgeflow.streaming.key_index import KeyIndex, runs_before
 from tests.data import PLEDGES, bag, five_projects, table
 
@@ -120,3 +120,14 @@ def test_returning_keys_through_a_guard(spark):
     want = bag(once)
     stored = [(*r[:-1], r[-1] or "duplicate key in backs: already stored") for r in want]
     assert bag(got) == sorted(want + stored * 4, key=repr)
+
+
+def test_buckets_of_a_run_are_bounded(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(key_index, "MOST_BUCKETS", 4)
+    sink = str(tmp_path / "sink")
+    for n in range(2):
+        store(sink, n, [(f"e{k}", k, None) for k in range(50 * n, 50 * n + 50)])
+    index = KeyIndex(spark, sink, COLUMNS, ["email", "id"], fan=2, bucket_rows=1)
+    batch = spark.createDataFrame([("e7", 7, None)], COLUMNS)
+    assert bag(index.before(batch, 2).filter("id = 7")) == [("e7", 7, 0)]
+    assert len([f for f in os.listdir(f"{sink}-keys/runs/0-2") if f.startswith("bucket=")]) == 4
