@@ -543,7 +543,7 @@ def funding_curve(t):
 def _maintained(t) -> DataFrame:
     """Funding after pledges have come in two batches, those of some backers have gone and some amounts have changed."""
     store = Store(t.spark, working_folder(t.spark, "funding-state"))
-    backs = t["backs"]
+    backs = _pledges_held(t)["backs"]
     maintained.create(store, backs.filter("id % 3 <> 0"), buckets=8)
     maintained.update(store, added=backs.filter("id % 3 = 0"), tag="1")
     maintained.update(store, added=backs.filter("id % 3 = 0"), tag="1")

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pledgeflow.session import working_folder
 from pledgeflow.sources.versions import Change, Store
 
-NAME, BUCKETS = "daily", 64
+NAME, BUCKETS, BUCKET_ROWS = "daily", 64, 250_000
 _KEY = ["id", "backing"]
 
 
@@ -25,10 +25,20 @@ def _signed(pledges: DataFrame, sign: int) -> DataFrame:
     return pledges.groupBy(*_KEY).agg((F.lit(sign) * F.sum("amount")).alias("amount"), (F.lit(sign) * F.count(F.lit(1))).alias("pledges"))
 
 
-def create(store: Store, backs: DataFrame, name: str = NAME, buckets: int = BUCKETS) -> None:
-    """The state of all pledges there are; no project has more rows in its bucket than days."""
-    state = _signed(backs, 1).withColumn("amount", F.col("amount").cast("decimal(38,4)"))
-    store.create({name: state}, {name: (["id"], buckets)})
+def _held(df: DataFrame, name: str) -> DataFrame:
+    folder = working_folder(df.sparkSession, name)
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
+
+
+def create(store: Store, backs: DataFrame, name: str = NAME, buckets: int = BUCKETS, bucket_rows: int = BUCKET_ROWS) -> None:
+    """The state of all pledges there are; no project has more rows in its bucket than days.
+
+    There are ``buckets`` of them, or as many more as keep them at ``bucket_rows`` rows on average: a task writes whole buckets.
+    The state is stored to be counted.
+    """
+    state = _held(_signed(backs, 1).withColumn("amount", F.col("amount").cast("decimal(38,4)")), "funding-state")
+    store.create({name: state}, {name: (["id"], max(buckets, -(-state.count() // bucket_rows)))})
 
 
 def update(
@@ -40,10 +50,7 @@ def update(
         return {}
     changed = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
     delta = changed.groupBy(*_KEY).agg(F.sum("amount").cast("decimal(38,4)").alias("amount"), F.sum("pledges").alias("pledges"))
-    spark = delta.sparkSession
-    folder = working_folder(spark, "funding-changes")
-    delta.write.parquet(folder)
-    held = spark.read.schema(delta.schema).parquet(folder)
+    held = _held(delta, "funding-changes")
 
     def rewrite(rows: DataFrame) -> DataFrame:
         sums = rows.unionByName(held).groupBy(*_KEY).agg(

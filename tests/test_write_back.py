@@ -121,3 +121,12 @@ def test_an_update_reads_the_state_and_the_batch_alone(spark, store):
     lost = maintained.update(store, added=table(spark, "backs", [("x", "gold", 3, "2021-10-09", None, 5), ("x", "gold", 900, "2021-10-09", None, 5)]))
     assert 0 < len(lost["daily"]) <= 2 < len(before)
     assert bag(maintained.daily(store).filter("id >= 900")) == bag(table(spark, "backs", [("x", "gold", 900, "2021-10-09", None, 5)]), "id", "backing", "amount")
+
+
+def test_buckets_grow_with_the_state(spark, store):
+    pledges = many_pledges(spark)
+    # one row of the state for each of seven projects
+    maintained.create(store, pledges, buckets=2, bucket_rows=1)
+    assert store._manifest(store.version())[0][maintained.NAME].buckets == 7
+    maintained.update(store, added=pledges)
+    assert bag(funding.project_totals(maintained.daily(store))) == bag(funding.project_totals(pledges.unionByName(pledges)))
