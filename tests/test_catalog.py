@@ -1,5 +1,6 @@
 import pytest
 
+from conformance.queries import JOBS
 from pledgeflow.schema import TABLES, references_to
 from pledgeflow.sources.adapters import DriverTables
 
@@ -44,3 +45,16 @@ def test_derived_tables_have_the_declared_columns(spark):
     tables = DriverTables(spark, f"{SF}/sf0.001")
     for name, spec in TABLES.items():
         assert tables[name].columns == spec.schema.names
+
+
+@pytest.mark.parametrize("job", [
+    "audit_unique", "audit_unique_digest", "ingest_pledges_again", "ingest_policy", "write_back_deletes", "stream_refunds",
+])
+def test_jobs_that_read_pledges_often_derive_them_once(spark, job, monkeypatch):
+    tables = DriverTables(spark, f"{SF}/sf0.001")
+    read = []
+    source = tables.source
+    monkeypatch.setattr(tables, "source", lambda name: read.append(name) or source(name))
+    JOBS[job](tables)
+    assert read.count("lineitem") == 1
+    assert all("lineitem" not in f for n in ("backs", "offered_backs", "refunds") for f in tables[n].inputFiles())
