@@ -46,8 +46,8 @@ _SIGNS = re.compile(
 _LETTERS = re.compile("[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f]+")
 #: Ids of a document that leave a task in one batch, about.
 BATCH_IDS = 4_000_000
-#: Texts that are Python objects at a time.
-BATCH_TEXTS = 500
+#: Texts that are Python objects at a time; pieces whose new ones are learned in one call.
+BATCH_TEXTS, LEARN_PIECES = 500, 50_000
 
 
 class PieceIds:
@@ -83,18 +83,31 @@ class PieceIds:
         self.keep, self.known, self.older = keep, {}, {}
 
     def __call__(self, text: str | None) -> bytes:
-        raw = encoded(text)
-        low = raw.translate(LOWER)
-        pieces = raw.split() if any(s in low for s in self.special) else _SIGNS.sub(rb" \g<0>", low).split()
-        known, older = self.known, self.older
-        if new := set(pieces).difference(known):
+        return self.each([text])[0]
+
+    def each(self, texts: list[str | None]) -> list[bytes]:
+        """The ids of each text; new pieces of several texts are learned together."""
+        out, held, size = [], [], 0
+        for text in texts:
+            raw = encoded(text)
+            low = raw.translate(LOWER)
+            held.append(raw.split() if any(s in low for s in self.special) else _SIGNS.sub(rb" \g<0>", low).split())
+            size += len(held[-1])
+            if size >= LEARN_PIECES:
+                out += self._ids(held)
+                held, size = [], 0
+        return out + self._ids(held)
+
+    def _ids(self, texts: list[list[bytes]]) -> list[bytes]:
+        known, older, met = self.known, self.older, set().union(*texts)
+        if new := met.difference(known):
             if len(known) + len(new) > self.keep:
                 known, older = self.known, self.older = {}, known
-                new = set(pieces)
-            met = [p for p in new if p in older]
-            known.update(zip(met, map(older.__getitem__, met)))
-            self._learn({p: p.decode("utf-8", "replace") for p in new.difference(met)})
-        return b"".join(map(known.__getitem__, pieces))
+                new = met
+            back = [p for p in new if p in older]
+            known.update(zip(back, map(older.__getitem__, back)))
+            self._learn({p: p.decode("utf-8", "replace") for p in new.difference(back)})
+        return [b"".join(map(known.__getitem__, pieces)) for pieces in texts]
 
     def _learn(self, new: dict[bytes, str]) -> None:
         plain = [p for p, text in new.items() if _LETTERS.fullmatch(text)]
@@ -136,8 +149,8 @@ def tokenized(docs: DataFrame, path: str, id: str = "doc_id", text: str = "text"
         part, done, target = TaskContext.get().partitionId(), 0, to_arrow_schema(schema)
         for batch in parts(batches, BATCH_TEXTS):
             ids, first, lengths = [], [], []
-            for value in batch.column(text).to_pylist():
-                ids.append(ids_of(value) + end)
+            for made in ids_of.each(batch.column(text).to_pylist()):
+                ids.append(made + end)
                 first.append(done)
                 lengths.append(len(ids[-1]) // ids_of.type.itemsize)
                 done += lengths[-1]

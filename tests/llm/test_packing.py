@@ -66,3 +66,13 @@ def test_padding_and_empty_tables(spark):
     assert packing.pack(empty(spark), PATH).count() == 0
     one = packing.pack(docs_of(spark, [(1, None)]), PATH).first()
     assert (one["length"], one["sequence_length"], one["ids"]) == (1, 1, bytes([2, 0, 0, 0]))
+
+
+def test_texts_learn_their_new_pieces_together(monkeypatch):
+    ids_of, calls = packing.PieceIds(PATH), []
+    learn = ids_of._learn
+    monkeypatch.setattr(ids_of, "_learn", lambda new: calls.append(len(new)) or learn(new))
+    found = ["one two", None, "", "two three!", "Three \u00e9t\u00e9 2024"]
+    made = ids_of.each(found)
+    assert len(calls) == 1
+    assert made == [packing.PieceIds(PATH)(t) for t in found]
