@@ -34,12 +34,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import LongType, StructField, StructType
 
-from pledgeflow.llm.common import Rows, as_batch, stored, with_columns, words
+from pledgeflow.llm.common import Rows, arrow_pass, as_batch, stored, with_columns, words
 
 SHINGLE, RADIUS, BITS, SEED = 3, 3, 64, 42
 TREE_ROWS = 50_000
-#: Shingles whose bits are counted at a time.
-CHUNK = 50_000
+#: Shingles whose bits are counted at a time; texts that are Python objects at a time.
+CHUNK, TEXTS = 50_000, 500
 _FINGERPRINT = StructType([StructField("fingerprint", LongType())])
 _LINKS = StructType([StructField("a", LongType()), StructField("b", LongType())])
 
@@ -61,15 +61,25 @@ def with_fingerprint(docs: DataFrame, text: str = "text") -> DataFrame:
     """``docs`` with ``fingerprint``, the 64 bits as a signed long."""
 
     def start() -> Callable[[pa.RecordBatch], Rows]:
-        def convert(batch: pa.RecordBatch) -> Rows:
-            made = np.array([fingerprint(t) for t in batch.column(text).to_pylist()], np.uint64)
-            return {"fingerprint": pa.array(made.view(np.int64))}
-
-        return convert
+        return lambda batch: {"fingerprint": _fingerprints(batch.column(text))}
 
     return with_columns(docs, _FINGERPRINT, start)
 
 
+def _fingerprints(texts: pa.Array) -> pa.Array:
+    made = [fingerprint(t) for a in range(0, len(texts), TEXTS) for t in texts.slice(a, TEXTS).to_pylist()]
+    return pa.array(np.array(made, np.uint64).view(np.int64))
+
+
+def _marked(rows: DataFrame, column: str, texts: Callable[[pa.RecordBatch], pa.Array]) -> DataFrame:
+    """``column`` of the rows and the fingerprint of their texts; nothing else comes back from Python."""
+
+    def start() -> Callable[[pa.RecordBatch], Rows]:
+        return lambda batch: {column: batch.column(column), "fingerprint": _fingerprints(texts(batch))}
+
+    return arrow_pass(rows, StructType([rows.schema[column], *_FINGERPRINT.fields]), start)
+
+
 class BKTree:
     """Fingerprints by distance to their parent, and the components that links within ``radius`` make."""
 
@@ -212,7 +222,8 @@ def groups(docs: DataFrame, id: str = "doc_id", text: str = "text", radius: int
 
     Fingerprints and links are computed and stored when called.
     """
-    marks = with_fingerprint(docs.select(F.col(id).alias("__id"), F.col(text).alias("text"))).select("__id", "fingerprint")
+    named_texts = docs.select(F.col(id).alias("__id"), F.col(text).alias("__text"))
+    marks = _marked(named_texts, "__id", lambda batch: batch.column("__text"))
     distinct = stored(
         marks.groupBy("fingerprint").agg(F.min("__id").alias("__id"), F.count(F.lit(1)).alias("n_rows")), "fingerprints"
     )
@@ -237,7 +248,9 @@ def one_of_each(docs: DataFrame, id: str = "doc_id", text: str = "text", radius:
     Rows that share this id and the component tie; which of them stays is not promised.
     """
     of = groups(docs, id, text, radius).select("fingerprint", "component_id", "root")
-    held = docs.select(F.struct(*docs.columns).alias("__row"), F.col(id).alias("__id"), F.col(text).alias("__text"))
-    marked = with_fingerprint(held, "__text").select("__row", "__id", "fingerprint").join(of, "fingerprint")
-    first = marked.filter(F.col("__id").eqNullSafe(F.col("component_id")))
+    # the row goes through Python as it is, its text not a second time beside it
+    place = [c.lower() for c in docs.columns].index(text.lower())
+    held = docs.select(F.struct(*docs.columns).alias("__row"))
+    marked = _marked(held, "__row", lambda batch: batch.column("__row").field(place)).join(of, "fingerprint")
+    first = marked.filter(F.col("__row").getField(id).eqNullSafe(F.col("component_id")))
     return first.dropDuplicates(["root"]).select("__row.*")

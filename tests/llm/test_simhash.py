@@ -92,3 +92,11 @@ def test_one_of_each_group_stays(spark):
     nameless = docs_of(spark, [(None, prose(1, 30)), (None, prose(2, 30)), (None, prose(2, 30))])
     assert simhash.one_of_each(nameless).count() == 2
     assert simhash.one_of_each(empty(spark)).count() == 0 and simhash.near_duplicates(empty(spark)).count() == 0
+
+
+def test_one_of_each_sends_a_text_to_python_once(spark, monkeypatch):
+    sent, marked = [], simhash._marked
+    monkeypatch.setattr(simhash, "_marked", lambda rows, *rest: sent.append(rows.columns) or marked(rows, *rest))
+    docs = spark.createDataFrame([(1, "a b c d", "x"), (2, "a b c d", "y"), (3, None, "z")], "doc_id long, text string, more string")
+    assert sorted(simhash.one_of_each(docs).collect()) == [(1, "a b c d", "x"), (3, None, "z")]
+    assert sent == [["__id", "__text"], ["__row"]]
