@@ -35,7 +35,7 @@ from pledgeflow.llm.common import as_batch, encoded, parts, schema_of, stored
 
 MIN_COUNT, SHARE, TOP, UNKNOWN, SLICES = 10, 50, 2_000, "und", 16
 #: Words of a shard, entries of a range of phrases, every so many entries one is a sample.
-SHARD_WORDS, RANGE_ENTRIES, SAMPLE = 4_000_000, 1 << 20, 1 << 13
+SHARD_WORDS, RANGE_ENTRIES, SAMPLE = 2_000_000, 1 << 20, 1 << 13
 #: Bits of a word's number: three of them make one sort key.
 BITS = 21
 _MASK = (1 << BITS) - 1
