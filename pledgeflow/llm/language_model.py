@@ -8,9 +8,10 @@ one before make a hidden layer, and that the logits of the next id. Logits start
 id pairs within the words of all training texts. The softmax has two steps, a group of ids and an id of the group, so it is
 normalised over the vocabulary and costs about twice the root of its size.
 
-What is gathered from the corpus covers every training text: counts of its words, summed
-per task and then by a shuffle, and from them of pairs of ids. Only the weights are fitted on a sample:
-training texts in the order of a hash, ``FIT_TEXTS`` and ``FIT_IDS`` at most.
+What is learned covers every training text: counts of its words, summed per task and then by a shuffle, from
+them counts of pairs of ids, and the weights. These start from a fit on a sample, training texts in the order of a hash, ``FIT_TEXTS``
+and ``FIT_IDS`` at most. From there every task trains a copy on all training texts it reads, each id once, and
+the copies are averaged by the number of their ids; parts of the weights meet in a shuffle, and the driver sees one sum of each.
 
 Scoring: windows of ``CONTEXT + STRIDE`` ids, ``STRIDE`` apart; every id is scored once, from at
 least ``CONTEXT`` ids before it (all of them at the start). The unigram base score looks up
@@ -56,8 +57,12 @@ VOCABULARY = 2048
 #: Ids of a group; ids before a stretch, ids of a stretch, width of attention, of the hidden layer.
 GROUP = 45
 CONTEXT, STRIDE, WIDTH, HIDDEN = 8, 32, 16, 32
+#: Texts and ids that the start of the weights is fitted on; numbers of the weights that are averaged together.
 FIT_TEXTS, FIT_IDS = 2_000, 2_000_000
+PART_WEIGHTS = 1 << 13
 STEPS, BATCH, RATE = 1500, 192, 0.02
+#: First rate of the pass over all training texts, which starts from the weights fitted on the sample.
+LESSON_RATE = 0.004
 #: A word with one of so many parts of all words is frequent; its probability is broadcast. So many words at most
 #: can be, of as many bytes as they have on average in the texts; in natural text it is a twentieth of that.
 FREQUENT_SHARE = 4_000_000
@@ -186,7 +191,11 @@ class Counted:
     """Log shares in the corpus: of the next id's group by the id before, of the id within its group, and pads."""
 
     group: np.ndarray
-    inside: np.ndarray
+    by_group: np.ndarray  # (group, id before, id of the group), so that the rows in use at a time lie together
+
+    @property
+    def inside(self) -> np.ndarray:
+        return self.by_group.transpose(1, 0, 2)
 
     @classmethod
     def of(cls, counts: np.ndarray, some: float = 5.0) -> Counted:
@@ -199,7 +208,7 @@ class Counted:
         group = padded.sum(axis=2)
         inside = np.full(padded.shape, -1e9, np.float32)
         np.log(padded / group[:, :, None], out=inside, where=padded > 0, casting="unsafe")
-        return cls(np.log(group).astype(np.float32), inside)
+        return cls(np.log(group).astype(np.float32), np.ascontiguousarray(inside.transpose(1, 0, 2)))
 
 
 @dataclass
@@ -250,67 +259,96 @@ def _masked(distance: np.ndarray, rows: int, first: bool) -> np.ndarray:
     return out.astype(np.float32)
 
 
-def _softmax(x: np.ndarray) -> np.ndarray:
-    x = np.exp(x - x.max(axis=-1, keepdims=True))
-    return x / x.sum(axis=-1, keepdims=True)
+def _powers(x: np.ndarray) -> np.ndarray:
+    """Gives the sums of the powers of e that ``x`` becomes, each row's by a factor of its own where they would be too large or small."""
+    ones = np.ones(x.shape[-1], np.float32)
+    out = np.exp(x)
+    sums = out @ ones
+    if not np.isfinite(sums).all() or sums.min(initial=1) < 1e-30:
+        out = np.exp(x - x.max(axis=-1, keepdims=True))
+        sums = out @ ones
+    x[:] = out
+    return sums
 
 
-def _sums(index: np.ndarray, rows: np.ndarray, size: int) -> np.ndarray:
-    """Rows added up by index."""
-    return np.stack([np.bincount(index, rows[:, c], size) for c in range(rows.shape[1])], axis=1).astype(np.float32)
+def _missed(logits: np.ndarray, which: np.ndarray) -> float:
+    """Loss of one column per row, added up; ``logits`` become its mean's gradients."""
+    many = np.float32(len(logits))
+    sums = _powers(logits)
+    at = np.arange(0, logits.size, logits.shape[1]) + which
+    flat = logits.reshape(-1)
+    loss = np.log(sums).sum(dtype=float) - np.log(flat[at]).sum(dtype=float)
+    logits *= (1 / (sums * many))[:, None]
+    flat[at] -= 1 / many
+    return float(loss)
 
 
-def _by_group(to: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
-    """Each group that occurs and the positions of its ids."""
-    order = np.argsort(to // GROUP, kind="stable")
-    ends = np.cumsum(np.bincount(to // GROUP))
-    for n, (a, b) in enumerate(zip([0, *ends], ends)):
-        if b > a:
-            yield n, order[a:b]
+def _sums(index: np.ndarray, rows: np.ndarray, size: int) -> np.ndarray:
+    """Rows added up by index."""
+    order = np.argsort(index.astype(np.uint16), kind="stable")
+    n = np.bincount(index, minlength=size)
+    found = np.flatnonzero(n)
+    out = np.zeros((size, rows.shape[1]), np.float32)
+    out[found] = np.add.reduceat(np.take(rows, order, axis=0), (np.cumsum(n) - n)[found], axis=0)
+    return out
 
 
 def _gradients(w: Weights, inputs: np.ndarray, targets: np.ndarray, first: bool) -> tuple[float, list[np.ndarray]]:
     """Mean loss (nats) and its gradients for windows (B, CONTEXT + STRIDE) and targets (B, STRIDE; -1: none)."""
     reach = inputs.shape[1]
-    x = w.embedding[inputs]
+    x = np.take(w.embedding, inputs, axis=0)
     own, previous = x[:, CONTEXT:], x[:, CONTEXT - 1 : -1]
-    q, k, v = own @ w.query, x @ w.key, x @ w.value
     scale = np.float32(1 / math.sqrt(WIDTH))
-    shares = _softmax(q @ k.transpose(0, 2, 1) * scale + _masked(w.distance, STRIDE, first))
+    q, k, v = own @ w.query * scale, x @ w.key, x @ w.value
+    scores = q @ k.transpose(0, 2, 1)
+    scores += _masked(w.distance, STRIDE, first)
+    sums = _powers(scores)
+    shares = np.divide(scores, sums[:, :, None], out=scores)
     seen = shares @ v
-    before = own @ w.hidden + previous @ w.hidden_before + seen @ w.attended + w.hidden_bias
-    there = targets >= 0
-    to, at = targets[there], inputs[:, CONTEXT:][there]
-    hidden = np.ones((len(to), HIDDEN + 1), np.float32)
-    hidden[:, :HIDDEN] = np.maximum(before[there], 0)
-    many = np.arange(len(to))
-    d_group = _softmax(hidden @ w.group + w.counted.group[at])
-    loss = -np.log(d_group[many, to // GROUP]).sum()
-    d_group[many, to // GROUP] -= 1
-    d_group /= len(to)
-    d_hidden = d_group @ w.group.T
+    before = own @ w.hidden
+    before += previous @ w.hidden_before
+    before += seen @ w.attended
+    before += w.hidden_bias
+    # targets in the order of their groups
+    places = np.flatnonzero(targets.ravel() >= 0)
+    group, of = np.divmod(targets.ravel()[places], GROUP)
+    order = np.argsort(group.astype(np.int16), kind="stable")
+    places, group, of = places[order], group[order], of[order]
+    at, many = inputs[:, CONTEXT:].ravel()[places], len(places)
+    hidden = np.ones((many, HIDDEN + 1), np.float32)
+    np.maximum(np.take(before.reshape(-1, HIDDEN), places, axis=0), 0, out=hidden[:, :HIDDEN])
+    d_group = hidden @ w.group
+    d_group += np.take(w.counted.group, at, axis=0)
+    loss = _missed(d_group, group)
+    d_hidden = d_group @ w.group[:HIDDEN].T
+    ends = np.cumsum(np.bincount(group)).tolist()
+    used = [(n, a, b) for n, (a, b) in enumerate(zip([0, *ends], ends)) if a < b]
+    d_of = np.empty((many, GROUP), np.float32)
+    for n, a, b in used:
+        np.matmul(hidden[a:b], w.inside[n], out=d_of[a:b])
+        d_of[a:b] += np.take(w.counted.by_group[n], at[a:b], axis=0)
+    loss += _missed(d_of, of)
     d_inside = np.zeros_like(w.inside)
-    for n, rows in _by_group(to):
-        part = _softmax(hidden[rows] @ w.inside[n] + w.counted.inside[at[rows], n])
-        of = to[rows] - n * GROUP
-        loss -= np.log(part[many[: len(rows)], of]).sum()
-        part[many[: len(rows)], of] -= 1
-        part /= len(to)
-        d_inside[n] = hidden[rows].T @ part
-        d_hidden[rows] += part @ w.inside[n].T
+    for n, a, b in used:
+        np.matmul(hidden[a:b].T, d_of[a:b], out=d_inside[n])
+        d_hidden[a:b] += d_of[a:b] @ w.inside[n, :HIDDEN].T
+    d_hidden *= hidden[:, :HIDDEN] > 0
     d_before = np.zeros_like(before)
-    d_before[there] = d_hidden[:, :HIDDEN] * (hidden[:, :HIDDEN] > 0)
+    d_before.reshape(-1, HIDDEN)[places] = d_hidden
     d_seen = d_before @ w.attended.T
-    d_shares = d_seen @ v.transpose(0, 2, 1)
-    d_scores = shares * (d_shares - (d_shares * shares).sum(axis=-1, keepdims=True))
+    d_scores = d_seen @ v.transpose(0, 2, 1)
+    d_scores -= np.einsum("bqk,bqk->bq", d_scores, shares)[:, :, None]
+    d_scores *= shares
     gap = np.arange(CONTEXT, reach)[:, None] - np.arange(reach)[None, :]
     d_distance = np.bincount(np.maximum(gap, 0).ravel(), (d_scores.sum(axis=0) * (gap >= 0)).ravel(), reach)
-    d_q, d_k, d_v = d_scores @ k * scale, d_scores.transpose(0, 2, 1) @ q * scale, shares.transpose(0, 2, 1) @ d_seen
-    d_x = d_k @ w.key.T + d_v @ w.value.T
-    d_x[:, CONTEXT:] += d_q @ w.query.T + d_before @ w.hidden.T
+    d_q, d_k, d_v = d_scores @ k * scale, d_scores.transpose(0, 2, 1) @ q, shares.transpose(0, 2, 1) @ d_seen
+    d_x = d_k @ w.key.T
+    d_x += d_v @ w.value.T
+    d_x[:, CONTEXT:] += d_q @ w.query.T
+    d_x[:, CONTEXT:] += d_before @ w.hidden.T
     d_x[:, CONTEXT - 1 : -1] += d_before @ w.hidden_before.T
     flat, flat_before = (-1, WIDTH), d_before.reshape(-1, HIDDEN)
-    return float(loss) / len(to), [
+    return loss / many, [
         _sums(inputs.ravel(), d_x.reshape(flat), len(w.embedding)),
         own.reshape(flat).T @ d_q.reshape(flat),
         x.reshape(flat).T @ d_k.reshape(flat),
@@ -344,6 +382,21 @@ def windows(texts: list[np.ndarray], end: int) -> tuple[np.ndarray, np.ndarray,
     return inputs[inside], targets[inside[:, CONTEXT:]], of, nth == 0
 
 
+class Adam:
+    """Moves weights in place."""
+
+    def __init__(self, w: Weights):
+        self.w, self.step = w, 0
+        self.mean, self.square = ([np.zeros_like(v) for v in w.trained] for _ in range(2))
+
+    def __call__(self, gradients: list[np.ndarray], rate: float) -> None:
+        self.step += 1
+        for value, d, m, s in zip(self.w.trained, gradients, self.mean, self.square):
+            m += 0.1 * (d - m)
+            s += 0.01 * (d * d - s)
+            value -= rate * (m / (1 - 0.9**self.step)) / (np.sqrt(s / (1 - 0.99**self.step)) + 1e-7)
+
+
 def fit(texts: list[np.ndarray], w: Weights, end: int, steps: int = STEPS, seed: int = 5) -> Weights:
     """Adam on batches of windows; the first windows of texts and the others in turn."""
     if not texts:
@@ -351,19 +404,49 @@ def fit(texts: list[np.ndarray], w: Weights, end: int, steps: int = STEPS, seed:
     inputs, targets, _, first = windows(texts, end)
     pools = [(np.flatnonzero(first), True), (np.flatnonzero(~first), False)]
     random = np.random.default_rng(seed)
-    mean, square = ([np.zeros_like(v) for v in w.trained] for _ in range(2))
+    move = Adam(w)
     for step in range(1, steps + 1):
         pool, start = pools[step % 8 > 0 and len(pools[1][0]) > 0]
         batch = random.choice(pool, BATCH)
         _, steps_of = _gradients(w, inputs[batch], targets[batch], start)
         rate = RATE * min(1, step / 50) * (1 - step / (steps + 1)) + 1e-5
-        for value, d, m, s in zip(w.trained, steps_of, mean, square):
-            m += 0.1 * (d - m)
-            s += 0.01 * (d * d - s)
-            value -= rate * (m / (1 - 0.9**step)) / (np.sqrt(s / (1 - 0.99**step)) + 1e-7)
+        move(steps_of, rate)
     return w
 
 
+class Lesson:
+    """Trains a copy of weights on all ids of the texts that it is given; every id is a target in one batch."""
+
+    def __init__(self, w: Weights, end: int, seed: int = 7):
+        self.w = Weights(*(v.copy() for v in w.trained), w.counted)
+        self.end, self.ids, self.move, self.random = end, 0, Adam(self.w), np.random.default_rng(seed)
+        none = np.zeros((0, CONTEXT + STRIDE), np.int32), np.zeros((0, STRIDE), np.int32)
+        self.waiting = {True: none, False: none}
+
+    def __call__(self, texts: list[np.ndarray]) -> None:
+        *made, _, first = windows(texts, self.end)
+        for start, held in self.waiting.items():
+            rows = self.random.permutation(np.flatnonzero(first == start))
+            inputs, targets = (np.concatenate((a, b[rows])) for a, b in zip(held, made))
+            whole = len(inputs) // BATCH * BATCH
+            for a in range(0, whole, BATCH):
+                self._step(inputs[a : a + BATCH], targets[a : a + BATCH], start)
+            self.waiting[start] = inputs[whole:], targets[whole:]
+
+    def rest(self) -> None:
+        """The batches that are not full."""
+        for start, (inputs, targets) in self.waiting.items():
+            if len(inputs):
+                self._step(inputs, targets, start)
+                self.waiting[start] = inputs[:0], targets[:0]
+
+    def _step(self, inputs: np.ndarray, targets: np.ndarray, start: bool) -> None:
+        _, steps_of = _gradients(self.w, inputs, targets, start)
+        step = self.move.step + 1
+        self.move(steps_of, LESSON_RATE * min(1, step / 50) / math.sqrt(1 + step / 200))
+        self.ids += int(np.count_nonzero(targets >= 0))
+
+
 def _exp(x: np.ndarray) -> float:
     """In place; gives what was taken off before."""
     np.exp(x, out=x)
@@ -389,8 +472,7 @@ class Scorer:
         self.hidden, self.previous = w.embedding @ w.hidden + w.hidden_bias, w.embedding @ w.hidden_before
         self.group, self.inside = w.group[:HIDDEN], w.inside[:, :HIDDEN]
         self.group_logits = w.counted.group + w.group[HIDDEN]
-        # by group, so that the rows in use at a time lie together
-        self.inside_logits = np.ascontiguousarray((w.counted.inside + w.inside[:, HIDDEN]).transpose(1, 0, 2))
+        self.inside_logits = w.counted.by_group + w.inside[:, None, HIDDEN]
         self.bias = {first: _masked(w.distance, STRIDE, first) for first in (True, False)}
 
     def __call__(self, texts: list[np.ndarray], end: int) -> np.ndarray:
@@ -538,6 +620,67 @@ def counted(pairs: pa.Table, texts: int, size: int) -> Counted:
     return Counted.of(counts)
 
 
+# --- training on the corpus ----------------------------------------------------------
+
+
+def _blocks(texts: list[str | None]) -> Iterator[tuple[list[bytes], np.ndarray]]:
+    """The words of some texts at a time, an END behind each, and where each text ends."""
+    found, ends = [], []
+    for text in texts:
+        found += words(text)
+        found.append(END)
+        ends.append(len(found))
+        if len(found) >= BLOCK_WORDS:
+            yield found, np.array(ends)
+            found, ends = [], []
+    if ends:
+        yield found, np.array(ends)
+
+
+_PARTS = StructType(
+    [StructField("part", IntegerType()), StructField("task", IntegerType()), StructField("ids", LongType()), StructField("numbers", BinaryType())]
+)
+
+
+def learned(texts: DataFrame, start: Weights, subwords: Callable[[], Subwords], shared, key: str) -> tuple[Weights, int]:
+    """Weights after a pass over all ``texts`` from ``start``, which ``shared`` has with the words, and the number of ids in it."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begin, *known = shared.value
+        lexicon = _kept("lexicon", key, lambda: Lexicon(subwords(), *known))
+        lesson = Lesson(begin, lexicon.subwords.end)
+        for batch in parts(batches):
+            for found, ends in _blocks(batch.column("text").to_pylist()):
+                lesson(lexicon.text_ids(lexicon.of(found), ends))
+        lesson.rest()
+        if lesson.ids:
+            numbers = np.concatenate([v.ravel() for v in lesson.w.trained])
+            rows = [numbers[a : a + PART_WEIGHTS].tobytes() for a in range(0, len(numbers), PART_WEIGHTS)]
+            task = TaskContext.get().partitionId()
+            values = {"part": list(range(len(rows))), "task": [task] * len(rows), "ids": [lesson.ids] * len(rows), "numbers": rows}
+            yield as_batch(values, to_arrow_schema(_PARTS))
+
+    def added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[int, np.ndarray] = {}
+        seen: Counter = Counter()
+        for batch in batches:
+            for part, n, numbers in zip(*(batch.column(c).to_pylist() for c in ("part", "ids", "numbers"))):
+                sums[part] = sums.get(part, 0) + np.frombuffer(numbers, np.float32).astype(float) * n
+                seen[part] += n
+        values = {"part": list(sums), "task": [None] * len(sums), "ids": [seen[p] for p in sums]}
+        yield as_batch(values | {"numbers": [v.tobytes() for v in sums.values()]}, to_arrow_schema(_PARTS))
+
+    copies = texts.select("text").mapInArrow(run, _PARTS)
+    # in the order of tasks, so that the same sums come out again
+    means = copies.repartition("part").sortWithinPartitions("part", "task").mapInArrow(added, _PARTS).collect()
+    if not means:
+        return start, 0
+    means = [np.frombuffer(r["numbers"]) / r["ids"] for r in sorted(means, key=lambda r: r["part"])], means[0]["ids"]
+    numbers, shapes = np.concatenate(means[0]).astype(np.float32), [v.shape for v in start.trained]
+    cuts = np.cumsum([math.prod(s) for s in shapes])
+    return Weights(*(v.reshape(s) for v, s in zip(np.split(numbers, cuts[:-1]), shapes)), start.counted), means[1]
+
+
 # --- scoring -----------------------------------------------------------------------
 
 
@@ -577,15 +720,17 @@ def score_texts(
     wanted = spark.createDataFrame([(h,) for h in sorted(chosen)], "h long")
     texts = rows.withColumn("h", F.xxhash64(F.col(id).cast("string"), "text")).join(F.broadcast(wanted), "h")
     picked = {r["h"]: r["text"] for r in texts.select("h", "text").collect()}
-    learned, held = [], 0
+    first, held = [], 0
     for h in sorted(picked):
         ids = ids_of(words(picked[h]))
         if held + len(ids) <= FIT_IDS:
-            learned.append(ids)
+            first.append(ids)
             held += len(ids)
-    weights = fit(learned, fresh(shares), ids_of.end)
+    weights = fit(first, fresh(shares), ids_of.end)
     shared = spark.sparkContext.broadcast((weights, frequent, np.log10((times + 1) / floor), times > 0))
-    scored = stored(_scored(rows, id, subwords, shared, key), "scored")
+    weights, _ = learned(rows.filter(~F.col("held_out")), weights, subwords, shared, key)
+    trained = spark.sparkContext.broadcast(weights.trained)
+    scored = stored(_scored(rows, id, subwords, shared, trained, key), "scored")
     rare = scored.select("row", F.explode(F.arrays_zip("rare_words", "rare_counts")).alias("r"))
     rare = rare.select("row", F.col("r.rare_words").alias("word"), F.col("r.rare_counts").alias("times"))
     seen = F.coalesce("n_train", F.lit(0))
@@ -608,7 +753,7 @@ def score_texts(
     )
 
 
-def _scored(rows: DataFrame, id: str, subwords: Callable[[], Subwords], shared, key: str) -> DataFrame:
+def _scored(rows: DataFrame, id: str, subwords: Callable[[], Subwords], shared, trained, key: str) -> DataFrame:
     names = {
         "row": LongType(), "held_out": BooleanType(), "n_tokens": LongType(), "hot_known": LongType(),
         "hot_score": DoubleType(), "rare_words": ArrayType(BinaryType()), "rare_counts": ArrayType(LongType()),
@@ -618,22 +763,16 @@ def _scored(rows: DataFrame, id: str, subwords: Callable[[], Subwords], shared,
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         target = to_arrow_schema(schema)
-        weights, frequent, base, seen = shared.value
-        scorer, lexicon = _kept("scorer", key, lambda: (Scorer(weights), Lexicon(subwords(), frequent, base, seen)))
+        begin, *known = shared.value
+        lexicon = _kept("lexicon", key, lambda: Lexicon(subwords(), *known))
+        scorer = _kept("scorer", key, lambda: Scorer(Weights(*trained.value, begin.counted)))
         row = TaskContext.get().partitionId() << 33
         for batch in parts(batches):
             texts = batch.column("text").to_pylist()
             out: dict[str, list] = {n: [] for n in ("row", "n_tokens", "hot_known", "hot_score", "rare_words", "rare_counts", "score")}
-            first = 0
-            while first < len(texts):
-                found, ends = [], []
-                while first + len(ends) < len(texts) and len(found) < BLOCK_WORDS:
-                    found += words(texts[first + len(ends)])
-                    found.append(END)
-                    ends.append(len(found))
-                for name, values in _scored_block(found, np.array(ends), lexicon, scorer).items():
+            for found, ends in _blocks(texts):
+                for name, values in _scored_block(found, ends, lexicon, scorer).items():
                     out[name] += values
-                first += len(ends)
             out["row"] = list(range(row, row + len(texts)))
             row += len(texts)
             yield as_batch({id: batch.column(id), "held_out": batch.column("held_out")} | out, target)

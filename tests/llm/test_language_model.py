@@ -148,3 +148,38 @@ def test_weights_are_trained_for_all_steps(monkeypatch):
     monkeypatch.setattr(lm, "_gradients", lambda w, *_: (steps.append(1) or 0.0, [np.zeros_like(v) for v in w.trained]))
     lm.fit([np.arange(9)], w, 8, steps=DEALT_STEPS)
     assert len(steps) == 1500
+
+
+def test_weights_are_learned_from_all_training_texts(spark, monkeypatch):
+    """Without a sample: of two corpora of the same words, that in whose order a text stands predicts it better."""
+    monkeypatch.setattr(lm, "FIT_TEXTS", 0)
+    random, got = np.random.default_rng(6), []
+    line = prose(1, 12).split()
+    for shuffled in (False, True):
+        texts = [[*line] * 150 for _ in range(60)]
+        for text in texts if shuffled else []:
+            random.shuffle(text)
+        docs = docs_of(spark, [(i, " ".join(t)) for i, t in enumerate(texts)] + [(99, " ".join(line * 9))]).coalesce(2)
+        got.append(lm.score_texts(docs, F.col("doc_id") == 99, PATH, PATTERN).filter("doc_id = 99").first())
+    assert got[0]["base_score"] == got[1]["base_score"]
+    assert got[0]["score"] > got[1]["score"] + 1
+
+
+def test_a_pass_takes_each_training_id_once_and_averages_the_tasks(spark):
+    ids_of = lm.Subwords(PATH, PATTERN)
+    texts = [prose(i, 5 + 60 * i) for i in range(9)]
+    start = lm.fresh(lm.Counted.of(np.ones((ids_of.size, ids_of.size))))
+    shared = spark.sparkContext.broadcast((start, [], np.zeros(0), np.zeros(0, bool)))
+    docs = docs_of(spark, list(enumerate(texts))).repartition(3)
+    made, n = lm.learned(docs, start, lambda: lm.Subwords(PATH, PATTERN), shared, "a test")
+    want, total = 0, 0
+    for part in docs.select("text").rdd.glom().collect():
+        lesson = lm.Lesson(start, ids_of.end)
+        lesson([ids_of(words(r["text"])) for r in part])
+        lesson.rest()
+        want, total = want + lesson.ids * np.concatenate([v.ravel() for v in lesson.w.trained]).astype(float), total + lesson.ids
+    assert n == total == sum(len(ids_of(words(t))) for t in texts)
+    got = np.concatenate([v.ravel() for v in made.trained])
+    assert got == pytest.approx(want / total, abs=1e-5)
+    assert np.abs(got - np.concatenate([v.ravel() for v in start.trained])).max() > 1e-5
+    assert lm.learned(docs.limit(0), start, lambda: ids_of, shared, "a test") == (start, 0)
