@@ -22,7 +22,8 @@ from __future__ import annotations
 import os
 import re
 from collections.abc import Callable, Iterator
-from itertools import accumulate
+from itertools import accumulate, compress, count, pairwise, repeat
+from operator import not_
 
 import numpy as np
 import pyarrow as pa
@@ -60,7 +61,7 @@ class PieceIds:
     apart; other new pieces go through the whole tokenizer one by one.
 
     A dictionary keeps the pieces seen. When it is full it becomes the older of two, whose pieces come back
-    once they are met again; so words in frequent use are not learned anew.
+    once they are met again, also when it makes room itself; so words in frequent use are not learned anew.
     """
 
     def __init__(self, path: str, keep: int = CACHE_PIECES):
@@ -87,51 +88,66 @@ class PieceIds:
 
     def each(self, texts: list[str | None]) -> list[bytes]:
         """The ids of each text; new pieces of several texts are learned together."""
-        out, held, size = [], [], 0
+        out: list[bytes] = []
+        pieces: list[bytes] = []
+        ends = [0]
         for text in texts:
             raw = encoded(text)
             low = raw.translate(LOWER)
-            held.append(raw.split() if any(s in low for s in self.special) else _SIGNS.sub(rb" \g<0>", low).split())
-            size += len(held[-1])
-            if size >= LEARN_PIECES:
-                out += self._ids(held)
-                held, size = [], 0
-        return out + self._ids(held)
-
-    def _ids(self, texts: list[list[bytes]]) -> list[bytes]:
-        known, older, met = self.known, self.older, set().union(*texts)
-        if new := met.difference(known):
-            if len(known) + len(new) > self.keep:
-                known, older = self.known, self.older = {}, known
-                new = met
-            back = [p for p in new if p in older]
-            known.update(zip(back, map(older.__getitem__, back)))
-            self._learn({p: p.decode("utf-8", "replace") for p in new.difference(back)})
-        return [b"".join(map(known.__getitem__, pieces)) for pieces in texts]
-
-    def _learn(self, new: dict[bytes, str]) -> None:
-        plain = [p for p, text in new.items() if _LETTERS.fullmatch(text)]
-        joined = " ".join(map(new.__getitem__, plain)).lower()
-        if not joined.isascii():
-            joined = joined.encode().decode("latin-1").translate(self.letters)
-        made = np.array(self.merges.encode(joined, add_special_tokens=False).ids, self.type)
-        cuts = (np.flatnonzero(self.ends[made]) + 1).tolist()
+            pieces += raw.split() if any(s in low for s in self.special) else _SIGNS.sub(rb" \g<0>", low).split()
+            ends.append(len(pieces))
+            if len(pieces) >= LEARN_PIECES:
+                made = self._ids(pieces)
+                out += [b"".join(made[a:b]) for a, b in pairwise(ends)]
+                pieces, ends = [], [0]
+        made = self._ids(pieces)
+        return out + [b"".join(made[a:b]) for a, b in pairwise(ends)]
+
+    def _ids(self, pieces: list[bytes]) -> list[bytes]:
+        """The ids of each piece. A piece that is not found has none at first, as has one that the tokenizer drops."""
+        made = list(map(self.known.get, pieces, repeat(b"")))
+        places = list(compress(count(), map(not_, made)))
+        if places:
+            missing = list(map(pieces.__getitem__, places))
+            new = set(missing).difference(self.known)
+            back = {p: self.older[p] for p in new if p in self.older}
+            if len(self.known) + len(new) > self.keep:
+                # those missing and known without ids come along
+                back |= {p: self.known[p] for p in missing if p in self.known}
+                self.known, self.older = {}, self.known
+            self.known.update(back)
+            self._learn(list(new.difference(back)))
+            for place, ids in zip(places, map(self.known.__getitem__, missing)):
+                made[place] = ids
+        return made
+
+    def _learn(self, new: list[bytes]) -> None:
+        plain = list(filter(bytes.isalpha, new))
+        joined = b" ".join(plain).decode().lower()
+        other = {p: p.decode("utf-8", "replace") for p in new if not p.isalpha()}
+        if letters := [p for p, text in other.items() if _LETTERS.fullmatch(text)]:
+            more = " ".join(map(other.__getitem__, letters)).lower().encode().decode("latin-1").translate(self.letters)
+            joined = f"{joined} {more}" if plain else more
+            plain += letters
+        made = np.array(self.merges.encode_batch_fast([joined], add_special_tokens=False)[0].ids, self.type)
+        cuts = (np.flatnonzero(self.ends[made]) + 1) * self.type.itemsize
         if len(cuts) == len(plain):
-            size, data = self.type.itemsize, made.tobytes()
-            for piece, a, b in zip(plain, [0, *cuts], cuts):
-                self.known[piece] = data[a * size : b * size]
-        other = [p for p in new if p not in self.known]
-        texts = list(map(new.__getitem__, other))
-        for piece, one in zip(other, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)):
+            cuts = cuts.tolist()
+            self.known.update(zip(plain, map(made.tobytes().__getitem__, map(slice, [0, *cuts], cuts))))
+        rest = [p for p in new if p not in self.known]
+        texts = [p.decode("utf-8", "replace") for p in rest]
+        for piece, one in zip(rest, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)):
             self.known[piece] = np.array(one.ids, self.type).tobytes()
 
 
-def piece_ids(path: str) -> PieceIds:
+def piece_ids(path: str, keep: int = CACHE_PIECES) -> PieceIds:
     """The dictionary of a Python worker, kept between its tasks."""
-    return kept_in_worker("pieces", path, lambda: PieceIds(path))
+    return kept_in_worker("pieces", (path, keep), lambda: PieceIds(path, keep))
 
 
-def tokenized(docs: DataFrame, path: str, id: str = "doc_id", text: str = "text", end_id: int = END_ID) -> DataFrame:
+def tokenized(
+    docs: DataFrame, path: str, id: str = "doc_id", text: str = "text", end_id: int = END_ID, keep: int = CACHE_PIECES
+) -> DataFrame:
     """(id, part, first, n_tokens, ids): a document's ids with the end id, and the ids before it in its partition."""
     schema = StructType(
         [
@@ -144,7 +160,7 @@ def tokenized(docs: DataFrame, path: str, id: str = "doc_id", text: str = "text"
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids_of = piece_ids(path)
+        ids_of = piece_ids(path, keep)
         end = np.array([end_id], ids_of.type).tobytes()
         part, done, target = TaskContext.get().partitionId(), 0, to_arrow_schema(schema)
         for batch in parts(batches, BATCH_TEXTS):

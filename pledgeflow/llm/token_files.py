@@ -46,6 +46,8 @@ BLOCK_IDS, LANES, CHECK_ROWS = 1 << 20, 1 << 10, 1 << 8
 SCALE = 20
 #: Ids of one range of documents, about, where the shuffle has not more partitions.
 PART_IDS = 1 << 26
+#: Pieces of text in each of the two generations of a worker's dictionary while documents are tokenized, 150 bytes each.
+CACHE_PIECES = 600_000
 #: Lower end of the states; they are refilled by 32 bits.
 _LOW, _WORD = 1 << 31, 32
 _MAGIC, _HEAD = b"rANS", struct.Struct("<4sIIIIIII")
@@ -268,7 +270,7 @@ def write(
     """Writes the ids of all texts in ascending order of ``id`` and gives the folder, by default one below the shared folder."""
     spark = docs.sparkSession
     folder = folder or working_folder(spark, "token-files")
-    whole = stored(tokenized(docs, path, id, text, end_id), "token-ids")
+    whole = stored(tokenized(docs, path, id, text, end_id, CACHE_PIECES), "token-ids")
     counted = sorted(map(tuple, _count(whole).collect()))  # one row per id of the vocabulary at most
     ids, counts = (np.array([r[i] for r in counted], np.int64) for i in (0, 1))
     table = Frequencies.of(ids, counts)

@@ -76,3 +76,12 @@ def test_texts_learn_their_new_pieces_together(monkeypatch):
     made = ids_of.each(found)
     assert len(calls) == 1
     assert made == [packing.PieceIds(PATH)(t) for t in found]
+
+
+def test_pieces_met_again_while_the_dictionary_makes_room_are_not_learned_anew(monkeypatch):
+    ids_of, learned = packing.PieceIds(PATH, keep=3), []
+    learn = ids_of._learn
+    monkeypatch.setattr(ids_of, "_learn", lambda new: learned.append(sorted(new)) or learn(new))
+    texts = ["a b c", "d e", "a f", "a f d"]
+    assert [ids_of(text) for text in texts] == [packing.PieceIds(PATH)(text) for text in texts]
+    assert [one for one in learned if one] == [[b"a", b"b", b"c"], [b"d", b"e"], [b"f"]]
