@@ -22,7 +22,7 @@ from __future__ import annotations
 import os
 import re
 from collections.abc import Callable, Iterator
-from itertools import accumulate, compress, count, pairwise, repeat
+from itertools import accumulate, chain, compress, count, pairwise, repeat
 from operator import not_
 
 import numpy as np
@@ -38,17 +38,30 @@ from pledgeflow.llm.common import LOWER, as_batch, encoded, kept_in_worker, part
 LENGTH, END_ID = 4096, 2
 #: Pieces of text in each of the two generations of a worker's dictionary, 150 bytes each.
 CACHE_PIECES = 250_000
-#: Signs up to white space that follow neither a sign nor a letter outside ASCII other than \u00df to \u00ff.
-#: An apostrophe is left out, as it may belong to the letters around it.
-_SIGNS = re.compile(
-    rb"[!-&(-/:-@\[-`{-~](?:(?<![!-/:-@\[-`{-~\x80-\xff].)|(?<=\xc3[\x9f-\xb6\xb8-\xbf].))[!-&(-/:-@\[-`{-~]*(?=\s|$)", re.DOTALL
-)
+#: White space; signs; those that may be parted from the letter before them, which an apostrophe may belong to.
+_SPACE, _SIGN = (np.isin(np.arange(256), list(some)) for some in (b" \t\n\r\x0b\x0c", b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"))
+_PARTED = _SIGN & (np.arange(256) != ord("'"))
+#: Bytes that such signs do not follow: white space, control characters, signs and those outside ASCII.
+_KEPT_WITH = _SIGN | (np.arange(256) < 33) | (np.arange(256) > 126)
+#: Second bytes of the letters \u00df to \u00ff, which signs are parted from as well.
+_LATIN = np.isin(np.arange(256), [*range(0x9F, 0xB7), *range(0xB8, 0xC0)])
 #: Letters that stay one letter when lower-cased.
 _LETTERS = re.compile("[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f]+")
 #: Ids of a document that leave a task in one batch, about.
 BATCH_IDS = 4_000_000
-#: Texts that are Python objects at a time; pieces whose new ones are learned in one call.
-BATCH_TEXTS, LEARN_PIECES = 500, 50_000
+#: Texts that are Python objects at a time; bytes of texts whose new pieces are learned in one call.
+BATCH_TEXTS, LEARN_BYTES = 500, 300_000
+
+
+def _partings(codes: np.ndarray) -> np.ndarray:
+    """Where the signs begin that a piece ends with, and that follow neither a sign, a control character nor a letter outside
+    ASCII other than \u00df to \u00ff. The bytes begin and end with white space."""
+    signs = _PARTED[codes]
+    edges = np.flatnonzero(signs[1:] != signs[:-1]) + 1
+    first, end = edges[::2], edges[1::2]
+    first = first[_SPACE[codes[end]]]
+    last = codes[first - 1]
+    return first[~_KEPT_WITH[last] | (codes[first - 2] == 0xC3) & _LATIN[last]]
 
 
 class PieceIds:
@@ -89,19 +102,35 @@ class PieceIds:
     def each(self, texts: list[str | None]) -> list[bytes]:
         """The ids of each text; new pieces of several texts are learned together."""
         out: list[bytes] = []
-        pieces: list[bytes] = []
-        ends = [0]
+        held: list[bytes] = []
+        size = 0
         for text in texts:
-            raw = encoded(text)
-            low = raw.translate(LOWER)
-            pieces += raw.split() if any(s in low for s in self.special) else _SIGNS.sub(rb" \g<0>", low).split()
-            ends.append(len(pieces))
-            if len(pieces) >= LEARN_PIECES:
-                made = self._ids(pieces)
-                out += [b"".join(made[a:b]) for a, b in pairwise(ends)]
-                pieces, ends = [], [0]
+            held.append(encoded(text))
+            size += len(held[-1])
+            if size >= LEARN_BYTES:
+                out += self._together(held)
+                held, size = [], 0
+        return out + self._together(held)
+
+    def _together(self, texts: list[bytes]) -> list[bytes]:
+        pieces, ends = self._pieces(texts)
         made = self._ids(pieces)
-        return out + [b"".join(made[a:b]) for a, b in pairwise(ends)]
+        return [b"".join(made[a:b]) for a, b in pairwise(ends)]
+
+    def _pieces(self, texts: list[bytes]) -> tuple[list[bytes], list[int]]:
+        """The pieces of some texts, and where each text begins and ends among them."""
+        whole = b"\n".join([b"", *texts, b""])
+        low = whole.translate(LOWER)
+        if any(s in low for s in self.special):
+            found = [t.split() if any(s in t.translate(LOWER) for s in self.special) else self._pieces([t])[0] for t in texts]
+            return list(chain.from_iterable(found)), list(accumulate(map(len, found), initial=0))
+        codes = np.frombuffer(low, np.uint8)
+        at = _partings(codes)
+        codes = np.insert(codes, at, 32)
+        space = _SPACE[codes]
+        stops = np.cumsum([1, *(len(t) + 1 for t in texts)])
+        begins = np.flatnonzero(space[:-1] & ~space[1:]) + 1
+        return codes.tobytes().split(), np.searchsorted(begins, stops + np.searchsorted(at, stops)).tolist()
 
     def _ids(self, pieces: list[bytes]) -> list[bytes]:
         """The ids of each piece. A piece that is not found has none at first, as has one that the tokenizer drops."""
@@ -188,15 +217,16 @@ def pack(
     text: str = "text",
     length: int = LENGTH,
     end_id: int = END_ID,
+    keep: int = CACHE_PIECES,
 ) -> DataFrame:
     """One row per piece of a document that lies in one sequence.
 
     id, start (the document's ids before the piece), length, ids (little-endian
     unsigned 32-bit numbers), doc_tokens, sequence_id, offset (in the sequence), sequence_length (padded).
-    Tokenizes and stores the documents when called.
+    Tokenizes and stores the documents when called; ``keep`` pieces of text are in each generation of a worker's dictionary.
     """
     spark = docs.sparkSession
-    whole = stored(tokenized(docs, path, id, text, end_id), "token-ids")
+    whole = stored(tokenized(docs, path, id, text, end_id, keep), "token-ids")
     totals = dict(whole.groupBy("part").agg(F.max(F.col("first") + F.col("n_tokens"))).collect())
     parts = sorted(totals)
     before = dict(zip(parts, accumulate([0, *(totals[p] for p in parts)])))

@@ -85,3 +85,22 @@ def test_pieces_met_again_while_the_dictionary_makes_room_are_not_learned_anew(m
     texts = ["a b c", "d e", "a f", "a f d"]
     assert [ids_of(text) for text in texts] == [packing.PieceIds(PATH)(text) for text in texts]
     assert [one for one in learned if one] == [[b"a", b"b", b"c"], [b"d", b"e"], [b"f"]]
+
+
+def test_control_characters_stay_with_the_signs_behind_them(tokenizer):
+    for text in ("a\x7f! b", "x\x1c<. y", "\x00; z"):
+        assert np.frombuffer(packing.PieceIds(PATH)(text), "<u2").tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+
+
+def test_signs_of_several_texts_are_parted_at_once():
+    found = ["one, two.", None, "\u00e9t\u00e9! it's', x...", "", ". a", "<|endoftext|>, B.", "three;"]
+    ids_of = packing.PieceIds(PATH)
+    pieces, ends = ids_of._pieces([packing.encoded(t) for t in found])
+    parted = [pieces[a:b] for a, b in zip(ends, ends[1:])]
+    assert parted[0] == [b"one", b",", b"two", b"."] and parted[1] == parted[3] == []
+    assert parted[2] == ["\u00e9t\u00e9".encode(), b"!", b"it's',", b"x", b"..."]
+    assert parted[4:] == [[b".", b"a"], [b"<|endoftext|>,", b"B."], [b"three", b";"]]
+    plain = found[:5]
+    pieces, ends = ids_of._pieces([packing.encoded(t) for t in plain])
+    assert [pieces[a:b] for a, b in zip(ends, ends[1:])] == parted[:5]
+    assert ids_of.each(found) == [packing.PieceIds(PATH)(t) for t in found]
