@@ -47,7 +47,7 @@ SCALE = 20
 #: Ids of one range of documents, about, where the shuffle has not more partitions.
 PART_IDS = 1 << 26
 #: Pieces of text in each of the two generations of a worker's dictionary while documents are tokenized, 150 bytes each.
-CACHE_PIECES = 600_000
+CACHE_PIECES = 1_000_000
 #: Lower end of the states; they are refilled by 32 bits.
 _LOW, _WORD = 1 << 31, 32
 _MAGIC, _HEAD = b"rANS", struct.Struct("<4sIIIIIII")
@@ -99,13 +99,17 @@ def encode(ids: np.ndarray, table: Frequencies) -> bytes:
     marks: list[tuple[int, int, bytes]] = []
     share, below = table.share[ids], table.below[ids]
     for row in range(rows - 1, -1, -1):
-        f = share[row * lanes : (row + 1) * lanes]
+        here = slice(row * lanes, (row + 1) * lanes)
+        f = share[here]
         x = states[: len(f)]
-        full = (x >> (_LOW.bit_length() - 1 - SCALE + _WORD)) >= f
-        words.append((x[full] & 0xFFFFFFFF).astype("<u4"))
-        x[full] >>= _WORD
+        full = np.flatnonzero((x >> (_LOW.bit_length() - 1 - SCALE + _WORD)) >= f)
+        over = x[full]
+        words.append(over.astype("<u4"))
+        x[full] = over >> _WORD
         times, rest = np.divmod(x, f)
-        states[: len(f)] = (times << SCALE) + rest + below[row * lanes : (row + 1) * lanes]
+        times <<= SCALE
+        times += rest
+        np.add(times, below[here], out=x)
         if row % CHECK_ROWS == 0:
             stretch = ids[row * lanes : (row + CHECK_ROWS) * lanes]
             marks.append((row, crc32(stretch.astype("<u4").tobytes()), states.astype("<u8").tobytes()))
@@ -136,12 +140,14 @@ def decode(block: bytes, table: Frequencies, first: int = 0, last: int | None =
         for begin in range(0, len(stretch), lanes):
             x = states[: len(stretch) - begin]
             units = x & ((1 << SCALE) - 1)
-            ids = table.owner[units]
-            x = table.share[ids] * (x >> SCALE) + units - table.below[ids]
+            ids = table.owner[units].astype(np.intp)
+            x >>= SCALE
+            x *= table.share[ids]
+            x += units
+            x -= table.below[ids]
             low = np.flatnonzero(x < _LOW)
             x[low] = (x[low] << _WORD) | words[place : place + len(low)]
             place += len(low)
-            states[: len(x)] = x
             stretch[begin : begin + lanes] = ids
         if crc32(stretch.tobytes()) != crc:
             raise Damaged("ids differ from those that were written")
