@@ -99,17 +99,14 @@ class _Register:
             out[one] = numbers[of]
         other = np.flatnonzero(~single)
         if len(other):
-            raw, row, kept = arcs.tobytes(), arcs[:1].nbytes, []
-            numbers, number = [], self.count
-            for a, b in zip(starts[other].tolist(), ends[other].tolist()):
-                numbers.append(self.known.setdefault(raw[a * row : b * row], number))
-                if numbers[-1] == number:
-                    kept.append((a, b))
-                    number += 1
-            out[other] = numbers
-            if kept:
-                first, end = np.array(kept).T
-                sizes = end - first
+            raw, row, a, b = arcs.tobytes(), arcs[:1].nbytes, starts[other], ends[other]
+            rows = list(map(raw.__getitem__, map(slice, (a * row).tolist(), (b * row).tolist())))
+            places = dict(zip(reversed(rows), range(len(rows) - 1, -1, -1)))  # the first of each
+            new = sorted(place for one, place in places.items() if one not in self.known)
+            self.known.update(zip(map(rows.__getitem__, new), range(self.count, self.count + len(new))))
+            out[other] = list(map(self.known.__getitem__, rows))
+            if new:
+                first, sizes = a[new], (b - a)[new]
                 at = np.repeat(first - (np.cumsum(sizes) - sizes), sizes) + np.arange(sizes.sum())
                 self._keep(arcs[at], sizes)
         return out
@@ -125,6 +122,12 @@ class _Register:
         return Level(np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)]), *arcs.T)
 
 
+def _merged(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """All different numbers of two arrays that are in order, in order."""
+    both = np.sort(np.concatenate((a, b)), kind="stable")  # merges the two
+    return both[np.append(True, both[1:] != both[:-1])] if len(both) else both
+
+
 class Builder:
     """Builds a transducer from n-grams in ascending order, one run of first words after the other.
 
@@ -138,8 +141,8 @@ class Builder:
     def add(self, grams: Grams, last: bool = False) -> None:
         """The n-grams of first words that come behind those added already; a key packs up to three words' numbers from 1 on."""
         keys = [k for k, _ in grams]
-        nodes = [None, np.union1d(keys[1], keys[2] >> BITS), keys[2]]
-        nodes[0] = np.union1d(keys[0], nodes[1] >> BITS)
+        nodes = [None, _merged(keys[1], keys[2] >> BITS), keys[2]]
+        nodes[0] = _merged(keys[0], nodes[1] >> BITS)
         below = np.full(len(nodes[2]), -1, np.int64)
         for level in (2, 1, 0):
             weight = np.zeros(len(nodes[level]), np.int64)
@@ -236,10 +239,14 @@ class Automaton:
         return cls(words, [Level(*a, t - 1) for *a, t in (arrays[i : i + 4] for i in range(0, 12, 4))])
 
 
+_NO_GRAMS = np.empty(0, np.int64), np.empty(0, np.int64)
+
+
 def united(slices: Iterable[Automaton], min_count: int = 1) -> Automaton:
     """The sum of transducers; entries below ``min_count`` and words without entries are left out."""
     slices = list(slices)
-    words = sorted(set().union(*(s.words for s in slices)))
+    # in no order: most words have no entry in the sum, so only the words of those that stay are sorted
+    words = list(set().union(*(s.words for s in slices)))
     if len(words) > _MASK:
         return _united_by_words(slices, min_count)
     number = {w: n for n, w in enumerate(words, 1)}
@@ -247,26 +254,54 @@ def united(slices: Iterable[Automaton], min_count: int = 1) -> Automaton:
     for s in slices:
         to = np.array([0, *map(number.__getitem__, s.words)], np.int64)
         for size, (keys, counts) in enumerate(s.grams()):
-            own = sum(to[keys >> BITS * i & _MASK] << BITS * i for i in range(size + 1))
-            found[size].append((own, counts))
-    sums = []
-    for pairs in found:
-        keys = np.concatenate([k for k, _ in pairs])
-        keys, of = np.unique(keys, return_inverse=True)
-        counts = np.zeros(len(keys), np.int64)
-        np.add.at(counts, of, np.concatenate([c for _, c in pairs]))
-        sums.append((keys[counts >= min_count], counts[counts >= min_count]))
-    return _compact(words, sums)
+            found[size].append((_renumbered(keys, size, to), counts))
+    sums = [_summed(*map(np.concatenate, zip(*pairs)), min_count) if pairs else _NO_GRAMS for pairs in found]
+    used = _used(len(words), sums)
+    some = sorted(np.flatnonzero(used).tolist(), key=lambda n: words[n - 1])
+    rank = np.zeros(len(words) + 1, np.int64)
+    rank[some] = np.arange(1, len(some) + 1)
+    grams = []
+    for size, (keys, counts) in enumerate(sums):
+        keys = _renumbered(keys, size, rank)
+        order = np.argsort(keys)
+        grams.append((keys[order], counts[order]))
+    return Automaton.of([words[n - 1] for n in some], grams)
+
+
+def _summed(keys: np.ndarray, counts: np.ndarray, min_count: int) -> tuple[np.ndarray, np.ndarray]:
+    """Different keys in order with their sums of at least ``min_count``."""
+    if not len(keys):
+        return _NO_GRAMS
+    order = np.argsort(keys)
+    keys = keys[order]
+    first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
+    sums = np.add.reduceat(counts[order], first)
+    kept = sums >= min_count
+    return keys[first[kept]], sums[kept]
+
+
+def _renumbered(keys: np.ndarray, size: int, to: np.ndarray) -> np.ndarray:
+    """Keys of ``size`` words and one with other numbers for the words."""
+    out = to[keys & _MASK]
+    for i in range(1, size + 1):
+        out |= to[keys >> BITS * i & _MASK] << BITS * i
+    return out
+
+
+def _used(words: int, grams: Grams) -> np.ndarray:
+    """Whether each of the words, from number 1 on, is in an entry."""
+    used = np.zeros(words + 1, bool)
+    for size, (keys, _) in enumerate(grams):
+        for i in range(size + 1):
+            used[keys >> BITS * i & _MASK] = True
+    return used
 
 
 def _compact(words: list[bytes], grams: Grams) -> Automaton:
     """Only the words that the entries use, numbered anew."""
-    used = np.zeros(len(words) + 1, bool)
-    for size, (keys, _) in enumerate(grams):
-        for i in range(size + 1):
-            used[keys >> BITS * i & _MASK] = True
+    used = _used(len(words), grams)
     to = np.cumsum(used)
-    made = [(sum(to[k >> BITS * i & _MASK] << BITS * i for i in range(size + 1)), c) for size, (k, c) in enumerate(grams)]
+    made = [(_renumbered(keys, size, to), counts) for size, (keys, counts) in enumerate(grams)]
     return Automaton.of([words[n - 1] for n in np.flatnonzero(used)], made)
 
 

@@ -129,3 +129,28 @@ def test_awkward_documents_and_empty_tables(spark):
     made = C.find_collocations(frame(spark), min_count=2)
     assert sorted(map(tuple, made.collect())) == brute(docs, 2)
     assert C.find_collocations(empty(spark)).count() == 0
+
+
+def test_only_words_of_entries_that_stay_are_sorted(monkeypatch):
+    texts = [" ".join(f"rare{n}x{i} often" for i in range(200)) for n in range(3)]
+    slices, lengths = [_automaton(t) for t in texts], []
+    monkeypatch.setattr(C, "sorted", lambda x, **how: lengths.append(len(list(x))) or sorted(x, **how), raising=False)
+    made = C.united(slices, 10)
+    assert made.words == [b"often"] and made.grams()[0][1].tolist() == [600]
+    assert max(lengths) <= 1
+
+
+def test_united_is_the_automaton_of_all_texts():
+    texts = ["b a b c. a b", "", "c b a, a b c a b", "d d d d"]
+    all_at_once = _automaton(". ".join(texts))
+    assert C.united([_automaton(t) for t in texts]).to_bytes() == all_at_once.to_bytes()
+    some = C.united([_automaton(t) for t in texts], 3)
+    for (keys, counts), size, (every, n) in zip(some.grams(), (1, 2, 3), all_at_once.grams()):
+        want = [(p, c) for p, c in zip(all_at_once.phrases(every, size), n.tolist()) if c >= 3]
+        assert list(zip(some.phrases(keys, size), counts.tolist())) == want
+    assert C.united([]).words == []
+
+
+def _automaton(text):
+    found, ids = [*C.pieces(text), b"."], C._Ids({b".": 0})
+    return C.counted(ids, [np.array([ids[w] for w in found], np.int32)])
