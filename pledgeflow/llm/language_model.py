@@ -69,6 +69,10 @@ FREQUENT_SHARE = 4_000_000
 #: Words besides the frequent ones that a Python worker keeps the ids of; distinct words a task counts before it passes them on;
 #: words scored at a time, windows of ids at a time; scores of texts that are kept.
 CACHE_WORDS, FLUSH_WORDS, BLOCK_WORDS, PART_WINDOWS, KEPT_SCORES = 200_000, 250_000, 60_000, 48, 20_000
+#: Windows whose targets are put in the order of groups at a time.
+SOME_WINDOWS = 1024
+#: Bytes of the largest block that a process keeps when it is freed.
+KEPT_BLOCK = 8 << 20
 #: Stands for the end among words.
 END = b""
 
@@ -183,6 +187,15 @@ def _kept(kind: str, key: str, make: Callable[[], object]):
     return _KEPT[kind][1]
 
 
+def _keep_memory() -> None:
+    """From here on this process keeps freed blocks for the next arrays.
+
+    The allocator keeps what is no larger than the largest block that was freed before, and gives back the rest. A step of
+    training would fault all its pages in again, which takes as long as a third of its arithmetic.
+    """
+    np.empty(KEPT_BLOCK, np.uint8)
+
+
 # --- the model -------------------------------------------------------------------
 
 
@@ -405,6 +418,7 @@ def fit(texts: list[np.ndarray], w: Weights, end: int, steps: int = STEPS, seed:
     pools = [(np.flatnonzero(first), True), (np.flatnonzero(~first), False)]
     random = np.random.default_rng(seed)
     move = Adam(w)
+    _keep_memory()
     for step in range(1, steps + 1):
         pool, start = pools[step % 8 > 0 and len(pools[1][0]) > 0]
         batch = random.choice(pool, BATCH)
@@ -482,8 +496,9 @@ class Scorer:
         inputs, targets, of, first = windows(texts, end)
         out = np.zeros(len(texts))
         for start in (True, False):
-            rows = np.flatnonzero(first == start)
-            if len(rows):
+            all_rows = np.flatnonzero(first == start)
+            for a in range(0, len(all_rows), SOME_WINDOWS):
+                rows = all_rows[a : a + SOME_WINDOWS]
                 out += self._windows(inputs[rows], targets[rows], start, of[rows], len(texts))
         return out / math.log(10)
 
@@ -649,6 +664,7 @@ def learned(texts: DataFrame, start: Weights, subwords: Callable[[], Subwords],
         begin, *known = shared.value
         lexicon = _kept("lexicon", key, lambda: Lexicon(subwords(), *known))
         lesson = Lesson(begin, lexicon.subwords.end)
+        _keep_memory()
         for batch in parts(batches):
             for found, ends in _blocks(batch.column("text").to_pylist()):
                 lesson(lexicon.text_ids(lexicon.of(found), ends))
@@ -767,6 +783,7 @@ def _scored(rows: DataFrame, id: str, subwords: Callable[[], Subwords], shared,
         lexicon = _kept("lexicon", key, lambda: Lexicon(subwords(), *known))
         scorer = _kept("scorer", key, lambda: Scorer(Weights(*trained.value, begin.counted)))
         row = TaskContext.get().partitionId() << 33
+        _keep_memory()
         for batch in parts(batches):
             texts = batch.column("text").to_pylist()
             out: dict[str, list] = {n: [] for n in ("row", "n_tokens", "hot_known", "hot_score", "rare_words", "rare_counts", "score")}

@@ -1,8 +1,11 @@
 """Counts and base scores against Python; the model's probabilities add up to one; training lowers the loss."""
 
 import math
+import subprocess
+import sys
 import zlib
 from collections import Counter
+from pathlib import Path
 
 import numpy as np
 import public_tokenizers
@@ -183,3 +186,23 @@ def test_a_pass_takes_each_training_id_once_and_averages_the_tasks(spark):
     assert got == pytest.approx(want / total, abs=1e-5)
     assert np.abs(got - np.concatenate([v.ravel() for v in start.trained])).max() > 1e-5
     assert lm.learned(docs.limit(0), start, lambda: ids_of, shared, "a test") == (start, 0)
+
+
+FAULTS = """
+import resource
+import numpy as np
+from pledgeflow.llm import language_model as lm
+w = lm.fresh(lm.Counted.of(np.ones((100, 100))))
+text = np.random.default_rng(1).integers(0, 99, 20_000).astype(np.int32)
+lm.fit([text], w, 99, steps=20)
+before = resource.getrusage(resource.RUSAGE_SELF).ru_minflt
+lm.fit([text], w, 99, steps=50)
+print((resource.getrusage(resource.RUSAGE_SELF).ru_minflt - before) / 50)
+"""
+
+
+@pytest.mark.skipif(sys.platform != "linux", reason="how freed memory is kept depends on the allocator")
+def test_steps_of_training_use_the_same_memory_again():
+    folder = Path(lm.__file__).parents[2]
+    made = subprocess.run([sys.executable, "-c", FAULTS], cwd=folder, capture_output=True, text=True, check=True)
+    assert float(made.stdout) < 500
