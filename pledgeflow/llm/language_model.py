@@ -191,7 +191,7 @@ def _keep_memory() -> None:
     """From here on this process keeps freed blocks for the next arrays.
 
     The allocator keeps what is no larger than the largest block that was freed before, and gives back the rest. A step of
-    training would fault all its pages in again, which takes as long as a third of its arithmetic.
+    training would fault all its pages in again, which took about a third of its time.
     """
     np.empty(KEPT_BLOCK, np.uint8)
 
