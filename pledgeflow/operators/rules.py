@@ -127,6 +127,22 @@ def judge_refund_decisions(decisions: DataFrame, backs: DataFrame, projects: Dat
     return found.select(*decisions.columns, reason.alias("reason"))
 
 
+def named_pledges(changes: DataFrame, backs: DataFrame, earlier: DataFrame | None = None) -> DataFrame:
+    """``(email, id, __request, __changes)``: the pledges that changes name, their request, how many changes name them.
+
+    ``earlier`` has the requests set since, as ``new_request``, one row per key.
+    """
+    keys = ["email", "id"]
+    # Pledges on the streamed side: few changes find them without a shuffle of all.
+    wanted = changes.groupBy(*keys).agg(F.count(F.lit(1)).alias("__changes"))
+    named = backs.select(*keys, F.col("request").alias("__request")).join(wanted, keys)
+    if earlier is None:
+        return named
+    since = earlier.select(*keys, F.col("new_request").alias("__since"), F.lit(True).alias("__set"))
+    request = F.when(F.col("__set"), F.col("__since")).otherwise(F.col("__request"))
+    return named.join(since, keys, "left").select(*keys, request.alias("__request"), "__changes")
+
+
 def judge_request_changes(
     changes: DataFrame,
     backs: DataFrame,
@@ -134,6 +150,7 @@ def judge_request_changes(
     lock_existing: bool = False,
     totals: DataFrame | None = None,
     hot: Hot = None,
+    current: DataFrame | None = None,
 ) -> DataFrame:
     """A refund may be requested only once the project has succeeded.
 
@@ -143,19 +160,16 @@ def judge_request_changes(
     without a pledge, or one of several for a pledge, cannot be applied.
 
     ``totals`` may hold stored ``project_totals``, so that frequent small
-    batches need not add up all pledges.
+    batches need not add up all pledges, and ``current`` stored ``named_pledges``.
     """
-    keys = ["email", "id"]
-    # Pledges on the streamed side: few changes find them without a shuffle of all.
-    wanted = changes.groupBy(*keys).agg(F.count(F.lit(1)).alias("__changes"))
-    current = backs.select(*keys, F.col("request").alias("__request")).join(wanted, keys)
+    current = named_pledges(changes, backs) if current is None else current
     success = (
         projects.join(project_totals(backs) if totals is None else totals, "id")
         .filter(F.col("goal") <= F.col("amount"))
         .select("id", F.col("deadline").alias("__deadline"))
     )
     found = spread_join(
-        changes.join(current, keys, "left"),
+        changes.join(current, ["email", "id"], "left"),
         success, ["id"], "left", _hot(hot, "id"), ["email"],
     )
     opens = F.col("__request").isNull() & F.col("new_request").isNotNull()

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 #: Settings the jobs are written for; pass them to any builder or spark-submit.
 SETTINGS = {
@@ -15,6 +17,9 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
 }
 
+#: Whether a query's shuffle files go when it ends.
+_FREED = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def local_session(cores: int | str = "*", partitions: int = 8, **extra: str) -> SparkSession:
     """A local session for tests and the benchmark. Clusters bring their own."""
@@ -56,3 +61,24 @@ def shared_folder(spark: SparkSession) -> str:
 def working_folder(spark: SparkSession, name: str) -> str:
     """A fresh folder for one run of a job that must write intermediate tables."""
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def shuffles_freed(spark: SparkSession) -> Iterator[None]:
+    """What is written in this block frees its shuffle files as it ends.
+
+    Otherwise they stay until the driver happens to collect its garbage, and those of all steps of a job lie side by side.
+    """
+    before = spark.conf.get(_FREED, "false")
+    spark.conf.set(_FREED, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(_FREED, before)
+
+
+def put_by(rows: DataFrame, folder: str) -> DataFrame:
+    """``rows`` stored in ``folder``, in the place of what was there; the shuffles that made them are freed."""
+    with shuffles_freed(rows.sparkSession):
+        rows.write.mode("overwrite").option("compression", "zstd").parquet(folder)
+    return rows.sparkSession.read.schema(rows.schema).parquet(folder)

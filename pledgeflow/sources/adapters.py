@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from pledgeflow.functions.expressions import money_array, text_array
 from pledgeflow.operators.joins import hot_keys
-from pledgeflow.session import working_folder
+from pledgeflow.session import put_by, working_folder
 
 # Column types of the driver's files.
 SOURCE_SCHEMAS = {
@@ -55,9 +55,7 @@ class DriverTables(dict):
 
         Ask for it before the views that are derived from it, so that these read the stored rows too.
         """
-        view, folder = self[name], working_folder(self.spark, f"held-{name}")
-        view.write.parquet(folder)
-        self[name] = self.spark.read.schema(view.schema).parquet(folder)
+        self[name] = put_by(self[name], working_folder(self.spark, f"held-{name}"))
         return self[name]
 
     def source(self, name: str) -> DataFrame:
@@ -203,19 +201,24 @@ def backs(t: DriverTables) -> DataFrame:
     """One pledge per customer and part: their line items added up.
 
     Prices are whole cents, so they are added as integers: cheaper per line
-    than decimals, and as exact.
+    than decimals, and as exact. Lines and orders are shuffled with what the pledges are made of, days and cents, and no more.
     """
-    tier = F.min("l_linenumber") % F.lit(3)
-    cents = F.sum(F.floor(F.col("l_extendedprice") * 100 + F.lit(0.5)))
+    lines = t.source("lineitem").select(
+        "l_orderkey",
+        "l_partkey",
+        "l_linenumber",
+        F.when(F.col("l_returnflag") == "R", F.col("l_shipdate")).cast("date").alias("returned"),
+        F.floor(F.col("l_extendedprice") * 100 + F.lit(0.5)).alias("cents"),
+    )
+    orders = t.source("orders").select("o_orderkey", "o_custkey", F.col("o_orderdate").cast("date").alias("ordered"))
     return (
-        t.source("lineitem")
-        .join(t.source("orders"), F.col("l_orderkey") == F.col("o_orderkey"))
+        lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
         .groupBy("o_custkey", "l_partkey")
         .agg(
-            tier.alias("tier"),
-            F.min("o_orderdate").cast("date").alias("backing"),
-            F.min(F.when(F.col("l_returnflag") == "R", F.col("l_shipdate"))).cast("date").alias("request"),
-            cents.alias("cents"),
+            (F.min("l_linenumber") % F.lit(3)).alias("tier"),
+            F.min("ordered").alias("backing"),
+            F.min("returned").alias("request"),
+            F.sum("cents").alias("cents"),
         )
         .select(
             _text("u", "o_custkey").alias("email"),
