@@ -31,7 +31,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from pledgeflow.llm.common import as_batch, encoded, parts, schema_of, stored
+from pledgeflow.llm.common import FEW_BYTES, as_batch, encoded, parts, schema_of, stored
+from pledgeflow.session import settings
 
 MIN_COUNT, SHARE, TOP, UNKNOWN, SLICES = 10, 50, 2_000, "und", 16
 #: Words of a shard, entries of a range of phrases, every so many entries one is a sample.
@@ -242,19 +243,32 @@ class Automaton:
 _NO_GRAMS = np.empty(0, np.int64), np.empty(0, np.int64)
 
 
+class _Stored:
+    """The transducers of stored rows, one at a time, as often as they are asked for."""
+
+    def __init__(self, data: pa.ChunkedArray):
+        self.data = data
+
+    def __iter__(self) -> Iterator[Automaton]:
+        return (Automaton.from_bytes(d.as_py()) for d in self.data)
+
+
 def united(slices: Iterable[Automaton], min_count: int = 1) -> Automaton:
-    """The sum of transducers; entries below ``min_count`` and words without entries are left out."""
-    slices = list(slices)
-    # in no order: most words have no entry in the sum, so only the words of those that stay are sorted
-    words = list(set().union(*(s.words for s in slices)))
-    if len(words) > _MASK:
-        return _united_by_words(slices, min_count)
-    number = {w: n for n, w in enumerate(words, 1)}
+    """The sum of transducers; entries below ``min_count`` and words without entries are left out.
+
+    They are read one at a time, and once more where their words are too many.
+    """
+    # in the order they are met: most words have no entry in the sum, so only the words of those that stay are sorted
+    number: dict[bytes, int] = {}
     found: list[list] = [[], [], []]
     for s in slices:
-        to = np.array([0, *map(number.__getitem__, s.words)], np.int64)
+        to = np.array([0, *(number.setdefault(w, len(number) + 1) for w in s.words)], np.int64)
+        if len(number) > _MASK:
+            del found, number
+            return _united_by_words(slices, min_count)
         for size, (keys, counts) in enumerate(s.grams()):
             found[size].append((_renumbered(keys, size, to), counts))
+    words = list(number)
     sums = [_summed(*map(np.concatenate, zip(*pairs)), min_count) if pairs else _NO_GRAMS for pairs in found]
     used = _used(len(words), sums)
     some = sorted(np.flatnonzero(used).tolist(), key=lambda n: words[n - 1])
@@ -299,13 +313,17 @@ def _used(words: int, grams: Grams) -> np.ndarray:
 
 def _compact(words: list[bytes], grams: Grams) -> Automaton:
     """Only the words that the entries use, numbered anew."""
-    used = _used(len(words), grams)
-    to = np.cumsum(used)
+    if sum(len(keys) for keys, _ in grams) * 8 < len(words):  # a small slice is not charged for all words of its shard
+        used = np.unique(np.concatenate([keys >> BITS * i & _MASK for size, (keys, _) in enumerate(grams) for i in range(size + 1)]))
+    else:
+        used = np.flatnonzero(_used(len(words), grams))
+    to = np.empty(len(words) + 1, np.int64)
+    to[used] = np.arange(1, len(used) + 1)
     made = [(_renumbered(keys, size, to), counts) for size, (keys, counts) in enumerate(grams)]
-    return Automaton.of([words[n - 1] for n in np.flatnonzero(used)], made)
+    return Automaton.of([words[n - 1] for n in used.tolist()], made)
 
 
-def _united_by_words(slices: list[Automaton], min_count: int) -> Automaton:
+def _united_by_words(slices: Iterable[Automaton], min_count: int) -> Automaton:
     """The same for more words than keys can number, with the phrases themselves as keys."""
     sums: Counter[tuple[bytes, ...]] = Counter()
     for s in slices:
@@ -462,11 +480,13 @@ def count_phrases(made: DataFrame, borders: list[Border], min_count: int = MIN_C
         target = to_arrow_schema(_SLICE)
         for batch in batches:
             for lang, data in zip(batch.column("lang").to_pylist(), batch.column("data")):
-                for n, part in sliced(Automaton.from_bytes(data.as_py()), lang, shared.value):
-                    yield as_batch({"range": [n], "lang": [lang], "data": [part.to_bytes()]}, target)
+                made = [(n, part.to_bytes()) for n, part in sliced(Automaton.from_bytes(data.as_py()), lang, shared.value)]
+                if made:
+                    ranges, slices = zip(*made)
+                    yield as_batch({"range": ranges, "lang": [lang] * len(made), "data": slices}, target)
 
     def unite(group: pa.Table) -> pa.Table:
-        total = united((Automaton.from_bytes(d.as_py()) for d in group.column("data")), min_count)
+        total = united(_Stored(group.column("data")), min_count)
         rows = {"range": group.column("range")[:1], "lang": group.column("lang")[:1], "data": [total.to_bytes()]}
         return pa.Table.from_batches([as_batch(rows, to_arrow_schema(_SLICE))])
 
@@ -535,13 +555,15 @@ def find_collocations(
     phrase goes that lies within a longer one with at least ``share`` hundredths of its count.
     Shards, counts and candidates are stored when this is called.
     """
-    made = stored(shards(docs, text, lang, shard_words), "phrase-shards")
-    cores = docs.sparkSession.sparkContext.defaultParallelism
+    spark = docs.sparkSession
+    made = stored(shards(docs, text, lang, shard_words), "phrase-shards", large_rows=True)
+    cores = spark.sparkContext.defaultParallelism
     entries = made.agg(F.sum("entries")).first()[0] or 0
     borders = _borders(made, max(-(-entries // range_entries), min(-(-entries // 4096), 4 * cores)))
-    counts = stored(count_phrases(made, borders, min_count), "phrase-counts")
-    cuts = stored(_cuts(counts), "phrase-cuts")
-    found = stored(_looked_up(cuts, counts, borders), "phrase-parts")
+    with settings(spark, FEW_BYTES):
+        counts = stored(count_phrases(made, borders, min_count), "phrase-counts", large_rows=True)
+        cuts = stored(_cuts(counts), "phrase-cuts")
+        found = stored(_looked_up(cuts, counts, borders), "phrase-parts")
 
     wide = lambda c: F.col(c).cast("decimal(19,0)")
     both = (

@@ -48,14 +48,24 @@ def alnum_words(text: str | None) -> list[bytes]:
     return encoded(text).translate(_ALNUM).split()
 
 
-def stored(df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:
-    """``df`` written to the shared working folder and read back.
+#: For rows of a megabyte or more. Parquet looks at the size of what it holds after a hundred rows first, and so many such rows
+#: are held at once by the task that writes them and by each that reads them.
+LARGE_ROWS = {
+    "parquet.block.size": str(16 << 20), "parquet.page.size.row.check.min": "1", "parquet.page.size.row.check.max": "16",
+    "parquet.block.size.row.check.min": "1", "parquet.block.size.row.check.max": "16",
+}
+#: Such rows go to Python a few at a time.
+FEW_BYTES = {"spark.sql.execution.arrow.maxBytesPerBatch": str(16 << 20)}
+
+
+def stored(df: DataFrame, name: str, partition_by: str | None = None, large_rows: bool = False) -> DataFrame:
+    """``df`` written to the shared working folder and read back; with ``large_rows`` in row groups of 16 MB.
 
     Cuts the lineage: what follows reads files that survive lost executors.
     """
     spark = df.sparkSession
     folder = working_folder(spark, f"llm-{name}")
-    writer = df.write.option("compression", "zstd")
+    writer = df.write.option("compression", "zstd").options(**(LARGE_ROWS if large_rows else {}))
     (writer.partitionBy(partition_by) if partition_by else writer).parquet(folder)
     return spark.read.schema(df.schema).parquet(folder)
 

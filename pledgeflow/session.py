@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Iterator, Mapping
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,9 +17,6 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
 }
 
-#: Whether a query's shuffle files go when it ends.
-_FREED = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-
 
 def local_session(cores: int | str = "*", partitions: int = 8, **extra: str) -> SparkSession:
     """A local session for tests and the benchmark. Clusters bring their own."""
@@ -64,17 +61,24 @@ def working_folder(spark: SparkSession, name: str) -> str:
 
 
 @contextmanager
-def shuffles_freed(spark: SparkSession) -> Iterator[None]:
+def settings(spark: SparkSession, values: Mapping[str, str]) -> Iterator[None]:
+    """Settings of the session for what runs in this block."""
+    before = {name: spark.conf.get(name, None) for name in values}
+    try:
+        for name, value in values.items():
+            spark.conf.set(name, value)
+        yield
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
+def shuffles_freed(spark: SparkSession):
     """What is written in this block frees its shuffle files as it ends.
 
     Otherwise they stay until the driver happens to collect its garbage, and those of all steps of a job lie side by side.
     """
-    before = spark.conf.get(_FREED, "false")
-    spark.conf.set(_FREED, "true")
-    try:
-        yield
-    finally:
-        spark.conf.set(_FREED, before)
+    return settings(spark, {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"})
 
 
 def put_by(rows: DataFrame, folder: str) -> DataFrame:

@@ -5,9 +5,13 @@ import re
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 
 from pledgeflow.llm import collocations as C
+from pledgeflow.llm.common import FEW_BYTES
+from pledgeflow.session import settings
 from tests.llm.cases import empty, frame, rows
 
 LOWER = {i: i + 32 for i in range(65, 91)}
@@ -154,3 +158,45 @@ def test_united_is_the_automaton_of_all_texts():
 def _automaton(text):
     found, ids = [*C.pieces(text), b"."], C._Ids({b".": 0})
     return C.counted(ids, [np.array([ids[w] for w in found], np.int32)])
+
+
+def test_shards_are_stored_and_read_a_few_at_a_time(spark, monkeypatch):
+    def rows(batches):
+        for batch in batches:
+            for n in batch.column("id").to_pylist():
+                data = np.random.default_rng(n).bytes(1 << 20)
+                yield pa.RecordBatch.from_pydict({"n": [n], "data": [data]})
+
+    folders = []
+    real = C.stored
+
+    def spied(df, name, **options):
+        out = real(df, name, **options)
+        folders.append((name, out.inputFiles()))
+        return out
+
+    monkeypatch.setattr(C, "stored", spied)
+    monkeypatch.setattr(C, "shards", lambda *_: spark.range(60, numPartitions=1).mapInArrow(rows, "n long, data binary"))
+    with pytest.raises(Exception):  # these are no shards, and what follows fails
+        C.find_collocations(spark.createDataFrame([("a", "en")], "text string, lang string"))
+    (name, files), key = folders[0], "spark.sql.execution.arrow.maxBytesPerBatch"
+    assert name == "phrase-shards" and len(files) == 1
+    made = pq.ParquetFile(files[0].removeprefix("file:")).metadata
+    sizes = [made.row_group(n).total_byte_size for n in range(made.num_row_groups)]
+    assert sum(sizes) > 60 << 20 and max(sizes) < 34 << 20
+    was = spark.conf.get(key)
+    with settings(spark, FEW_BYTES):
+        assert int(spark.conf.get(key)) == 16 << 20
+        read = spark.read.parquet(*files).mapInArrow(lambda bs: (pa.RecordBatch.from_pydict({"rows": [b.num_rows]}) for b in bs), "rows long")
+        assert max(r["rows"] for r in read.collect()) <= 17
+    assert spark.conf.get(key) == was
+
+
+def test_small_slices_have_only_their_words():
+    words = [b"w%04d" % n for n in range(2000)]
+    whole = C.Automaton.of(words, [(np.arange(1, 2001), np.ones(2000, np.int64)), *[C._NO_GRAMS] * 2])
+    made = dict(C.sliced(whole, "en", [("en", (b"w0007",)), ("en", (b"w0009",))]))
+    assert [len(made[n].words) for n in range(3)] == [7, 2, 1991]
+    assert made[1].words == [b"w0007", b"w0008"] and made[1].grams()[0][1].tolist() == [1, 1]
+    once = iter([made[0], made[1]])
+    assert C.united(once).words == words[:9]  # read one at a time
